@@ -6,18 +6,25 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_files
+from . import near_dedup, token_files
 from ._shared import read_table
 
 TOKENIZERS = os.environ.get("PULSEGRID_TOKENIZERS", "/opt/tokenizers")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked at 85 % of their 3-word shingles."""
+    cfg = near_dedup.NearDupConfig(shingle=3, percent=85)
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), cfg)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PFOR shards of every whole text, read back per document."""
     return token_files.token_file_table(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
 QUERIES = {
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op10_token_files": op10_token_files,
 }
 
