@@ -6,24 +6,36 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup, token_files
+from . import near_dedup, suffix_dedup, token_files, word_repeats
 from ._shared import read_table
 
 TOKENIZERS = os.environ.get("PULSEGRID_TOKENIZERS", "/opt/tokenizers")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words covered by 35-word windows that occur again."""
+    return word_repeats.remove_repeated_windows(read_table(spark, sf_dir, "documents"), 35)
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked at 85 % of their 3-word shingles."""
     cfg = near_dedup.NearDupConfig(shingle=3, percent=85)
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), cfg)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by 100-byte strings that also start earlier."""
+    return suffix_dedup.remove_later_copies(read_table(spark, sf_dir, "documents"), 100)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PFOR shards of every whole text, read back per document."""
     return token_files.token_file_table(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
 QUERIES = {
+    "op4_substring_dedup": op4_substring_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op10_token_files": op10_token_files,
 }
