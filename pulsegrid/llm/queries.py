@@ -5,13 +5,65 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_dedup, suffix_dedup, token_files, word_repeats
+from . import mixing, near_dedup, suffix_dedup, token_files, word_repeats
 from ._shared import read_table
 
 TOKENIZERS = os.environ.get("PULSEGRID_TOKENIZERS", "/opt/tokenizers")
 
 
+#: Production target weights by source; a source that isn't listed has weight 1.
+MIX = mixing.MixConfig(weights={"src0": 6, "src1": 4, "src2": 3, "src3": 2}, block_rows=8)
+
+
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pfair slot and mixture position of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.schedule(docs, MIX).select(
+        "doc_id",
+        F.col("mix.source").alias("mix_source"),
+        F.col("mix.row").alias("source_row"),
+        F.col("mix.block").alias("block"),
+        F.col("mix.release").alias("release"),
+        F.col("mix.deadline").alias("deadline"),
+        F.col("mix.slot").alias("slot"),
+        F.col("mix.position").alias("position"),
+    )
+
+
+OP1_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS source, md5(coalesce(CAST(doc_id AS VARCHAR), text, '')) AS digest, coalesce(text, '') AS text
+  FROM documents),
+s AS (
+  SELECT source, n, w AS a, row_number() OVER (ORDER BY source) AS i FROM (
+    SELECT source, count(*) AS n,
+      CASE source WHEN 'src0' THEN 6 WHEN 'src1' THEN 4 WHEN 'src2' THEN 3 WHEN 'src3' THEN 2 ELSE 1 END AS w
+    FROM d GROUP BY source)),
+g AS (SELECT CAST(sum(a) AS BIGINT) AS l, list(CAST(a AS BIGINT) ORDER BY i) AS ws FROM s),
+edf(t, done, pick) AS (
+  SELECT CAST(-1 AS BIGINT), list_transform(ws, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT) FROM g
+  UNION ALL
+  SELECT t + 1, list_transform(range(1, len(ws) + 1), lambda k: done[k] + CASE WHEN k = choice THEN 1 ELSE 0 END), choice
+  FROM (
+    SELECT t, done, ws, l, list_min(list_transform(list_filter(range(1, len(ws) + 1), lambda k: (done[k] * l) // ws[k] <= t + 1),
+      lambda k: {'deadline': ((done[k] + 1) * l + ws[k] - 1) // ws[k], 'k': k})).k AS choice
+    FROM edf, g WHERE t + 1 < l)),
+p AS (SELECT t, pick AS i, row_number() OVER (PARTITION BY pick ORDER BY t) AS k FROM edf WHERE t >= 0),
+r AS (
+  SELECT d.doc_id, d.source, s.a, s.i, row_number() OVER (PARTITION BY d.source ORDER BY digest, text) - 1 AS source_row
+  FROM d JOIN s USING (source)),
+b AS (SELECT *, source_row // 8 AS j FROM r),
+x AS (
+  SELECT b.doc_id, b.source AS mix_source, b.source_row, b.j + 1 AS block, (b.j * g.l) // b.a AS "release",
+    ((b.j + 1) * g.l + b.a - 1) // b.a AS deadline, (b.j // b.a) * g.l + p.t AS slot
+  FROM b JOIN p ON p.i = b.i AND p.k = b.j % b.a + 1 CROSS JOIN g)
+SELECT doc_id, mix_source, source_row, block, "release", deadline, slot,
+  row_number() OVER (ORDER BY slot, source_row) - 1 AS position
+FROM x"""
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by 35-word windows that occur again."""
     return word_repeats.remove_repeated_windows(read_table(spark, sf_dir, "documents"), 35)
@@ -34,10 +86,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_source_mixing": op1_source_mixing,
     "op4_substring_dedup": op4_substring_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_source_mixing": OP1_SQL}
