@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_dedup, suffix_dedup, token_files, word_repeats
+from . import compression_quality, mixing, near_dedup, suffix_dedup, token_files, word_repeats
 from ._shared import read_table
 
 TOKENIZERS = os.environ.get("PULSEGRID_TOKENIZERS", "/opt/tokenizers")
@@ -64,6 +64,11 @@ SELECT doc_id, mix_source, source_row, block, "release", deadline, slot,
 FROM x"""
 
 
+def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from compressed-size differences."""
+    return compression_quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by 35-word windows that occur again."""
     return word_repeats.remove_repeated_windows(read_table(spark, sf_dir, "documents"), 35)
@@ -87,6 +92,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op3_compression_quality": op3_compression_quality,
     "op4_substring_dedup": op4_substring_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
