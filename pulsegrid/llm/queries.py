@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, mixing, near_dedup, suffix_dedup, token_files, word_repeats
+from . import compression_quality, mixing, near_dedup, suffix_dedup, token_files, vector_search, word_repeats
 from ._shared import read_table
 
 TOKENIZERS = os.environ.get("PULSEGRID_TOKENIZERS", "/opt/tokenizers")
@@ -85,6 +85,11 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_later_copies(read_table(spark, sf_dir, "documents"), 100)
 
 
+def op9_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vec_id divisible by 20."""
+    return vector_search.nearest(read_table(spark, sf_dir, "embeddings"), F.pmod("id", F.lit(20)) == 0)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PFOR shards of every whole text, read back per document."""
     return token_files.token_file_table(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
@@ -96,6 +101,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op9_vector_search": op9_vector_search,
     "op10_token_files": op10_token_files,
 }
 
