@@ -86,27 +86,27 @@ def runs_of(data: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(rid, doc_id, data): rid tells rows apart that differ in doc_id or text; data is the text's bytes."""
+    """(rid, same, doc_id, data): rid tells rows apart that differ in doc_id or text; same is a hash of the text alone."""
     text = F.coalesce(F.col("text"), F.lit(""))
     doc_id = F.col("doc_id").cast("long")
-    return docs.select(F.xxhash64(F.coalesce(doc_id, F.lit(-1)), text).alias("rid"), doc_id.alias("doc_id"), text.cast("binary").alias("data"))
+    return docs.select(F.xxhash64(F.coalesce(doc_id, F.lit(-1)), text).alias("rid"), F.xxhash64(text).alias("same"), doc_id.alias("doc_id"), text.cast("binary").alias("data"))
 
 
 def _list_runs(rows: DataFrame, unit: Unit) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             held, size = [], 0
-            for rid, data in zip(batch["rid"], batch["data"]):
+            for rid, same, data in zip(batch["rid"], batch["same"], batch["data"]):
                 gram, start, n = runs_of(np.frombuffer(data, np.uint8), unit)
-                held.append((gram.view(np.int64), np.full(len(gram), rid), (start << 16) | n))
+                held.append((gram.view(np.int64), np.full(len(gram), rid), np.full(len(gram), same), (start << 16) | n))
                 size += len(gram)
                 if size > 100_000:
-                    yield pd.DataFrame(dict(zip(("gram", "rid", "place"), map(np.concatenate, zip(*held)))))
+                    yield pd.DataFrame(dict(zip(("gram", "rid", "same", "place"), map(np.concatenate, zip(*held)))))
                     held, size = [], 0
             if held:
-                yield pd.DataFrame(dict(zip(("gram", "rid", "place"), map(np.concatenate, zip(*held)))))
+                yield pd.DataFrame(dict(zip(("gram", "rid", "same", "place"), map(np.concatenate, zip(*held)))))
 
-    return rows.select("rid", "data").mapInPandas(work, "gram bigint, rid bigint, place bigint")
+    return rows.select("rid", "same", "data").mapInPandas(work, "gram bigint, rid bigint, same bigint, place bigint")
 
 
 def _pack(rows: DataFrame, unit: Unit) -> DataFrame:
@@ -159,8 +159,9 @@ def repeated_windows(
     rows = keyed(docs)
     copies = materialise(copies_of(rows), "copies")
     listed = materialise(_list_runs(rows, unit), "runs")
-    twice = listed.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    by_doc = listed.join(twice, "gram", "left_semi").groupBy("rid").agg(F.collect_list("gram").alias("grams"), F.collect_list("place").alias("places"))
+    where = F.xxhash64("same", "place")  # exact copies of a text don't make its minimisers repeated
+    twice = listed.groupBy("gram").agg(F.min(where).alias("lo"), F.max(where).alias("hi")).where("lo != hi").select("gram")
+    by_doc = listed.select("gram", "rid", "place").join(twice, "gram", "left_semi").groupBy("rid").agg(F.collect_list("gram").alias("grams"), F.collect_list("place").alias("places"))
     by_doc = by_doc.join(copies.where("first").select("rid", "copies"), "rid")
     # equal rows (same doc_id, same text) are packed once
     texts = rows.join(by_doc.select("rid", "copies", "grams", "places"), "rid")
@@ -171,6 +172,7 @@ def repeated_windows(
     at = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("at"), "rid", "place", "copies", "packed")
     firsts = packed.groupBy("gram", "digest").agg(F.min(at).alias("f"), F.countDistinct("rid", "place").alias("n"), F.sum("copies").alias("weight"))
     firsts = materialise(firsts.select("gram", "digest", "f.*", "n", "weight"), "firsts")
+    release_shuffles(spark)
     several = firsts.where("n > 1" if keep_first else "weight > 1").select("gram", "digest", F.col("rid").alias("f_rid"), F.col("place").alias("f_place"))
     whole = packed.select("gram", "digest", "rid", "place").join(several, ["gram", "digest"])
     if keep_first:
@@ -180,7 +182,11 @@ def repeated_windows(
     variants = firsts.groupBy("gram").agg(F.count("*").alias("variants")).where("variants > 1")
     buckets = firsts.join(variants, "gram").select("gram", "variants", "at", "rid", "place", "weight", "packed")
     flagged = whole.union(_compare_buckets(buckets, unit, compare))
-    return rows, copies, flagged.groupBy("rid").agg(F.collect_list("start").alias("starts"), F.collect_list("count").alias("counts"))
+    flagged = materialise(flagged.groupBy("rid").agg(F.collect_list("start").alias("starts"), F.collect_list("count").alias("counts")), "flagged")
+    discard(packed)
+    discard(firsts)
+    release_shuffles(spark)
+    return rows, copies, flagged
 
 
 def _split_windows(buckets: DataFrame, unit: Unit) -> DataFrame:

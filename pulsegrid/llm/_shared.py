@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,11 +47,14 @@ def discard(df: DataFrame) -> None:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let the context cleaner drop shuffle files of finished jobs now, not at some later collection."""
-    import gc
+    """Let the context cleaner drop shuffle files of finished jobs now, not at some later collection.
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    The first round frees the driver's Python handles, the second what they held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
+from functools import lru_cache
 
 _CHUNK = re.compile(r"\s*\S+|\s+")
 _ODD_SPACE = re.compile(r"\s[ \n]|[ \n]\s|^[ \n]|[ \n]$")
@@ -21,18 +21,19 @@ _CONTROL = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the token
 class CachedByteBpe:
     """``encode(text)`` gives the same ids as the tokenizers library on the whole text."""
 
-    def __init__(self, path: str, max_entries: int = 600_000):
+    def __init__(self, path: str, max_entries: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # special strings inside a text are ordinary text
-        self._max = max_entries
+        self._max = max_entries // 2
         self._memo: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}  # the generation before; what is used again moves up
 
     def _ids(self, items: list[str]) -> list[bytes]:
         return [
-            np.array(e.ids, dtype="<u4").tobytes()
+            array("I", e.ids).tobytes()
             for e in self._tokenizer.encode_batch_fast(items, add_special_tokens=False)
         ]
 
@@ -64,9 +65,17 @@ class CachedByteBpe:
         found = list(map(memo.get, keys))
         if None in found:
             if len(memo) > self._max:
-                memo.clear()
-            missing = list({k for k, v in zip(keys, found) if v is None})
-            new = dict(zip(missing, self._ids([self._surface(k) for k in missing])))
+                self._old, self._memo = memo, {}
+                memo = self._memo
+            new = {k: self._old.get(k) for k, v in zip(keys, found) if v is None}
+            missing = [k for k, v in new.items() if v is None]
+            new.update(zip(missing, self._ids([self._surface(k) for k in missing])))
             memo.update(new)
             found = [new[k] if v is None else v for k, v in zip(keys, found)]
         return b"".join(found)
+
+
+@lru_cache(maxsize=2)
+def byte_bpe(path: str) -> CachedByteBpe:
+    """The worker's own encoder; Spark reuses workers, so the memo serves later tasks too."""
+    return CachedByteBpe(path)

@@ -13,10 +13,16 @@ Bands are resolved without listing all pairs of a group:
 3. only buckets that still hold several components go on.  Among their
    documents, the shingles that occur in at least two of them are counted: a
    document whose shared shingles are fewer than the threshold's share of its
-   set can have no further link and leaves (exact bound), and the document with
-   the largest shared part is the next pivot;
-4. the pairs of different components that are then left and pass the exact size
-   bound are all confirmed, in blocks.
+   set can have no further link and leaves (exact bound).  The document with
+   the largest shared part is the next pivot of its bucket, and of its cluster
+   (buckets chained by common documents);
+4. for what is still apart, each document is written as its difference to the
+   cluster's pivot p: shingles of p that it lacks, and shingles that p lacks.  If x
+   isn't linked to p, any y that x is linked to has at least
+   c = (t(|p| + a_x + a_y) - |p| + m_x + m_y) / (1 + t) differences in common with
+   x, where m and a count lacked and added shingles and t is the threshold.
+   So the two share one of their first (differences - c + 1), in any fixed order;
+   pairs that do are confirmed.  This misses none, whatever the group's size.
 
 The number of rows of a band is chosen so that a pair at the threshold is missed
 by all bands with a probability under one in a million.
@@ -133,12 +139,65 @@ def confirm(pairs: DataFrame, corpus: DataFrame, cfg: NearDupConfig) -> DataFram
                         break
             yield pd.DataFrame({"u": us, "v": vs}, dtype="int64")
 
+    return _dealt(pairs, corpus).mapInPandas(check, "u bigint, v bigint")
+
+
+def _dealt(pairs: DataFrame, corpus: DataFrame, *more: str) -> DataFrame:
+    """(a, part, b, text, more...): for each pivot and part, the pivot's own row (a = b), then its members."""
     sized = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_TASK_GROUP).alias("parts"))
     heads = sized.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("a").alias("b"))
-    members = pairs.join(sized, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), "b")
-    rows = heads.unionByName(members).join(corpus.withColumnRenamed("doc_id", "b"), "b")
+    members = pairs.join(sized, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), "b", *more)
+    rows = heads.unionByName(members, allowMissingColumns=True).join(corpus.withColumnRenamed("doc_id", "b"), "b")
     dealt = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b") != F.col("a"))
-    return dealt.select("a", "part", "b", "text").mapInPandas(check, "u bigint, v bigint")
+    return dealt.select("a", "part", "b", "text", *more)
+
+
+def first_differences(size: int, lacked: np.ndarray, added: np.ndarray, percent: int) -> tuple[np.ndarray, int, int]:
+    """(differences in order, how many if the partner isn't linked to the pivot, how many if only this document isn't).
+
+    ``size`` is the pivot's.  Added shingles come before lacked ones, each by
+    value; a lacked shingle is told apart by its complement's parity bit.
+    """
+    m, a = len(lacked), len(added)
+    both = np.concatenate([np.sort(added) | np.uint64(1), np.sort(lacked) & ~np.uint64(1)])
+    partner_apart = (percent * a + 100 * m) // (100 + percent) + 1
+    self_apart = max(1, -(-(percent * (size + a) - 100 * size + 100 * m) // 100))
+    short = max(0, m + a - partner_apart + 1)
+    return both, short, max(short, m + a - self_apart + 1)
+
+
+def difference_pairs(members: DataFrame, corpus: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """Pairs (a, b) that may still be linked, from members (a: pivot, b, apart, label).
+
+    ``apart`` says that the member isn't in the pivot's component.  A pair has at
+    least one such member, which by then has been tested against the pivot.
+    """
+    width, percent = cfg.shingle, cfg.percent
+
+    def differ(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pivot = np.empty(0, np.uint64)
+        for batch in batches:
+            out: list[tuple] = []
+            for a, b, text, apart, label in zip(batch["a"], batch["b"], batch["text"], batch["apart"], batch["label"]):
+                own = _set_of(text, width)
+                if a == b:
+                    pivot = own
+                    continue
+                lacked, added = np.setdiff1d(pivot, own, True), np.setdiff1d(own, pivot, True)
+                order, short, long = first_differences(len(pivot), lacked, added, percent)
+                out += [(a, b, bool(apart), int(label), x, k < short) for k, x in enumerate(order[: long if apart else short].view(np.int64).tolist())]
+            yield pd.DataFrame(out, columns=["a", "b", "apart", "label", "difference", "short"])
+
+    rows = materialise(
+        _dealt(members, corpus, "apart", "label").mapInPandas(differ, "a bigint, b bigint, apart boolean, label bigint, difference bigint, short boolean"),
+        "differences",
+    )
+    again = rows.groupBy("a", "difference").agg(F.count("*").alias("n")).where("n > 1").select("a", "difference")
+    rows = rows.join(again, ["a", "difference"], "left_semi")
+    left = rows.where("apart").select("a", "difference", F.col("b").alias("x"), F.col("short").alias("x_short"), F.col("label").alias("x_label"))
+    right = rows.where("short")
+    met = left.join(right, ["a", "difference"]).where("x_label != label and (not apart or (x_short and x < b))")
+    return met.select(F.least("x", "b").alias("a"), F.greatest("x", "b").alias("b")).distinct()
 
 
 def _with_labels(keyed: DataFrame, labels: DataFrame) -> DataFrame:
@@ -189,19 +248,30 @@ def near_duplicate_links(docs: DataFrame, cfg: NearDupConfig) -> tuple[DataFrame
     if not open_.isEmpty():
         sizes = materialise(_shared_sizes(open_.select("rep").distinct(), corpus, cfg), "shared")
         alive = sizes.where(f"100 * shared >= {cfg.percent} * size")
-        open_ = open_.join(alive, "rep")
-        lead = open_.groupBy("key").agg(F.max(F.struct(F.col("shared") / F.col("size"), -F.col("rep"), "label", "size", "shared")).alias("p"))
-        lead = lead.select("key", (-F.col("p.col2")).alias("a"), F.col("p.label").alias("a_label"), F.col("p.size").alias("a_size"), F.col("p.shared").alias("a_shared"))
-        pivoted = _possible(open_.join(lead, "key"), cfg).select("a", F.col("rep").alias("b")).distinct()
-        fresh = materialise(pivoted.join(_both_ways(tested), ["a", "b"], "left_anti"), "pairs")
+        open_ = materialise(open_.join(alive, "rep"), "open")
+        best = F.max(F.struct(F.col("shared") / F.col("size"), -F.col("rep"), "label")).alias("p")
+        lead = open_.groupBy("key").agg(best).select("key", (-F.col("p.col2")).alias("a"), F.col("p.label").alias("a_label"))
+        by_bucket = open_.join(lead, "key").where("label != a_label").select("a", F.col("rep").alias("b"))
+        tie = open_.groupBy("key").agg(F.min("rep").alias("v"))
+        chained = component_labels(open_.join(tie, "key").select(F.col("rep").alias("u"), "v"))
+        nodes = open_.select("rep", "label", "size", "shared").distinct()
+        nodes = nodes.join(chained.select(F.col("node").alias("rep"), F.col("label").alias("cluster")), "rep", "left")
+        nodes = nodes.withColumn("cluster", F.coalesce("cluster", "rep"))
+        head = nodes.groupBy("cluster").agg(best).select("cluster", (-F.col("p.col2")).alias("a"), F.col("p.label").alias("a_label"))
+        nodes = materialise(nodes.join(head, "cluster").select("rep", "a", "label", "a_label"), "clusters")
+        by_cluster = nodes.where("label != a_label").select("a", F.col("rep").alias("b"))
+        fresh = materialise(by_bucket.union(by_cluster).distinct().join(_both_ways(tested), ["a", "b"], "left_anti"), "pairs")
         edges = materialise(edges.union(confirm(fresh, corpus, cfg)), "links")
         labels = component_labels(edges)
         tested = tested.union(fresh)
 
-        rest = materialise(_with_labels(open_.select("key", "rep", "size", "shared"), labels), "open")
-        left = rest.select("key", F.col("rep").alias("a"), F.col("label").alias("a_label"), F.col("size").alias("a_size"), F.col("shared").alias("a_shared"))
-        last = _possible(rest.join(left, "key").where("a < rep"), cfg).select("a", F.col("rep").alias("b")).distinct()
-        last = materialise(last.join(_both_ways(tested), ["a", "b"], "left_anti"), "pairs")
+        rest = _with_labels(open_.select("key", "rep"), labels).select("rep").distinct()
+        named = labels.withColumnRenamed("label", "now")
+        members = nodes.join(rest, "rep", "left_semi").select("a", F.col("rep").alias("b")).where("a != b")
+        members = members.join(named.withColumnRenamed("node", "b"), "b", "left").withColumn("label", F.coalesce("now", "b")).drop("now")
+        members = members.join(named.withColumnRenamed("node", "a"), "a", "left").withColumn("apart", F.col("label") != F.coalesce("now", "a")).drop("now")
+        last = difference_pairs(materialise(members, "members"), corpus, cfg).join(_both_ways(tested), ["a", "b"], "left_anti")
+        last = materialise(last, "pairs")
         if not last.isEmpty():
             labels = component_labels(edges.union(confirm(last, corpus, cfg)))
     discard(keyed)
@@ -214,16 +284,6 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
     return pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _possible(pairs: DataFrame, cfg: NearDupConfig) -> DataFrame:
-    """Pairs (a, rep) of different components that sizes and shared parts still allow to be linked.
-
-    The intersection is at most the smaller shared part, so a link needs
-    100 * common >= percent * (size + a_size - common).
-    """
-    common = F.least("shared", "a_shared")
-    return pairs.where("a != rep and label != a_label").where((100 + cfg.percent) * common >= cfg.percent * (F.col("size") + F.col("a_size")))
-
-
 def near_duplicates(docs: DataFrame, cfg: NearDupConfig = NearDupConfig()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs(doc_id, text)``."""
     rows, labels = near_duplicate_links(docs, cfg)

@@ -134,9 +134,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str | None
         from pyarrow import fs
         from pyspark import TaskContext
 
-        from ._wordcache import CachedByteBpe
+        from ._wordcache import byte_bpe
 
-        bpe = CachedByteBpe(tokenizer_path)
+        bpe = byte_bpe(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         store, base = fs.FileSystem.from_uri(folder)
         part, rolled = TaskContext.get().partitionId(), 0
