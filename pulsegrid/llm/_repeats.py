@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
@@ -85,11 +85,16 @@ def runs_of(data: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.nd
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def row_key() -> Column:
+    """Tells rows apart that differ in doc_id or text."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.coalesce(F.col("text"), F.lit("")))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """(rid, same, doc_id, data): rid tells rows apart that differ in doc_id or text; same is a hash of the text alone."""
     text = F.coalesce(F.col("text"), F.lit(""))
     doc_id = F.col("doc_id").cast("long")
-    return docs.select(F.xxhash64(F.coalesce(doc_id, F.lit(-1)), text).alias("rid"), F.xxhash64(text).alias("same"), doc_id.alias("doc_id"), text.cast("binary").alias("data"))
+    return docs.select(row_key().alias("rid"), F.xxhash64(text).alias("same"), doc_id.alias("doc_id"), text.cast("binary").alias("data"))
 
 
 def _list_runs(rows: DataFrame, unit: Unit) -> DataFrame:
@@ -250,7 +255,12 @@ def removed_mask(n: int, starts: np.ndarray, counts: np.ndarray, width: int) ->
     return np.cumsum(step[:n]) > 0
 
 
+def known_verdicts(copies: DataFrame, flagged: DataFrame) -> DataFrame:
+    """(rid, copies, first, starts, counts) of the rows that have a copy or a flagged window."""
+    return copies.join(flagged, "rid", "left").where("not first or copies > 1 or starts is not null")
+
+
 def with_verdicts(rows: DataFrame, copies: DataFrame, flagged: DataFrame, *columns: str) -> DataFrame:
     """Each row with copies, first, starts and counts (null where it has none); texts are dealt once."""
-    known = copies.join(flagged, "rid", "left").where("not first or copies > 1 or starts is not null")
+    known = known_verdicts(copies, flagged)
     return rows.join(known, "rid", "left").select("rid", "doc_id", "data", "copies", "first", "starts", "counts", *columns)

@@ -295,3 +295,16 @@ def near_duplicates(docs: DataFrame, cfg: NearDupConfig = NearDupConfig()) -> Da
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, cfg: NearDupConfig = NearDupConfig()) -> DataFrame:
+    """One document of each group of near duplicates, with all its columns; rows without an id all stay.
+
+    Rows that share a kept doc_id are one document; the one with the least text stays.
+    """
+    kept = near_duplicates(docs, cfg).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").cast("long").alias("_id"), "text")
+    rows = rows.where("_id is not null").join(kept, F.col("_id") == F.col("_kept_id"), "left_semi")
+    order = F.struct(F.coalesce("text", F.lit("")).alias("t"), "doc")
+    one = rows.groupBy("_id").agg(F.min(order).alias("o")).select("o.doc.*")
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -7,10 +7,22 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, mixing, near_dedup, suffix_dedup, token_files, vector_search, word_repeats
+from . import (
+    compression_quality,
+    fertility,
+    mixing,
+    near_dedup,
+    sentence_pieces,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    vector_search,
+    word_repeats,
+)
 from ._shared import read_table
 
 TOKENIZERS = os.environ.get("PULSEGRID_TOKENIZERS", "/opt/tokenizers")
+PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
 #: Production target weights by source; a source that isn't listed has weight 1.
@@ -64,6 +76,11 @@ SELECT doc_id, mix_source, source_row, block, "release", deadline, slot,
 FROM x"""
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document from the convolutional classifier."""
+    return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document from compressed-size differences."""
     return compression_quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -80,11 +97,21 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), cfg)
 
 
+def op6_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, token measures and verdict of every document."""
+    return fertility.judge_quality(read_table(spark, sf_dir, "documents"), PIECES)
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes covered by 100-byte strings that also start earlier."""
     return suffix_dedup.remove_later_copies(read_table(spark, sf_dir, "documents"), 100)
 
 
+def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best segmentations of every document, decoded again."""
+    return sentence_pieces.piece_table(read_table(spark, sf_dir, "documents"), PIECES)
+
+
 def op9_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors found for every vec_id divisible by 20."""
     return vector_search.nearest(read_table(spark, sf_dir, "embeddings"), F.pmod("id", F.lit(20)) == 0)
@@ -96,13 +123,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_source_mixing": op1_source_mixing,
-    "op3_compression_quality": op3_compression_quality,
-    "op4_substring_dedup": op4_substring_dedup,
-    "op7_suffix_dedup": op7_suffix_dedup,
-    "op5_minhash_near_dedup": op5_minhash_near_dedup,
-    "op9_vector_search": op9_vector_search,
-    "op10_token_files": op10_token_files,
+    f.__name__: f
+    for f in (
+        op1_source_mixing,
+        op2_toxicity,
+        op3_compression_quality,
+        op4_substring_dedup,
+        op5_minhash_near_dedup,
+        op6_tokeniser_fertility,
+        op7_suffix_dedup,
+        op8_sentence_pieces,
+        op9_vector_search,
+        op10_token_files,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_source_mixing": OP1_SQL}

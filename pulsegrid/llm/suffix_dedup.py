@@ -23,8 +23,9 @@ from hashlib import sha256
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ._repeats import Unit, removed_mask, repeated_windows, with_verdicts
+from ._repeats import Unit, known_verdicts, removed_mask, repeated_windows, row_key, with_verdicts
 
 MINIMISER_BYTES = 16
 
@@ -114,3 +115,34 @@ def remove_later_copies(docs: DataFrame, width: int = 100, with_text: bool = Fal
 
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", text string" * with_text
     return with_verdicts(rows, copies, flagged).mapInPandas(cut, schema)
+
+
+def without_later_copies(docs: DataFrame, width: int = 100) -> DataFrame:
+    """``docs`` with later copies cut out of ``text``, and ``n_chars``, if there, set to the new length; all rows stay.
+
+    A null text stays null; a character that a cut goes through is taken out whole.
+    """
+    unit = Unit("byte", width, MINIMISER_BYTES)
+    _, copies, flagged = repeated_windows(docs.select("doc_id", "text"), unit, lambda held: earlier_windows(held, width), keep_first=True)
+    known = known_verdicts(copies, flagged)
+
+    @F.pandas_udf("string")
+    def cut(data: pd.Series, first: pd.Series, starts: pd.Series, counts: pd.Series) -> pd.Series:
+        out = []
+        for text, is_first, begin, n in zip(data, first, starts, counts):
+            if text is None:
+                out.append(None)
+            elif is_first is False and len(text) >= width:
+                out.append("")
+            elif begin is None:
+                out.append(bytes(text).decode("utf-8", "replace"))
+            else:
+                gone = removed_mask(len(text), np.asarray(begin), np.asarray(n), width)
+                out.append(np.frombuffer(text, np.uint8)[~gone].tobytes().decode("utf-8", "ignore"))
+        return pd.Series(out, dtype=object)
+
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key().alias("rid"))
+    rows = rows.join(known, "rid", "left")
+    rows = rows.select("doc", cut(F.col("doc.text").cast("binary"), "first", "starts", "counts").alias("kept"))
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return rows.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
