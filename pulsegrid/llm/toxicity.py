@@ -99,7 +99,8 @@ def words_of(texts: list[bytes]) -> Words:
     lengths = np.array([len(t) + 1 for t in texts])
     data = _SEPARATES[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
     starts, ends = _text.word_spans(data)
-    hashes, at, ids = np.unique(_text.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    each = [_text.span_hashes(data, starts[k : k + STEP], ends[k : k + STEP]) for k in range(0, len(starts), STEP)]
+    hashes, at, ids = np.unique(np.concatenate([np.empty(0, np.uint64), *each]), return_index=True, return_inverse=True)
     buckets, offsets = _gram_features(data, starts[at], ends[at], hashes)
     per_text = np.diff(np.searchsorted(starts, np.cumsum(lengths)), prepend=0)
     begins = np.concatenate([[0], np.cumsum(per_text + 2)])
@@ -172,15 +173,14 @@ def language_of(w: Words) -> list[str]:
 def fit_filters(w: Words, y: np.ndarray, steps: int = 1200, batch: int = 32, seed: int = 3) -> ConvModel:
     """Filters, embeddings and output unit by Adagrad on the logistic loss; words are dropped at random while training."""
     rng = np.random.default_rng(seed)
-    owner = np.repeat(np.arange(len(y)), np.diff(w.begins))
-    pairs = np.unique(owner * (w.n + 1) + w.ids)
-    text, word = pairs // (w.n + 1), pairs % (w.n + 1)
-    text, word = text[word < w.n], word[word < w.n]
     counts = np.diff(w.offsets)
-    spread = np.repeat(np.arange(len(word)), counts[word])
-    inner = np.arange(len(spread)) - np.repeat(np.cumsum(counts[word]) - counts[word], counts[word])
-    seen = np.unique(text[spread] * ROWS + w.buckets[w.offsets[word][spread] + inner]) % ROWS
-    known = np.bincount(seen, minlength=ROWS) >= LEAST_DOCS
+    in_texts = np.zeros(ROWS, np.int64)
+    for a, b in zip(w.begins, w.begins[1:]):
+        own = np.unique(w.ids[a:b])[:-1]
+        if len(own):
+            at = np.repeat(w.offsets[own] - np.cumsum(counts[own]) + counts[own], counts[own]) + np.arange(int(counts[own].sum()))
+            in_texts[np.unique(w.buckets[at])] += 1
+    known = in_texts >= LEAST_DOCS
     table = (rng.normal(size=(ROWS, DIM)) * 0.1 * known[:, None]).astype(np.float32)
     m = ConvModel(
         table,
