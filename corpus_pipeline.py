@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Identity, source and piece ids of every document, and the distance of its second segmentation."""
-    coded = sentence_pieces.encode(docs, PIECES, n_best=2)
+    coded = sentence_pieces.encode(docs.select("doc_id", "lang", "source", "text"), PIECES, n_best=2)
     best = F.get("segmentations", F.lit(0))
     return coded.select(
         "doc_id",

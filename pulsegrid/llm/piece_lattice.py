@@ -28,8 +28,8 @@ from . import _text
 _SEGMENT = re.compile(r"\n| *[^ \n]+| +")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 LONG = 40  # bytes; longer segments are solved one by one
-SLICE = 20_000
-MEMO = 400_000
+CELLS = 3_000_000  # lattice edges solved at once
+MEMO = 300_000
 BYTE_PENALTY = 10.0
 
 
@@ -209,8 +209,9 @@ class PieceLattice:
             else:
                 by_size.setdefault(len(data), []).append(s)
         for size, group in by_size.items():
-            for k in range(0, len(group), SLICE):
-                part = group[k : k + SLICE]
+            turn = CELLS // (size * min(size, self.longest)) + 1
+            for k in range(0, len(group), turn):
+                part = group[k : k + turn]
                 best, gap, path, n_bytes = self._solve(np.frombuffer("".join(part).encode(), np.uint8).reshape(-1, size))
                 turned = path[::-1].T
                 keep = turned >= 0
