@@ -33,7 +33,11 @@ from ._shared import discard, materialise, release_shuffles
 #: Symbols handled at once; longer documents go through in overlapping pieces.
 PIECE = 1 << 22
 #: Different strings of a minimiser that are compared as one group; larger buckets are split by window.
-GROUP = 4000
+GROUP = 2500
+#: Packed bytes that are compared at once, besides one bucket.
+JUDGED_BYTES = 300_000
+#: About how many windows a run has.
+WINDOWS_A_RUN = 40
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -206,7 +210,7 @@ def _split_windows(buckets: DataFrame, unit: Unit) -> DataFrame:
                 starts, ends = (np.arange(n), np.arange(n) + unit.width) if unit.kind == "byte" else (lambda s, e: (s[:n], e[unit.width - 1 :]))(*_text.word_spans(data))
                 for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
                     window = packed[a:b]
-                    out.append((gram, hash_of(window) % (variants // GROUP + 1), at, rid, (((place >> 16) + k) << 16) | 1, weight, window))
+                    out.append((gram, hash_of(window) % (variants * WINDOWS_A_RUN // GROUP + 1), at, rid, (((place >> 16) + k) << 16) | 1, weight, window))
                 if len(out) > 20_000:
                     yield pd.DataFrame(out, columns=names)
                     out = []
@@ -235,7 +239,7 @@ def _compare_buckets(buckets: DataFrame, unit: Unit, compare: Callable) -> DataF
             length = batch["packed"].map(len).to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(batch)]
             for a, b in zip(cuts, cuts[1:]):
-                if size > 1_000_000 and int(group[a]) != last:
+                if size > JUDGED_BYTES and int(group[a]) != last:
                     yield judge(pd.concat(held, ignore_index=True))
                     held, size = [], 0
                 held.append(batch.iloc[a:b])

@@ -6,11 +6,16 @@ import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH_BYTES = 4 << 20
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
@@ -27,23 +32,51 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/pulsegrid-{name}-{uuid.uuid4().hex}"
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches for Python of at most ``BATCH_BYTES``, where the session hasn't its own limit.
+
+    Texts may be long, so a limit on rows alone doesn't bound a worker's memory.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":  # the default
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`materialise` writes inside are deleted at the end, all but the last."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop()[:-1]:
+            _delete(spark, path)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a scan of it (short lineage)."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files behind a table made by :func:`materialise` that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/pulsegrid-" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            _delete(df.sparkSession, folder)
 
 
 def release_shuffles(spark: SparkSession) -> None:
@@ -62,6 +95,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
-from ._shared import discard, materialise, release_shuffles, texts
+from ._shared import discard, materialise, release_shuffles, scratch_scope, texts
 from .components import component_labels
 
 MISS = 1e-6
@@ -286,15 +286,17 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, cfg: NearDupConfig = NearDupConfig()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs(doc_id, text)``."""
-    rows, labels = near_duplicate_links(docs, cfg)
-    out = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.coalesce("label", "rep")
-    return out.select(
-        "doc_id",
-        "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-    )
+    with scratch_scope(docs.sparkSession):
+        rows, labels = near_duplicate_links(docs, cfg)
+        out = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        component = F.coalesce("label", "rep")
+        out = out.select(
+            "doc_id",
+            "n_shingles",
+            component.alias("component_id"),
+            F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        )
+        return materialise(out, "near-duplicates")
 
 
 def without_near_duplicates(docs: DataFrame, cfg: NearDupConfig = NearDupConfig()) -> DataFrame:

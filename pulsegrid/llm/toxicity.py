@@ -40,7 +40,7 @@ FILTERS = 12
 GRAMS = (4, 6)
 LEAST_DOCS = 8  # features of fewer training texts stay at zero
 STEP = 100_000
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 #: Common function words that tell languages apart.
 FUNCTION_WORDS = {
