@@ -3,8 +3,163 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pulsegrid.config import BASE_COLUMNS, DELTA_COLUMNS, RATIO_COLUMNS, Z_COLUMNS, Z_GROUPS, PipelineConfig
+from pulsegrid.functions.columns import rounded
+from pulsegrid.operators import anomaly, baseline, decoder, features, reports, risk
+from pulsegrid.plans.oracles import LEAST_EVENTS, USERS, upto
+from pulsegrid.sources.events import from_activity_log, standard_events
+
+CFG = PipelineConfig(epoch_unit="ms", min_daily_events=LEAST_EVENTS, min_rhythm_events=LEAST_EVENTS, min_gap_events=LEAST_EVENTS)
+KEYS = ("uuid", "date")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standard_events(from_activity_log(spark.read.parquet(f"{sf_dir}/events.parquet"), USERS), CFG)
+
+
+@lru_cache(maxsize=4)  # queries of one session share it
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.daily_features(_events(spark, sf_dir), CFG).persist()
+
+
+@lru_cache(maxsize=4)  # queries of one session share it
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baseline.baselines(_features(spark, sf_dir), CFG).persist()
+
+
+@lru_cache(maxsize=4)  # queries of one session share it
+def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anomaly.scale_by_user(anomaly.mean_abs_z(_scored(spark, sf_dir)), CFG)
+
+
+@lru_cache(maxsize=4)  # queries of one session share it
+def _risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return risk.risk_table(_scaled(spark, sf_dir), CFG).persist()
+
+
+@lru_cache(maxsize=4)  # queries of one session share it
+def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decoder.decode(risk.model_output(_risk(spark, sf_dir)), CFG).persist()
+
+
+@lru_cache(maxsize=4)  # queries of one session share it
+def _forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _scored(spark, sf_dir)
+    return anomaly.scale_by_user(anomaly.forest_scores(rows, anomaly.train_forest(rows, CFG), CFG), CFG).persist()
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+#: Columns that aren't doubles and so aren't rounded in SQL.
+EXACT = {
+    "uuid", "date", "seq", "ms", "hour", "event_std", "event_cat", "wifi_ssid", *features.BLOCKS["activity"], "rhythm_event_cnt",
+    "rhythm_low_coverage", "gap_event_cnt", "gap_low_coverage", "session_cnt", "long_session_cnt", "cell_change_cnt", "wifi_change_cnt_est",
+    "heartbeat_cnt", "tz_changed", "daily_event_cnt", "unlock_cnt", "is_weekend", "day_idx", "scored", "baseline_ready", "early_ready",
+    "cold_stage", "context_mode", "quality_state", "drift_top_feature", "cat_state", "notify_final", "notify_level", "decoder_quality",
+    "risk_band", "top_z_feature", "has_activity",
+}
+
+
+def _exact(c: str) -> bool:
+    return c in EXACT or c.startswith("qc_") and c != "qc_last_ts_max" or c.endswith(("_flag", "_n"))
+
+
+def _register(name: str, make: Callable[[SparkSession, str], DataFrame], link: str | None = None, columns=(), sql: str | None = None, doubles=()) -> None:
+    """A query; its SQL selects the columns of one link of the chain, or is given with the columns to round."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = make(spark, sf_dir)
+        return rounded(df.select(*columns) if columns else df)
+
+    run.__name__ = name
+    QUERIES[name] = run
+    if link:
+        sql = sql or "SELECT " + ", ".join(f'"{c}"' for c in columns) + f" FROM {link}"
+        rounds = ", ".join(f'round("{c}", 6) + 0.0 AS "{c}"' for c in (doubles or [c for c in columns if not _exact(c)]))
+        ORACLE_SQL[name] = upto(link, f"SELECT * REPLACE ({rounds}) FROM ({sql})" if rounds else sql)
+
+
+_block_links = {"activity": "act", "rhythm": "rhythm", "gap": "gap", "session": "sess", "mobility": "mob", "meta": "meta"}
+_block_names = {"meta": "daily_meta_qc"}
+QC = ("daily_event_cnt", "unlock_cnt", "has_activity", "qc_core_low_cov", "qc_core_very_low_activity", "qc_rhythm_low_cov", "qc_gap_low_cov",
+      "qc_meta_low_heartbeat", "qc_meta_retry_warn", "qc_meta_queue_warn")
+MERGED = tuple(c for b in features.BLOCKS for c in features.BLOCKS[b])
+Z = tuple(f"{c}_z" for c in Z_COLUMNS)
+REPS = tuple(f"z_{g}_rep" for g in Z_GROUPS)
+
+_register("events_std", _events, "ev", ("uuid", "seq", "ms", "date", "hour", "event_std", "event_cat", "wifi_ssid", "cell_lac", "retry_count", "queue_size"))
+for _b, _link in _block_links.items():
+    _register(
+        _block_names.get(_b, f"daily_{_b}"),
+        lambda s, d, b=_b: features.block(features.daily_blocks(_events(s, d), CFG), b),
+        _link,
+        (*KEYS, *features.BLOCKS[_b]),
+    )
+_register("feature_merge", lambda s, d: features.daily_blocks(_events(s, d), CFG), "merged", (*KEYS, *MERGED))
+_register("qc_flags", _features, "qc", (*KEYS, *QC))
+_register("context_signals", _features, "ctx", (*KEYS, "tz_change_signal", "partial_signal_raw", "travel_signal_raw"))
+_register("delta_features", _features, "feat", (*KEYS, *[f"{c}_d1" for c in DELTA_COLUMNS], *[f"{c}_r1" for c in RATIO_COLUMNS]))
+_register("model_context", lambda s, d: baseline.prepare(_features(s, d), CFG), "prep", (*KEYS, "is_weekend", "day_idx", "partial_flag", "tz_flag", "travel_flag", "cold_stage", "context_mode", "quality_state"))
+_register(
+    "winsor_bounds",
+    lambda s, d: baseline.winsor_bounds(baseline.prepare(_features(s, d), CFG), CFG).select(
+        *[x for c in BASE_COLUMNS for x in (F.col(f"{c}_n"), F.col(f"{c}_q")[0].alias(f"{c}_lo"), F.col(f"{c}_q")[1].alias(f"{c}_hi"))]
+    ),
+    "bounds",
+    tuple(f"{c}_{x}" for c in BASE_COLUMNS for x in ("n", "lo", "hi")),
+)
+for _name, _kind in (("baseline_lt", "lt_g"), ("baseline_st_global", "st_g"), ("baseline_st_split", "st_s"), ("baseline_early", "early_s"), ("baseline_final", "final")):
+    _register(_name, _scored, "base", (*KEYS, *[f"{c}_{x}_{_kind}" for c in BASE_COLUMNS for x in ("mean", "std")], "baseline_ready", "early_ready"))
+_register("zscores", _scored, "z", (*KEYS, "scored", *Z))
+_register("anomaly_scaling", _scaled, "anom", (*KEYS, "anomaly_score_raw", "anomaly_score", "anomaly_flag"))
+_register("z_group_reps", _risk, "reps", (*KEYS, *REPS, "z_trim_mean_abs", "z_max_abs"))
+_register("risk_pre", _risk, "risk", (*KEYS, "z_score", "a_score", "risk_pre", "risk_adj"))
+_register("risk_ema", _risk, "risk", (*KEYS, "risk_adj", "risk_score"))
+_register("early_risk", _risk, "early", (*KEYS, "z_trim_mean_abs_early", "early_risk"))
+_register("final_risk", _risk, "final", (*KEYS, "risk_score", "early_risk", "final_risk"))
+_register("bad_history", _risk, "drift0", (*KEYS, "bad_history_flag", "stable_hold_flag"))
+_register("drift", _risk, "model", (*KEYS, "daily_event_cnt_drift", "night_ratio_drift", "gap_max_drift", "drift_flag", "drift_top_feature"))
+_register("model_out", _risk, "model", (*risk.MODEL_COLUMNS, *Z, *REPS))
+_register("state_out_surrogate", _states, "state", decoder.STATE_COLUMNS)
+_register("isolation_forest_scores", lambda s, d: _forest(s, d).select(*KEYS, "anomaly_score_raw", "anomaly_score", "anomaly_flag"))
+_register("state_out", lambda s, d: decoder.decode(risk.model_output(risk.risk_table(_forest(s, d), CFG)), CFG))
+
+_register("state_distribution", lambda s, d: reports.distribution(_states(s, d), "cat_state"), "state",
+          doubles=("share",),
+          sql="SELECT cat_state, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM state GROUP BY cat_state")
+_register("transition_matrix", lambda s, d: reports.transition_matrix(_states(s, d)), "state",
+          sql="SELECT coalesce(prev, 'ALL') AS prev, coalesce(cur, 'ALL') AS cur, count(*) AS n FROM (SELECT lag(cat_state) OVER (PARTITION BY uuid ORDER BY date) AS prev, cat_state AS cur FROM state) WHERE prev IS NOT NULL GROUP BY CUBE (prev, cur)")
+_register("alarm_runs", lambda s, d: reports.alarm_runs(_states(s, d)), "state",
+          sql="SELECT uuid, run, alarm, min(date) AS first_date, count(*) AS days FROM (SELECT *, CAST(sum(fresh) OVER (PARTITION BY uuid ORDER BY date) AS BIGINT) AS run FROM (SELECT uuid, date, notify_final <> 'NONE' AS alarm, CASE WHEN (notify_final <> 'NONE') = lag(notify_final <> 'NONE') OVER (PARTITION BY uuid ORDER BY date) THEN 0 ELSE 1 END AS fresh FROM state)) GROUP BY uuid, run, alarm")
+_register("user_mode_state", lambda s, d: reports.user_mode_state(_states(s, d)), "state",
+          sql="SELECT uuid, cat_state AS mode_state FROM (SELECT uuid, cat_state, row_number() OVER (PARTITION BY uuid ORDER BY count(*) DESC, cat_state) AS r FROM state GROUP BY uuid, cat_state) WHERE r = 1")
+_register("alarm_rates", lambda s, d: reports.alarm_rates(_states(s, d)), "state",
+          doubles=("alarm_rate",),
+          sql="SELECT uuid, avg(CASE WHEN final_risk >= 0.6 THEN 1.0 ELSE 0.0 END) AS alarm_rate FROM state GROUP BY uuid")
+_register("risk_component_corr", lambda s, d: reports.component_correlation(_risk(s, d)), "model",
+          doubles=("corr",),
+          sql="SELECT count(*) AS pairs, CASE WHEN count(*) > 30 THEN corr(z_score, a_score) END AS corr FROM model WHERE z_score IS NOT NULL AND a_score IS NOT NULL")
+_register("top200_risk", lambda s, d: reports.top_risk(_risk(s, d).select(*KEYS, "final_risk", "cold_stage")), "model",
+          doubles=("final_risk",),
+          sql="SELECT uuid, date, final_risk, cold_stage FROM model WHERE final_risk IS NOT NULL ORDER BY final_risk DESC, uuid, date LIMIT 200")
+_register("risk_describe", lambda s, d: reports.describe(_risk(s, d), "final_risk"), "model",
+          doubles=("mean", "std", "low", "p25", "p50", "p75", "p95", "p99", "high"),
+          sql="SELECT count(final_risk) AS n, avg(final_risk) AS mean, stddev_samp(final_risk) AS std, min(final_risk) AS low, quantile_cont(final_risk, 0.25) AS p25, quantile_cont(final_risk, 0.5) AS p50, quantile_cont(final_risk, 0.75) AS p75, quantile_cont(final_risk, 0.95) AS p95, quantile_cont(final_risk, 0.99) AS p99, max(final_risk) AS high FROM model")
+_register("range_checks", lambda s, d: reports.range_checks(_features(s, d)), "feat",
+          sql="SELECT rule, violations FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS rule, count(*) FILTER ({v}) AS violations FROM feat" for k, v in reports.CHECKS.items()) + ")")
+_register("missing_rates", lambda s, d: reports.missing_rates(_features(s, d), list(MERGED)), "feat",
+          doubles=("missing_rate",),
+          sql="SELECT feature, missing_rate FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, avg(CASE WHEN \"{c}\" IS NULL THEN 1.0 ELSE 0.0 END) AS missing_rate FROM feat" for c in MERGED) + ") ORDER BY missing_rate DESC, feature LIMIT 20")
+_register("partition_lookback", lambda s, d: _features(s, d).where("date between date'2024-01-05' and date'2024-01-12'").select(*KEYS, "daily_event_cnt"), "feat",
+          sql="SELECT uuid, date, daily_event_cnt FROM feat WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'")
+_register("union_train",
+          lambda s, d: (f := _features(s, d)).where("has_activity").select(*KEYS, "daily_event_cnt").unionByName(f.select(*KEYS, "night_ratio"), allowMissingColumns=True), "feat",
+          doubles=("night_ratio",),
+          sql="SELECT * FROM (SELECT uuid, date, daily_event_cnt, NULL::DOUBLE AS night_ratio FROM feat WHERE has_activity UNION ALL SELECT uuid, date, NULL, night_ratio FROM feat)")
