@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from . import _text
 from ._labelled import fit_logistic, held_out, labelled_sample, sigmoid
 
-TRAIN_ROWS = 6000
+TRAIN_ROWS = 5000
 ROWS = 1 << 16
 DIM = 16
 WIDTHS = (1, 2, 3)
@@ -76,23 +76,22 @@ def _gram_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashe
     lengths = ends - starts + 2
     first = np.cumsum(lengths) - lengths
     total = int(lengths.sum())
-    word = np.repeat(np.arange(n), lengths)
-    inner = np.arange(total) - first[word]
-    flat = np.where(inner == 0, 0x3C, 0x3E).astype(np.uint64)
+    word = np.repeat(np.arange(n, dtype=np.int32), lengths)
+    inner = (np.arange(total) - first[word]).astype(np.int32)
+    flat = np.where(inner == 0, np.uint8(0x3C), np.uint8(0x3E))
     body = (inner > 0) & (inner < lengths[word] - 1)
     flat[body] = data[(inner + starts[word] - 1)[body]]
-    words, found = [np.arange(n)], [hashes]
+    words, found = [np.arange(n, dtype=np.int32)], [(hashes >> np.uint64(48)).astype(np.uint16)]
     for k in GRAMS:
-        at = np.flatnonzero(inner + k <= lengths[word])
+        at = np.flatnonzero(inner + k <= lengths[word]).astype(np.int32)
         gram = np.full(len(at), k, np.uint64)
         for j in range(k):
             gram = gram * np.uint64(0x100000001B3) + flat[at + j]
         words.append(word[at])
-        found.append(_text.mix(gram))
+        found.append((_text.mix(gram) >> np.uint64(48)).astype(np.uint16))
     words = np.concatenate(words)
     order = np.argsort(words, kind="stable")
-    buckets = (np.concatenate(found)[order] >> np.uint64(48)).astype(np.int64)
-    return buckets, np.concatenate([[0], np.cumsum(np.bincount(words, minlength=n))])
+    return np.concatenate(found)[order], np.concatenate([[0], np.cumsum(np.bincount(words, minlength=n))])
 
 
 def words_of(texts: list[bytes]) -> Words:
