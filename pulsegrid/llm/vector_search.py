@@ -40,7 +40,7 @@ MAX_PARTITIONS = 256
 class SearchConfig:
     k: int = 20
     sample_rows: int = 5000
-    rows_per_partition: int = 2000
+    rows_per_partition: int = 8000
     target_recall: float = 0.96
 
 
