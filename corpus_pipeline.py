@@ -1,7 +1,10 @@
 """The corpus pipeline: five operators of the llm subpackage one after another.
 
 Each stage gets all that the one before kept, as a table written and read again;
-the last gives the encoded documents in the order of the mixture.
+the last gives the encoded documents in the order of the mixture, each with its
+position in it.  The stages before keep the columns of documents, and a table read
+again has lost the order of its rows; so the last stage computes the positions of the
+rows it gets, which depend on nothing but these rows.
 """
 
 from __future__ import annotations
@@ -42,10 +45,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Identity, source and piece ids of every document, and the distance of its second segmentation."""
-    coded = sentence_pieces.encode(docs.select("doc_id", "lang", "source", "text"), PIECES, n_best=2)
+    """Every document, in the order of the mixture: identity, position, piece ids, the text they decode to, and the distance of the second segmentation."""
+    placed = mixing.mixed(docs.select("doc_id", "lang", "source", "text"), MIX, shuffle_partitions(spark), "position")
+    coded = sentence_pieces.encode(placed, PIECES, n_best=2)
     best = F.get("segmentations", F.lit(0))
-    return coded.select(
+    coded = coded.select(
+        "position",
         "doc_id",
         "lang",
         "source",
@@ -54,6 +59,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
         best["score"].alias("score"),
         (best["score"] - F.get("segmentations", F.lit(1))["score"]).alias("second_gap"),
     )
+    return sentence_pieces.decode(coded, PIECES, out_col="decoded")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -134,12 +134,17 @@ def schedule(docs: DataFrame, cfg: MixConfig, id_col: str = "doc_id", source_col
     )
 
 
-def mixed(docs: DataFrame, cfg: MixConfig, partitions: int) -> DataFrame:
-    """The rows of ``docs``, all of them, laid out in the order of the mixture."""
+def mixed(docs: DataFrame, cfg: MixConfig, partitions: int, position: str | None = None) -> DataFrame:
+    """The rows of ``docs``, all of them, laid out in the order of the mixture.
+
+    Files of a table are not read back in the order they were written in; with
+    ``position`` a column of that name has each row's place as well.
+    """
     name = "mix"
     while name in docs.columns:
         name += "_"
     placed = schedule(docs.withColumnsRenamed({"mix": name}) if "mix" in docs.columns else docs, cfg)
     at = F.col("mix.position")
-    out = placed.repartitionByRange(partitions, at).sortWithinPartitions(at).drop("mix")
+    out = placed.repartitionByRange(partitions, at).sortWithinPartitions(at)
+    out = (out.withColumn(position, at) if position else out).drop("mix")
     return out.withColumnRenamed(name, "mix") if name != "mix" else out

@@ -235,3 +235,36 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert 0 < got.count() < len(rows)
     assert got.where("n_pieces is null").count() == 0
+
+
+def test_mixture_reaches_the_last_stage(spark, tmp_path):
+    rng = random.Random(5)
+    rows = []
+    for i in range(120):
+        text = " ".join(f"v{rng.randrange(9000)}" for _ in range(400 if i % 7 == 0 else 12))
+        rows.append((i, text, "en", ("src0", "src1", None, "other")[(i * i) % 4], len(text)))
+    rows.append((500, "  two  words\n", "en", "src2", 0))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    stages = dict(corpus_pipeline.STAGES)
+    stages["mixing"](spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/mixed.parquet")
+    got = stages["sentence_pieces"](spark, spark.read.parquet(f"{tmp_path}/mixed.parquet"), str(tmp_path)).collect()
+
+    queues: dict[str, list] = {}
+    for i, _, _, source, _ in rows:
+        queues.setdefault(source or "", []).append(i)
+    weights, order, done = {s: {"src0": 6, "src1": 4, "src2": 3, "src3": 2}.get(s, 1) for s in queues}, [], dict.fromkeys(queues, 0)
+    total = sum(weights.values())
+    for q in queues.values():
+        q.sort(key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    slot = 0
+    while len(order) < len(rows):
+        released = [(-(-(done[s] + 1) * total // w), s) for s, w in weights.items() if done[s] * total // w <= slot]
+        if released:
+            s = min(released)[1]
+            order += queues[s][8 * done[s] : 8 * done[s] + 8]
+            done[s] += 1
+        slot += 1
+    assert [r["doc_id"] for r in got] == order
+    assert [r["position"] for r in got] == list(range(len(rows)))
+    texts = {r[0]: r[1] for r in rows}
+    assert all(r["decoded"] == texts[r["doc_id"]] for r in got)
