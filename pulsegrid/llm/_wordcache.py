@@ -3,7 +3,8 @@
 Byte-level BPE splits its input by a fixed pattern before any merge, and no
 match of that pattern spans the place where a character that isn't white space
 is followed by white space.  Text may therefore be cut at these places and each
-chunk encoded alone; equal chunks are encoded once per worker.
+chunk encoded alone; equal chunks are encoded once per worker.  A text that holds
+the content of an added token is encoded whole, as the tokenizer splits it there first.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ class CachedByteBpe:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # special strings inside a text are ordinary text
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._max = max_entries // 2
         self._memo: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}  # the generation before; what is used again moves up
@@ -58,7 +59,7 @@ class CachedByteBpe:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if "\0" in text or _CONTROL.search(text):
+        if "\0" in text or _CONTROL.search(text) or any(t in text for t in self._added):
             return self._ids([text])[0]
         keys = self.pieces(text)
         memo = self._memo

@@ -268,3 +268,16 @@ def test_mixture_reaches_the_last_stage(spark, tmp_path):
     assert [r["position"] for r in got] == list(range(len(rows)))
     texts = {r[0]: r[1] for r in rows}
     assert all(r["decoded"] == texts[r["doc_id"]] for r in got)
+
+
+def test_added_tokens_are_encoded_as_by_the_library(spark):
+    from tokenizers import Tokenizer
+
+    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    t, start = Tokenizer.from_file(path), 0
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\n  <|endoftext|>y", "<|endoftext", "plain text"]
+    got = by_id(token_files.token_file_table(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), path))
+    for i, text in enumerate(texts):
+        ids = np.array([*t.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
