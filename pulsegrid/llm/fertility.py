@@ -7,8 +7,9 @@ token distribution.  A text is rejected by its fertility if a measure lies outsi
 the band of its language (its script, where the language column has no code of two
 or three letters) and size class.  The bands are the quartiles over the whole
 corpus, widened by ``fence`` times their distance (at least ``slack`` of the
-median), so they follow a corpus without rejecting its ordinary texts.  A class of
-fewer than ``least_class`` texts rejects nothing.
+median), so they follow a corpus without rejecting its ordinary texts.  A text in a class
+of fewer than ``least_class`` texts is held against the band of its language over all
+sizes; if that has too few as well, of its script, and else of the whole corpus.
 
 Cases: null and empty texts have no words, fail the base rules and have no measure
 (null); words of any length are measured whole; repeated rows count as often as they
@@ -181,20 +182,26 @@ def measured(docs: DataFrame, model_file: str, rules: FertilityRules) -> DataFra
     return rows.mapInPandas(work, f"doc_id bigint, lang string, {MEASURES}")
 
 
-def bands(rows: DataFrame, rules: FertilityRules) -> DataFrame:
-    """(band, size_class, and a low and high limit of each measure); a row a class.
+#: What a text is held against, the narrowest class first.
+LEVELS = (["band", "size_class"], ["band"], ["script"], [])
+
+
+def bands(rows: DataFrame, rules: FertilityRules, keys: list[str]) -> DataFrame:
+    """(``keys``, and a struct ``limits_<number of the level>`` of a low and high limit of each measure); a row a class.
 
     Values are rounded to hundredths first, which bounds what the exact quartiles hold.
     """
     names = ("chars_per_token", "byte_share", "token_entropy")
     q = F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)])
-    parts = rows.where("n_tokens > 0").groupBy("band", "size_class").agg(F.count("*").alias("n"), *[F.percentile(F.round(m, 2), q).alias(m) for m in names])
+    parts = rows.where("n_tokens > 0").groupBy(*keys).agg(F.count("*").alias("n"), *[F.percentile(F.round(m, 2), q).alias(m) for m in names])
     limits = []
     for m in names:
         least = F.lit(0.05) if m == "byte_share" else F.col(m)[1] * rules.slack
         width = rules.fence * F.greatest(F.col(m)[2] - F.col(m)[0], least)
         limits += [(F.col(m)[0] - width).alias(f"{m}_low"), (F.col(m)[2] + width).alias(f"{m}_high")]
-    return parts.where(F.col("n") >= rules.least_class).select("band", "size_class", *limits)
+    if keys:
+        parts = parts.where(F.col("n") >= rules.least_class)
+    return parts.select(*keys, F.struct(*limits).alias(f"limits_{LEVELS.index(keys)}"))
 
 
 def judge_quality(docs: DataFrame, model_file: str, rules: FertilityRules = FertilityRules()) -> DataFrame:
@@ -202,12 +209,16 @@ def judge_quality(docs: DataFrame, model_file: str, rules: FertilityRules = Fert
     size = F.least(F.greatest(F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))), F.lit(3)), F.lit(16))
     band = F.when(F.col("lang").rlike("^[a-z]{2,3}$"), F.col("lang")).otherwise(F.col("script"))
     rows = materialise(measured(docs, model_file, rules).withColumns({"size_class": size.cast("int"), "band": band}), "measures")
-    limits = F.broadcast(bands(rows, rules))  # codes of two or three letters or a script, in 14 size classes: at most 260,000 rows
+    judged = rows
+    for keys in LEVELS:  # codes of two or three letters or a script, in 14 size classes: at most 260,000 rows
+        limits = F.broadcast(bands(rows, rules, keys))
+        judged = judged.join(limits, keys, "left") if keys else judged.crossJoin(limits)
+    judged = judged.withColumn("limits", F.coalesce(*[f"limits_{k}" for k in range(len(LEVELS))]))
     odd = F.lit(False)
     for m in ("chars_per_token", "byte_share", "token_entropy"):
-        odd = odd | F.coalesce((F.col(m) < F.col(f"{m}_low")) | (F.col(m) > F.col(f"{m}_high")), F.lit(False))
+        odd = odd | F.coalesce((F.col(m) < F.col(f"limits.{m}_low")) | (F.col(m) > F.col(f"limits.{m}_high")), F.lit(False))
     base = (F.col("n_words") < rules.least_words) | (100 * F.col("n_repeat_words") > rules.most_repeat_percent * F.col("n_words"))
-    return rows.join(limits, ["band", "size_class"], "left").select(
+    return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), (~base & ~odd).alias("kept"), "n_tokens", "chars_per_token", "byte_share", "token_entropy", "band",
     )

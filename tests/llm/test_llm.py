@@ -281,3 +281,22 @@ def test_added_tokens_are_encoded_as_by_the_library(spark):
         ids = np.array([*t.encode(text, add_special_tokens=False).ids, 0], "<u4")
         assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+
+
+def test_small_classes_are_judged_by_a_wider_band(spark):
+    rng = random.Random(4)
+    words = "time house water people great little world under never think small place right after light found story river paper green".split()
+
+    def prose(n: int) -> str:
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    def junk(n: int) -> str:
+        return " ".join("".join(rng.choice("\u16a0\u16a1\u16a2\u16a3\u16a4\u16a5\u16a6\u16a7") for _ in range(6)) for _ in range(n))
+
+    rows = [(i, prose(40 + i % 15), "en") for i in range(40)]
+    rows += [(100, junk(900), "en"), (101, prose(20) + " " + junk(300), "xx"), (102, junk(800), None)]
+    got = by_id(fertility.judge_quality(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), PIECES))
+    assert not any(got[i]["base_failed"] or got[i]["kept"] for i in (100, 101, 102))
+    assert sum(got[i]["kept"] for i in range(40)) >= 36
+    few = by_id(fertility.judge_quality(spark.createDataFrame([*rows[:12], rows[40]], "doc_id bigint, text string, lang string"), PIECES))
+    assert not few[100]["kept"] and sum(few[i]["kept"] for i in range(12)) >= 10
