@@ -3,7 +3,9 @@
 The pieces that match at each place of a text form a lattice.  A forward Viterbi pass
 gives the best score from the start to each place; these scores are exact
 heuristics for an A-star search from the end backwards, which therefore meets the
-complete segmentations in order of their scores.
+complete segmentations in order of their scores.  Each open path of the search stands for a
+complete one of its own with just that score, so no more paths than segmentations are wanted
+stay open, and a path is kept as a chain of links: memory grows with the length of a segment.
 
 No piece goes on past the place where a character is followed by a space, nor
 past a line feed, so each path of the lattice of a whole text passes those places:
@@ -16,7 +18,6 @@ file.  Bytes stand for a character only where the vocabulary hasn't got it.
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
 from functools import lru_cache
@@ -30,6 +31,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 LONG = 40  # bytes; longer segments are solved one by one
 CELLS = 3_000_000  # lattice edges solved at once
 MEMO = 300_000
+MEMO_BYTES = 16 << 20  # of segments
 BYTE_PENALTY = 10.0
 
 
@@ -82,6 +84,7 @@ class PieceLattice:
     def _clear(self) -> None:
         self._index.clear()
         self._n_best.clear()
+        self._held = 0
         self.best_ids: list[bytes] = []
         self.best_scores = np.empty(0)
         self.gaps = np.empty(0)
@@ -119,16 +122,25 @@ class PieceLattice:
         if got is None or len(got) < n:
             data = segment.encode()
             ahead = self.forward(data)
-            heap: list[tuple] = [(-ahead[-1], (), len(data), 0.0)]
+            # open paths (score of the whole, place, score so far, (id, link)) in order of their ids from the end
+            front: list[tuple] = [(ahead[-1], len(data), 0.0, None)]
             got = []
-            while heap and len(got) < n:
-                _, ids, at, behind = heapq.heappop(heap)
+            while front and len(got) < n:
+                k = max(range(len(front)), key=lambda j: front[j][0])
+                _, at, behind, link = front[k]
                 if not at:
-                    got.append((behind, np.array(ids[::-1], "<u4").tobytes()))
+                    ids = []
+                    while link:
+                        ids.append(link[0])
+                        link = link[1]
+                    got.append((behind, np.array(ids, "<u4").tobytes()))
+                    del front[k]
                     continue
-                for start, i, x in self.edges_to(data, at):
-                    if ahead[start] > -math.inf:
-                        heapq.heappush(heap, (-(behind + x + ahead[start]), (*ids, i), start, behind + x))
+                edges = sorted((i, start, behind + x) for start, i, x in self.edges_to(data, at) if ahead[start] > -math.inf)
+                front[k : k + 1] = [(s + ahead[start], start, s, (i, link)) for i, start, s in edges]
+                if len(front) > n - len(got):
+                    best = sorted(range(len(front)), key=lambda j: -front[j][0])[: n - len(got)]
+                    front = [front[j] for j in sorted(best)]
             self._n_best[segment] = got
         return got
 
@@ -193,13 +205,14 @@ class PieceLattice:
             second = np.maximum(second, (ahead[: size - k + 1] + through[k, : size - k + 1] + behind[k:]).max(0))
         return ahead[size], ahead[size] - second, path[:turn], n_bytes
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str], n: int) -> None:
         by_size: dict[int, list[str]] = {}
         scores, gaps, used = [self.best_scores], [self.gaps], [self.bytes_used]
         for s in new:
             data = s.encode()
+            self._held += len(data)
             if len(data) > LONG:
-                two = self.n_best(s, 2)
+                two = self.n_best(s, max(n, 2))
                 score, ids = two[0]
                 self._index[s] = len(self._index)
                 self.best_ids.append(ids)
@@ -228,13 +241,13 @@ class PieceLattice:
     def encode(self, texts: list[str], n: int) -> list[tuple[list[bytes], list[float], int]]:
         """For each text: ids of its ``n`` best segmentations, their scores, byte pieces of the best one."""
         split = [segments(t) for t in texts]
-        if len(self._index) > MEMO:
+        if len(self._index) > MEMO or self._held > MEMO_BYTES:
             self._clear()
         flat = [s for part in split for s in part]
         found = list(map(self._index.get, flat))
         if None in found:
             fresh = [k for k, i in enumerate(found) if i is None]
-            self._learn(list(dict.fromkeys(flat[k] for k in fresh)))
+            self._learn(list(dict.fromkeys(flat[k] for k in fresh)), n)
             for k in fresh:
                 found[k] = self._index[flat[k]]
         places, end, out = np.array(found, np.int64), 0, []

@@ -300,3 +300,32 @@ def test_small_classes_are_judged_by_a_wider_band(spark):
     assert sum(got[i]["kept"] for i in range(40)) >= 36
     few = by_id(fertility.judge_quality(spark.createDataFrame([*rows[:12], rows[40]], "doc_id bigint, text string, lang string"), PIECES))
     assert not few[100]["kept"] and sum(few[i]["kept"] for i in range(12)) >= 10
+
+
+def test_long_runs_without_a_space(spark):
+    import resource
+
+    lattice = PieceLattice(PIECES)
+    rng = random.Random(6)
+    for _ in range(60):  # all segmentations with their scores, ranked by score and by ids from the end
+        data = "".join(rng.choice("aabn日") for _ in range(rng.randint(1, 9))).encode()
+        ahead, heads = lattice.forward(data), [(0.0, (), len(data))]
+        every = []
+        while heads:
+            behind, ids, at = heads.pop()
+            if at:
+                heads += [(behind + x, (*ids, i), start) for start, i, x in lattice.edges_to(data, at) if ahead[start] > -np.inf]
+            else:
+                every.append((-behind, ids))
+        want, got = sorted(every)[:4], lattice.n_best(data.decode(), 4)
+        assert len(got) == len(want) and np.allclose([-s for s, _ in want], [s for s, _ in got])
+        for s, ids in got:
+            assert any(np.array(i[::-1], "<u4").tobytes() == ids and abs(x + s) < 1e-9 for x, i in every)
+    text = "".join(rng.choice("的一是不了人我在有他这为之大来以个中上们abc0189+/") for _ in range(400_000))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    (ids, scores, _), = lattice.encode([text], 4)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600_000
+    assert len(text.encode()) > 900_000 and len(set(ids)) == 4 and scores == sorted(scores, reverse=True)
+    assert all(lattice.decode(np.frombuffer(i, "<u4")) == text for i in ids)
+    row = sentence_pieces.piece_table(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), PIECES).collect()[0]
+    assert row["round_trip"] and row["ids_crc32"] == zlib.crc32(ids[0])
