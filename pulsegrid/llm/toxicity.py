@@ -141,6 +141,7 @@ class ConvModel:
                 for j in range(width):
                     got += projected[ids[j : j + n], col : col + FILTERS]
                     col += FILTERS
+                got[ids[:n] == w.n] = 0  # a window at a blank sees blanks only, not the next text
                 part = slice(i * FILTERS, (i + 1) * FILTERS)
                 pooled[text:last, part] = np.maximum(pooled[text:last, part], np.maximum.reduceat(got, cuts, axis=0))
         return np.maximum(pooled + np.concatenate(self.shifts), 0) @ self.out + self.bias
@@ -205,12 +206,13 @@ def fit_filters(w: Words, y: np.ndarray, steps: int = 1200, batch: int = 32, see
                 emb[: len(real)] = np.add.reduceat(m.table[buckets] * share[:, None], np.cumsum(counts[real]) - counts[real], axis=0)
             if len(real) == len(own):  # a blank for what lies beyond the batch
                 emb = np.vstack([emb, np.zeros((1, DIM), np.float32)])
-            local = np.concatenate([local, np.full(2, len(emb) - 1)])
-            begins = np.concatenate([[0], np.cumsum([len(s) for s in spans])])
+            # two more blanks after each text, where no window begins: none sees the next text
+            local = np.insert(local, np.repeat(np.cumsum([len(s) for s in spans]), 2), len(emb) - 1)
+            begins = np.concatenate([[0], np.cumsum([len(s) + 2 for s in spans])])
             tops, hidden = [], []
             for k, f, shift in zip(WIDTHS, m.filters, m.shifts):
-                got = sum((emb @ f[j])[local[j : len(ids) + j]] for j in range(k))
-                top = np.stack([a + got[a:b].argmax(0) for a, b in zip(begins, begins[1:])])
+                got = sum((emb @ f[j])[local[j : len(local) - 2 + j]] for j in range(k))
+                top = np.stack([a + got[a : b - 2].argmax(0) for a, b in zip(begins, begins[1:])])
                 tops.append(top)
                 hidden.append(got[top, np.arange(FILTERS)] + shift)
             h = np.concatenate(hidden, axis=1)

@@ -329,3 +329,32 @@ def test_long_runs_without_a_space(spark):
     assert all(lattice.decode(np.frombuffer(i, "<u4")) == text for i in ids)
     row = sentence_pieces.piece_table(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), PIECES).collect()[0]
     assert row["round_trip"] and row["ids_crc32"] == zlib.crc32(ids[0])
+
+
+def test_toxicity_of_a_text_is_its_own():
+    rng = np.random.default_rng(1)
+    width = toxicity.DIM, toxicity.FILTERS
+    model = toxicity.ConvModel(
+        rng.normal(size=(toxicity.ROWS, width[0])).astype(np.float32),
+        [rng.normal(size=(k, *width)).astype(np.float32) for k in toxicity.WIDTHS],
+        [np.zeros(width[1], np.float32) for _ in toxicity.WIDTHS],
+        rng.normal(size=width[1] * len(toxicity.WIDTHS)).astype(np.float32),
+        0.0,
+        {"": (1.0, 0.0)},
+    )
+    texts = [b"", b"clean words here", b"awful insult first", b"one", b"", b"  ", b"the last of them"]
+    alone = np.array([float(model.raw(toxicity.words_of([t]))[0]) for t in texts])
+    for order in (range(7), [2, 1, 0, 3, 6, 5, 4], [6, 0, 6, 3, 2, 4, 2]):
+        together = model.raw(toxicity.words_of([texts[k] for k in order]))
+        assert np.allclose(together, alone[list(order)], atol=1e-4)
+
+
+def test_toxicity_training_keeps_texts_apart():
+    texts = [b"plain words only"] * 40 + [b"insult comes here"] * 40
+    y = np.array([0] * 40 + [1] * 40)
+    w = toxicity.words_of(texts)
+    m = toxicity.fit_filters(w, y)
+    z = m.raw(w)
+    assert z[:40].max() < 0 < z[40:].min()
+    empty = toxicity.fit_filters(toxicity.words_of([b"", b"insult here"] * 40), np.array([0, 1] * 40))
+    assert empty.raw(toxicity.words_of([b""]))[0] < 0 < empty.raw(toxicity.words_of([b"insult here"]))[0]
