@@ -14,9 +14,13 @@ import re
 from array import array
 from functools import lru_cache
 
+import numpy as np
+
 _CHUNK = re.compile(r"\s*\S+|\s+")
-_ODD_SPACE = re.compile(r"\s[ \n]|[ \n]\s|^[ \n]|[ \n]$")
+_RARE_SPACE = re.compile(r"[^\S \n]")
+_ODD_SPACE = re.compile(r"\s[ \n]|[ \n]\s")
 _CONTROL = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the tokenizer's pattern
+TOGETHER = 1 << 18  # characters of new chunks that go to the library as one text
 
 
 class CachedByteBpe:
@@ -28,6 +32,9 @@ class CachedByteBpe:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        by_id = sorted((i, len(t)) for t, i in self._tokenizer.get_vocab(with_added_tokens=True).items())
+        self._byte_lengths = np.zeros(by_id[-1][0] + 1, np.int64)
+        self._byte_lengths[[i for i, _ in by_id]] = [n for _, n in by_id]
         self._max = max_entries // 2
         self._memo: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}  # the generation before; what is used again moves up
@@ -38,6 +45,39 @@ class CachedByteBpe:
             for e in self._tokenizer.encode_batch_fast(items, add_special_tokens=False)
         ]
 
+    def _ids_of_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk; those that may stand one after another are encoded as one text.
+
+        A byte-level token has a character for each byte in the vocabulary, so the
+        tokens' lengths tell where the chunks end.
+        """
+        out: list[bytes] = [b""] * len(chunks)
+        fit = [k for k, c in enumerate(chunks) if c[0].isspace() and not c[-1].isspace()]
+        apart = set(range(len(chunks))).difference(fit)
+        at = 0
+        while at < len(fit):
+            size, part = 0, []
+            while at < len(fit) and size < TOGETHER:
+                part.append(fit[at])
+                size += len(chunks[fit[at]])
+                at += 1
+            text = "".join([chunks[k] for k in part])
+            ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            byte_ends = np.cumsum(self._byte_lengths[ids])
+            want = np.cumsum([len(chunks[k].encode("utf-8", "surrogatepass")) for k in part])
+            ends = np.searchsorted(byte_ends, want) + 1
+            if len(ids) and ends[-1] == len(ids) and (byte_ends[ends - 1] == want).all():
+                data, start = ids.astype("<u4").tobytes(), 0
+                for k, end in zip(part, (4 * ends).tolist()):
+                    out[k] = data[start:end]
+                    start = end
+            else:  # never seen; a token that spans two chunks would land here
+                apart.update(part)
+        rest = sorted(apart)
+        for k, ids in zip(rest, self._ids([chunks[k] for k in rest])):
+            out[k] = ids
+        return out
+
     @staticmethod
     def pieces(text: str) -> list[str]:
         """Chunks of a text, each led by a space except where the chunk says otherwise.
@@ -45,7 +85,8 @@ class CachedByteBpe:
         A chunk key starting with a newline, or with NUL for "as it stands", is
         encoded without a leading space.
         """
-        if _ODD_SPACE.search(text):
+        odd = "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n"
+        if odd or (_RARE_SPACE.search(text) and _ODD_SPACE.search(text)):
             return ["\0" + c for c in _CHUNK.findall(text)]
         out = text.replace("\n", " \n").split(" ")
         out[0] = "\0" + out[0]
@@ -57,23 +98,38 @@ class CachedByteBpe:
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if "\0" in text or _CONTROL.search(text) or any(t in text for t in self._added):
-            return self._ids([text])[0]
-        keys = self.pieces(text)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; chunks that are new to the memo are encoded together."""
+        whole = {k for k, t in enumerate(texts) if "\0" in t or any(a in t for a in self._added) or _CONTROL.search(t)}
+        keys = [[] if k in whole or not t else self.pieces(t) for k, t in enumerate(texts)]
         memo = self._memo
-        found = list(map(memo.get, keys))
-        if None in found:
+        found = [list(map(memo.get, each)) for each in keys]
+        new: dict[str, bytes | None] = {}
+        for each, got in zip(keys, found):
+            if None in got:
+                for k, v in zip(each, got):
+                    if v is None:
+                        new[k] = None
+        if new:
             if len(memo) > self._max:
                 self._old, self._memo = memo, {}
                 memo = self._memo
-            new = {k: self._old.get(k) for k, v in zip(keys, found) if v is None}
+            old = self._old
+            new = {k: old.get(k) for k in new}
             missing = [k for k, v in new.items() if v is None]
-            new.update(zip(missing, self._ids([self._surface(k) for k in missing])))
+            new.update(zip(missing, self._ids_of_chunks([self._surface(k) for k in missing])))
             memo.update(new)
-            found = [new[k] if v is None else v for k, v in zip(keys, found)]
-        return b"".join(found)
+        out = []
+        for k, (each, got) in enumerate(zip(keys, found)):
+            if k in whole:
+                out.append(self._ids([texts[k]])[0])
+            elif new and None in got:
+                out.append(b"".join([new[key] if v is None else v for key, v in zip(each, got)]))
+            else:
+                out.append(b"".join(got))
+        return out
 
 
 @lru_cache(maxsize=2)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +22,15 @@ from . import (
 )
 from ._shared import read_table
 
-TOKENIZERS = os.environ.get("PULSEGRID_TOKENIZERS", "/opt/tokenizers")
-PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+
+def tokenizer_file(name: str) -> str:
+    """A public vocabulary file, from the folder ``PULSEGRID_TOKENIZERS`` where that is set."""
+    folder = os.environ.get("PULSEGRID_TOKENIZERS")
+    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
+
+
+PIECES = tokenizer_file("piece_bpe_32k.model")
+BYTE_BPE = tokenizer_file("byte_bpe_50k.json")
 
 
 #: Production target weights by source; a source that isn't listed has weight 1.
@@ -119,7 +127,7 @@ def op9_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PFOR shards of every whole text, read back per document."""
-    return token_files.token_file_table(read_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return token_files.token_file_table(read_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
 QUERIES = {

@@ -160,8 +160,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_dir: str | None
 
         held = 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].astype(object), batch["text"]):
-                data = bpe.encode(text) + end
+            coded = bpe.encode_all(list(batch["text"]))
+            for doc_id, own in zip(batch["doc_id"].astype(object), coded):
+                data = own + end
                 ids.append(data)
                 names.append(None if pd.isna(doc_id) else int(doc_id))
                 lengths.append(len(data) // 4)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from pulsegrid.llm import fertility, mixing, near_dedup, sentence_pieces, suffix_dedup, token_files, toxicity, vector_search, word_repeats
 from pulsegrid.llm.piece_lattice import PieceLattice, segments
-from pulsegrid.llm.queries import PIECES, TOKENIZERS
+from pulsegrid.llm.queries import BYTE_BPE, PIECES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -169,7 +169,7 @@ def test_n_best_is_exact_and_decodes(docs, empty):
 def test_token_files_round_trip(docs, empty):
     from tokenizers import Tokenizer
 
-    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    path = BYTE_BPE
     t, start = Tokenizer.from_file(path), 0
     got = by_id(token_files.token_file_table(docs, path))
     for i, text, *_ in sorted(corpus()):
@@ -273,7 +273,7 @@ def test_mixture_reaches_the_last_stage(spark, tmp_path):
 def test_added_tokens_are_encoded_as_by_the_library(spark):
     from tokenizers import Tokenizer
 
-    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    path = BYTE_BPE
     t, start = Tokenizer.from_file(path), 0
     texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\n  <|endoftext|>y", "<|endoftext", "plain text"]
     got = by_id(token_files.token_file_table(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), path))
