@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import TypeVar
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+#: Bytes of text that a classifier is fitted on at most.
+TRAIN_BYTES = 32 << 20
+
 
 def held_out(doc_id: str = "doc_id") -> Column:
     """crc32 of the doc_id's text leaves 1 modulo 3; a null doc_id isn't held out."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> list[tuple[bytes, int]]:
-    """At most ``bound`` labelled whole texts that aren't held out, in an order fixed by a hash of doc_id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
+    """(h, doc_id, label, data): at most ``bound`` labelled whole texts that aren't held out, told apart by a hash of doc_id.
 
     Ids are chosen from the label table first, so that only the chosen texts
-    reach the driver.  Equal texts count once; rows with a null or odd label,
-    doc_id or text are passed over.
+    travel.  Rows with a null or odd label, doc_id or text are passed over.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -27,17 +35,37 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int)
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(bound)
     )
-    rows = (
+    return (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data"))
         .where("data is not null and doc_id is not null")
         .join(F.broadcast(chosen), "doc_id")  # at most ``bound`` ids
         .select(F.xxhash64("doc_id").alias("h"), "doc_id", "label", "data")
-        .collect()
     )
-    seen: dict[bytes, int] = {}
-    for row in sorted(rows, key=lambda r: (r["h"], r["doc_id"], r["label"], bytes(r["data"]))):
-        seen.setdefault(bytes(row["data"]), row["label"])
-    return list(seen.items())
+
+
+def trained(docs: DataFrame, labels: DataFrame, label: str, bound: int, train: Callable[[list[tuple[bytes, int]]], T], max_bytes: int = TRAIN_BYTES) -> T:
+    """What ``train`` makes of the labelled sample, in one task; the driver gets the model alone.
+
+    The sample comes in the order of its hash, equal texts once, and ends at
+    ``bound`` rows or before the text that would take it over ``max_bytes``.
+    """
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[bytes, int] = {}
+        size = 0
+        for batch in batches:
+            for data, y in zip(batch["data"], batch["label"]):
+                data = bytes(data)
+                if size >= 0 and data not in seen:
+                    size = size + len(data) if size + len(data) <= max_bytes else -1
+                    if size >= 0:
+                        seen[data] = int(y)
+        yield pd.DataFrame({"model": [pickle.dumps(train(list(seen.items())))]})
+
+    sample = labelled_sample(docs, labels, label, bound)
+    ordered = sample.repartition(1).sortWithinPartitions("h", "doc_id", "label", "data").select("label", "data")
+    row = ordered.mapInPandas(fit, "model binary").first()
+    return pickle.loads(bytes(row["model"])) if row else train([])  # an empty sample has no task
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, weight: np.ndarray | None = None, rounds: int = 50) -> np.ndarray:

@@ -7,9 +7,11 @@ pieces keep a dictionary's influence up over long texts, the constant draws very
 short texts to the middle.  A logistic curve fitted on labelled texts that the dictionaries
 have not seen turns it into a probability.
 
-The labelled sample is bounded by ``TRAIN_ROWS``.  Cases: null and empty texts get the
-curve's value at 0; without labels of both kinds every score is 0.5; repeated
-rows are scored alike; null doc_ids stay null; an empty table gives an empty result.
+The labelled sample is bounded by ``TRAIN_ROWS`` and in bytes (see ``_labelled``), and
+a task of its own trains on it.  Cases: null and empty texts get the
+curve's value at 0; very long texts go through piece by piece; without labels of both kinds every score is 0.5; repeated
+rows are scored alike; null doc_ids stay null and count as not held out; an empty table gives an empty
+result; columns other than id and text, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._labelled import fit_logistic, held_out, labelled_sample, sigmoid
+from ._labelled import fit_logistic, held_out, sigmoid, trained
 
 TRAIN_ROWS = 3000
 PIECE = 512
@@ -87,7 +89,7 @@ def train(sample: list[tuple[bytes, int]]) -> QualityModel | None:
 
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs(doc_id, text)``."""
-    model = train(labelled_sample(docs, labels, "quality", TRAIN_ROWS))
+    model = trained(docs, labels, "quality", TRAIN_ROWS, train)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         feature = SizeDifference(model.good, model.bad) if model else None

@@ -9,8 +9,10 @@ one threshold on the calibrated score is a threshold of its own for each
 language.  The language is found in the text itself by its function words; the
 column of that name is never read.
 
-The labelled sample is bounded by ``TRAIN_ROWS``; the model that tasks get is one
-table of ``ROWS`` embeddings and a few small matrices.
+The labelled sample is bounded by ``TRAIN_ROWS`` and in bytes (see ``_labelled``), and a
+task of its own trains on it; the model that comes back and goes to all tasks is one
+table of ``ROWS`` embeddings and a few small matrices.  The embeddings' first dimension starts from the
+evidence that single features give in the sample, which is what small samples live on.
 
 Cases: null and empty texts and texts without a word get the score of no filter
 firing; without labels of both kinds every score is 0.5; repeated rows are scored
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text
-from ._labelled import fit_logistic, held_out, labelled_sample, sigmoid
+from ._labelled import fit_logistic, held_out, sigmoid, trained
 
 TRAIN_ROWS = 5000
 ROWS = 1 << 16
@@ -38,7 +40,10 @@ DIM = 16
 WIDTHS = (1, 2, 3)
 FILTERS = 12
 GRAMS = (4, 6)
-LEAST_DOCS = 8  # features of fewer training texts stay at zero
+LEAST_DOCS = 3  # features of fewer training texts stay at zero
+SURE = 2.0  # standard errors that a bucket's first weight is lowered by
+FOLDS = 3
+STEPS, BATCH, EPOCHS, RATE = 250, 32, (2, 8), 0.05
 STEP = 100_000
 BATCH_BYTES = 1 << 19
 
@@ -117,6 +122,17 @@ class ConvModel:
     bias: float
     curves: dict[str, tuple[float, float]] = field(default_factory=dict)
 
+    def __getstate__(self) -> dict:
+        """Without the rows of the table that are all zero."""
+        used = np.flatnonzero(self.table.any(1))
+        return self.__dict__ | {"table": (used.astype(np.uint16), self.table[used])}
+
+    def __setstate__(self, state: dict) -> None:
+        used, rows = state["table"]
+        table = np.zeros((ROWS, DIM), np.float32)
+        table[used] = rows
+        self.__dict__.update(state | {"table": table})
+
     def embed(self, w: Words) -> np.ndarray:
         """One row a word and a zero row for the blank."""
         out = np.zeros((w.n + 1, DIM), np.float32)
@@ -170,48 +186,68 @@ def language_of(w: Words) -> list[str]:
     return [names[k] if most else "" for k, most in zip(counts.argmax(1), counts.max(1))]
 
 
-def fit_filters(w: Words, y: np.ndarray, steps: int = 1200, batch: int = 32, seed: int = 3) -> ConvModel:
-    """Filters, embeddings and output unit by Adagrad on the logistic loss; words are dropped at random while training."""
-    rng = np.random.default_rng(seed)
+def buckets_of_texts(w: Words) -> list[np.ndarray]:
+    """The distinct feature buckets of each text."""
     counts = np.diff(w.offsets)
-    in_texts = np.zeros(ROWS, np.int64)
+    out = []
     for a, b in zip(w.begins, w.begins[1:]):
-        own = np.unique(w.ids[a:b])[:-1]
-        if len(own):
-            at = np.repeat(w.offsets[own] - np.cumsum(counts[own]) + counts[own], counts[own]) + np.arange(int(counts[own].sum()))
-            in_texts[np.unique(w.buckets[at])] += 1
+        own = np.unique(w.ids[a:b])[:-1]  # the last is the blank
+        at = np.repeat(w.offsets[own] - np.cumsum(counts[own]) + counts[own], counts[own]) + np.arange(int(counts[own].sum()))
+        out.append(np.unique(w.buckets[at]))
+    return out
+
+
+def evidence(own: list[np.ndarray], y: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(by how much a bucket's presence at least raises the log odds of a toxic text, in how many of the texts it occurs)."""
+    seen = np.zeros((2, ROWS))
+    for r in rows:
+        seen[y[r], own[r]] += 1
+    n = np.bincount(y[rows], minlength=2)
+    clean, toxic = seen + 0.5
+    gain = np.log(toxic / (n[1] + 1)) - np.log(clean / (n[0] + 1))
+    return np.maximum(gain - SURE * np.sqrt(1 / toxic + 1 / clean), 0), seen.sum(0)
+
+
+def fit_filters(w: Words, y: np.ndarray, own: list[np.ndarray] | None = None, chosen: np.ndarray | None = None, seed: int = 3) -> ConvModel:
+    """Filters, embeddings and output unit by Adagrad on the logistic loss; words are dropped at random while training.
+
+    The first dimension of an embedding starts from the bucket's own evidence and
+    one filter of each width from reading it, the rest from noise.  ``chosen``
+    are the texts to learn from.
+    """
+    rng = np.random.default_rng(seed)
+    counts = np.diff(w.offsets)
+    own = buckets_of_texts(w) if own is None else own
+    chosen = np.arange(len(y)) if chosen is None else chosen
+    gain, in_texts = evidence(own, y, chosen)
     known = in_texts >= LEAST_DOCS
-    table = (rng.normal(size=(ROWS, DIM)) * 0.1 * known[:, None]).astype(np.float32)
-    m = ConvModel(
-        table,
-        [(rng.normal(size=(k, DIM, FILTERS)) * 0.3).astype(np.float32) for k in WIDTHS],
-        [np.zeros(FILTERS, np.float32) for _ in WIDTHS],
-        (rng.normal(size=FILTERS * len(WIDTHS)) * 0.3).astype(np.float32),
-        0.0,
-    )
-    weight = np.where(y == 1, min(4.0, (y == 0).sum() / max(1, (y == 1).sum())), 1.0)
+    table = (rng.normal(size=(ROWS, DIM)) * 0.05 * known[:, None]).astype(np.float32)
+    table[:, 0] = gain * known
+    filters = [(rng.normal(size=(k, DIM, FILTERS)) * 0.3).astype(np.float32) for k in WIDTHS]
+    out = (rng.normal(size=FILTERS * len(WIDTHS)) * 0.1).astype(np.float32)
+    for i, f in enumerate(filters):
+        f[:, :, 0] = 0
+        f[:, 0, 0] = 1 / len(f)
+        out[i * FILTERS] = 2
+    m = ConvModel(table, filters, [np.zeros(FILTERS, np.float32) for _ in WIDTHS], out, -1.0)
+    weight = np.where(y == 1, min(4.0, (y[chosen] == 0).sum() / max(1, (y[chosen] == 1).sum())), 1.0)
     parts = [*m.filters, *m.shifts, m.out]
     past, past_bias, past_table = [np.full_like(p, 1e-3) for p in parts], 1e-3, np.full(ROWS, 1e-3, np.float32)
-    for _ in range(int(np.clip(-(-steps * batch // len(y)), 4, 60))):
-        for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // batch)):
+    first = np.cumsum([0, *(FILTERS * k for k in WIDTHS)])
+    for _ in range(int(np.clip(-(-STEPS * BATCH // len(chosen)), *EPOCHS))):
+        rows_of = m.embed(w)  # of words whose buckets move through others, as of the start of the round
+        for rows in np.array_split(rng.permutation(chosen), max(1, len(chosen) // BATCH)):
             spans = [w.ids[w.begins[r] : w.begins[r + 1]] for r in rows]
             ids = np.concatenate(spans)
             ids = np.where(rng.random(len(ids)) < 0.2, w.n, ids)
-            own, local = np.unique(ids, return_inverse=True)
-            real = own[own < w.n]
-            flat = np.repeat(w.offsets[real] - np.cumsum(counts[real]) + counts[real], counts[real]) + np.arange(int(counts[real].sum()))
-            buckets, share = w.buckets[flat], np.repeat(1 / counts[real], counts[real]).astype(np.float32)
-            emb = np.zeros((len(own), DIM), np.float32)
-            if len(real):
-                emb[: len(real)] = np.add.reduceat(m.table[buckets] * share[:, None], np.cumsum(counts[real]) - counts[real], axis=0)
-            if len(real) == len(own):  # a blank for what lies beyond the batch
-                emb = np.vstack([emb, np.zeros((1, DIM), np.float32)])
             # two more blanks after each text, where no window begins: none sees the next text
-            local = np.insert(local, np.repeat(np.cumsum([len(s) for s in spans]), 2), len(emb) - 1)
+            ids = np.insert(ids, np.repeat(np.cumsum([len(s) for s in spans]), 2), w.n)
             begins = np.concatenate([[0], np.cumsum([len(s) + 2 for s in spans])])
+            projected = rows_of[ids] @ np.concatenate([f for block in m.filters for f in block], axis=1)
             tops, hidden = [], []
-            for k, f, shift in zip(WIDTHS, m.filters, m.shifts):
-                got = sum((emb @ f[j])[local[j : len(local) - 2 + j]] for j in range(k))
+            for i, (k, shift) in enumerate(zip(WIDTHS, m.shifts)):
+                cols = [slice(first[i] + j * FILTERS, first[i] + (j + 1) * FILTERS) for j in range(k)]
+                got = sum(projected[j : len(ids) - 2 + j, c] for j, c in enumerate(cols))
                 top = np.stack([a + got[a : b - 2].argmax(0) for a, b in zip(begins, begins[1:])])
                 tops.append(top)
                 hidden.append(got[top, np.arange(FILTERS)] + shift)
@@ -219,37 +255,42 @@ def fit_filters(w: Words, y: np.ndarray, steps: int = 1200, batch: int = 32, see
             z = np.maximum(h, 0) @ m.out + m.bias
             d = (weight[rows] * (sigmoid(z) - y[rows]) / len(rows)).astype(np.float32)
             back = d[:, None] * m.out * (h > 0)
-            d_filters, d_emb = [], np.zeros_like(emb)
+            d_filters, words, d_words = [], [], []
             for i, (k, f) in enumerate(zip(WIDTHS, m.filters)):
                 g = back[:, i * FILTERS : (i + 1) * FILTERS]
                 grads = []
                 for j in range(k):
-                    at = local[tops[i] + j]
-                    grads.append(np.einsum("bf,bfd->df", g, emb[at]))
-                    np.add.at(d_emb, at.ravel(), (g[:, :, None] * f[j].T).reshape(-1, DIM))
+                    at = ids[tops[i] + j]
+                    grads.append(np.einsum("bf,bfd->df", g, rows_of[at]))
+                    words.append(at.ravel())
+                    d_words.append((g[:, :, None] * f[j].T).reshape(-1, DIM))
                 d_filters.append(np.stack(grads) + 1e-5 * f)
             grads = [*d_filters, *[back[:, i * FILTERS : (i + 1) * FILTERS].sum(0) for i in range(len(WIDTHS))], np.maximum(h, 0).T @ d + 1e-4 * m.out]
             for p, g, s in zip(parts, grads, past):
                 s += g * g
-                p -= 0.05 * g / np.sqrt(s)
+                p -= RATE * g / np.sqrt(s)
             past_bias += d.sum() ** 2
-            m.bias -= float(0.05 * d.sum() / np.sqrt(past_bias))
-            if len(real):
-                moved = np.flatnonzero(np.abs(d_emb[: len(real)]).sum(1) > 0)
-                hit = np.repeat(np.isin(np.arange(len(real)), moved), counts[real])
-                order = np.argsort(buckets[hit], kind="stable")
-                at, cut = np.unique(buckets[hit][order], return_index=True)
-                if len(at):
-                    g = np.add.reduceat((np.repeat(d_emb[: len(real)], counts[real], axis=0)[hit] * share[hit][:, None])[order], cut, axis=0)
-                    g *= known[at][:, None]
-                    past_table[at] += (g * g).mean(1)
-                    m.table[at] -= 0.1 * g / np.sqrt(past_table[at])[:, None]
+            m.bias -= float(RATE * d.sum() / np.sqrt(past_bias))
+            words, d_words = np.concatenate(words), np.concatenate(d_words)
+            use = (words < w.n) & d_words.any(1)
+            moved, place = np.unique(words[use], return_inverse=True)
+            if not len(moved):
+                continue
+            d_emb = np.zeros((len(moved), DIM), np.float32)
+            np.add.at(d_emb, place, d_words[use])
+            n, begin = counts[moved], np.cumsum(counts[moved]) - counts[moved]
+            buckets = w.buckets[np.repeat(w.offsets[moved] - begin, n) + np.arange(int(n.sum()))]
+            order = np.argsort(buckets, kind="stable")
+            at, cut = np.unique(buckets[order], return_index=True)
+            g = np.add.reduceat(np.repeat(d_emb / n[:, None], n, axis=0)[order], cut, axis=0) * known[at][:, None]
+            past_table[at] += (g * g).mean(1)
+            m.table[at] -= 2 * RATE * g / np.sqrt(past_table[at])[:, None]
+            rows_of[moved] = np.add.reduceat(m.table[buckets], begin, axis=0) / n[:, None]
     return m
 
 
-def calibrate(m: ConvModel, w: Words, y: np.ndarray) -> None:
+def calibrate(m: ConvModel, z: np.ndarray, languages: np.ndarray, y: np.ndarray) -> None:
     """A logistic curve for all texts, and one for each language that is drawn to it where labels are few."""
-    z, languages = m.raw(w).astype(float), np.array(language_of(w))
     slope, intercept = fit_logistic(z[:, None], y.astype(float), ridge=0.1)
     m.curves[""] = (float(slope), float(intercept))
     for name in FUNCTION_WORDS:
@@ -260,19 +301,32 @@ def calibrate(m: ConvModel, w: Words, y: np.ndarray) -> None:
             m.curves[name] = (float(trust * a + (1 - trust) * slope), float(trust * b + (1 - trust) * intercept))
 
 
+def held_out_scores(w: Words, y: np.ndarray, own: list[np.ndarray]) -> np.ndarray:
+    """Raw score of each text from filters that were trained on the other ``FOLDS`` - 1 parts of the sample."""
+    fold, z = np.arange(len(y)) % FOLDS, np.zeros(len(y))
+    for k in range(FOLDS):
+        part = np.flatnonzero(fold == k)
+        z[part] = fit_filters(w, y, own, np.flatnonzero(fold != k)).raw(w)[part]
+    return z
+
+
 def train(sample: list[tuple[bytes, int]]) -> ConvModel | None:
-    """Filters from four fifths of the sample, calibration on the rest."""
-    fit, tune = [s for k, s in enumerate(sample) if k % 5], sample[::5]
-    if any(len({y for _, y in part}) < 2 for part in (fit, tune)):
+    """Filters from the whole sample, calibrated on the scores that cross-validation gives its texts."""
+    y = np.array([y for _, y in sample], np.int64)
+    fold = np.arange(len(y)) % FOLDS
+    if any(len(set(y[fold != k])) < 2 for k in range(FOLDS)):
         return None
-    model = fit_filters(words_of([d for d, _ in fit]), np.array([y for _, y in fit]))
-    calibrate(model, words_of([d for d, _ in tune]), np.array([y for _, y in tune]))
+    w = words_of([d for d, _ in sample])
+    own = buckets_of_texts(w)
+    z, languages = held_out_scores(w, y, own), np.array(language_of(w))
+    model = fit_filters(w, y, own)
+    calibrate(model, z, languages, y)
     return model
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs(doc_id, text)``."""
-    model = train(labelled_sample(docs, labels, "toxic", train_rows))
+    model = trained(docs, labels, "toxic", train_rows, train)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out().alias("held_out"),
@@ -306,7 +360,7 @@ def _scorer(model: ConvModel | None, threshold: float):
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score is below ``threshold``."""
-    model = train(labelled_sample(docs, labels, "toxic", train_rows))
+    model = trained(docs, labels, "toxic", train_rows, train)
 
     @F.pandas_udf("double")
     def score(data: Iterator[pd.Series]) -> Iterator[pd.Series]:
