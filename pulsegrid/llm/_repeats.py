@@ -5,16 +5,21 @@ k-gram of least hash in it.  Consecutive windows with the same minimiser
 position form a run (super-k-mer); equal windows have equal minimisers, so
 they meet in the bucket of that minimiser.  The steps:
 
-1. list the runs of every document (a number for the minimiser and a place);
-2. keep the minimisers that occur more than once; only their runs are cut out
-   of the texts, packed as one byte string each;
-3. equal packed strings are aggregated to their first occurrence;
-4. buckets in which several different strings meet are compared window by
-   window (the caller's part);
+1. list the runs of every document (numbers for the minimiser and for the run's
+   symbols, and a place); keep those whose minimiser occurs more than once;
+2. equal runs are aggregated to their first occurrence before they travel any
+   further: of all others it is known that every window is repeated;
+3. where several different runs have one minimiser, they are cut out of the
+   texts, packed as one byte string each, and sent to their bucket;
+4. buckets are compared window by window (the caller's part); those of more than
+   ``GROUP`` different runs fall apart into windows, equal ones again aggregated first;
 5. the verdicts go back to the documents as ranges of window starts.
 
-Exact copies of a whole text are set aside before step 2 and only the first
-goes through the search.
+Exact copies of a whole text are set aside in step 1 and only the first goes
+through the search.  A minimiser, run, window or text that a large share of
+rows has is never gathered in one task: partial aggregates take it down before a
+shuffle, and joins against it read two written tables, which lets Spark split the
+large side of a skewed partition.
 """
 
 from __future__ import annotations
@@ -31,13 +36,11 @@ from . import _text
 from ._shared import discard, materialise, release_shuffles
 
 #: Symbols handled at once; longer documents go through in overlapping pieces.
-PIECE = 1 << 22
+PIECE = 1 << 20
 #: Different strings of a minimiser that are compared as one group; larger buckets are split by window.
 GROUP = 2500
 #: Packed bytes that are compared at once, besides one bucket.
 JUDGED_BYTES = 300_000
-#: About how many windows a run has.
-WINDOWS_A_RUN = 40
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -75,17 +78,18 @@ def _grams(data: np.ndarray, unit: Unit) -> np.ndarray:
     return _text.mix(_text.mix(eight[:n]) * np.uint64(0x9E3779B97F4A7C15) + eight[8 : 8 + n])
 
 
-def runs_of(data: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, first window, number of windows) of each run of one text."""
+def runs_of(data: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(minimiser, hash of all symbols, first window, number of windows) of each run of one text."""
     grams, span = _grams(data, unit), unit.width - unit.k + 1
     found = []
     for at in range(0, max(0, len(grams) - span + 1), PIECE):
         part = grams[at : at + PIECE + span - 1]
         least = _text.sliding_min((part & ~_PLACE) | np.arange(len(part), dtype=np.uint64), span) & _PLACE
         first = np.flatnonzero(np.diff(least, prepend=np.uint64(1 << 40)))
-        found.append((part[least[first].astype(np.int64)], first + at, np.diff(first, append=len(least))))
+        n = np.diff(first, append=len(least))
+        found.append((part[least[first].astype(np.int64)], _text.slice_hashes(part, first, first + n + span - 1), first + at, n))
     if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -103,52 +107,72 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def _list_runs(rows: DataFrame, unit: Unit) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ("gram", "run", "rid", "same", "place")
         for batch in batches:
             held, size = [], 0
             for rid, same, data in zip(batch["rid"], batch["same"], batch["data"]):
-                gram, start, n = runs_of(np.frombuffer(data, np.uint8), unit)
-                held.append((gram.view(np.int64), np.full(len(gram), rid), np.full(len(gram), same), (start << 16) | n))
+                gram, run, start, n = runs_of(np.frombuffer(data, np.uint8), unit)
+                held.append((gram.view(np.int64), run.view(np.int64), np.full(len(gram), rid), np.full(len(gram), same), (start << 16) | n))
                 size += len(gram)
                 if size > 100_000:
-                    yield pd.DataFrame(dict(zip(("gram", "rid", "same", "place"), map(np.concatenate, zip(*held)))))
+                    yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*held)))))
                     held, size = [], 0
             if held:
-                yield pd.DataFrame(dict(zip(("gram", "rid", "same", "place"), map(np.concatenate, zip(*held)))))
+                yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*held)))))
 
-    return rows.select("rid", "same", "data").mapInPandas(work, "gram bigint, rid bigint, same bigint, place bigint")
+    return rows.select("rid", "same", "data").mapInPandas(work, "gram bigint, run bigint, rid bigint, same bigint, place bigint")
 
 
-def _pack(rows: DataFrame, unit: Unit) -> DataFrame:
-    """Cuts the listed runs (arrays grams, places) out of each document."""
+def _pack(texts: DataFrame, unit: Unit) -> DataFrame:
+    """Cuts the listed runs (array ``runs``) out of each document."""
+    names = ["gram", "variants", "at", "rid", "place", "weight", "packed"]
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from hashlib import blake2b
-
         for batch in batches:
             out: list[tuple] = []
-            for rid, doc_id, copies, data, grams, places in zip(batch["rid"], batch["doc_id"], batch["copies"], batch["data"], batch["grams"], batch["places"]):
-                raw, places = np.frombuffer(data, np.uint8), np.asarray(places)
+            for rid, at, data, grams, places, variants, weights in zip(*(batch[c] for c in ("rid", "at", "data", "grams", "places", "variants", "weights"))):
+                places = np.asarray(places)
                 start, last = places >> 16, (places >> 16) + (places & 0xFFFF) + unit.width - 2
                 if unit.kind == "word":
-                    raw, froms, tos = canonical_words(raw)
+                    raw, froms, tos = canonical_words(np.frombuffer(data, np.uint8))
                     data, start, last = raw.tobytes(), froms[start], tos[last] - 1
-                for gram, place, a, b in zip(np.asarray(grams).tolist(), places.tolist(), start.tolist(), last.tolist()):
-                    packed = data[a : b + 1]
-                    out.append((gram, blake2b(packed, digest_size=16).digest(), doc_id, rid, place, copies, packed))
+                each = zip(np.asarray(grams).tolist(), np.asarray(variants).tolist(), places.tolist(), np.asarray(weights).tolist(), start.tolist(), last.tolist())
+                out += [(gram, variant, at, rid, place, weight, data[a : b + 1]) for gram, variant, place, weight, a, b in each]
                 if len(out) > 20_000:
                     yield pd.DataFrame(out, columns=names)
                     out = []
             yield pd.DataFrame(out, columns=names)
 
-    names = ["gram", "digest", "doc_id", "rid", "place", "copies", "packed"]
-    return rows.mapInPandas(work, "gram bigint, digest binary, doc_id bigint, rid bigint, place bigint, copies bigint, packed binary")
+    return texts.mapInPandas(work, "gram bigint, variants bigint, at bigint, rid bigint, place bigint, weight bigint, packed binary")
 
 
 def copies_of(rows: DataFrame) -> DataFrame:
-    """(rid, copies, first): rows with the same text, and whether this one is the first by doc_id (nulls last)."""
-    ids = rows.select("rid", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("at"), F.sha2("data", 256).alias("sha"))
-    first = ids.groupBy("sha").agg(F.min(F.struct("at", "rid")).alias("f"), F.count("*").alias("copies"))
-    return ids.join(first, "sha").groupBy("rid").agg(F.max("copies").alias("copies"), F.max(F.col("f.rid") == F.col("rid")).alias("first"))
+    """(rid, at, copies, first): rows with the same text, and whether this one is the first by ``at``, the doc_id (nulls last)."""
+    ids = materialise(rows.select("rid", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("at"), F.sha2("data", 256).alias("sha")), "ids")
+    first = ids.groupBy("sha").agg(F.min("at").alias("f_at"), F.count("*").alias("copies"))
+    first = materialise(first.where("copies > 1"), "first-at")
+    # among equal ids (texts are equal here) any row will do: rid is the same
+    joined = ids.join(first, "sha", "left").select(
+        "rid", "at", F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce(F.col("at") == F.col("f_at"), F.lit(True)).alias("first")
+    )
+    return joined.groupBy("rid").agg(F.max("at").alias("at"), F.max("copies").alias("copies"), F.max("first").alias("first"))
+
+
+def _aggregated(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of each group of equal runs or windows the first occurrence, whether there are several, and all their weight."""
+    place = F.struct("at", "rid", "place")
+    return rows.groupBy(*keys).agg(F.min(place).alias("f"), F.max(place).alias("l"), F.sum("weight").alias("weight")).select(
+        *keys, "f.*", "weight", (F.col("f") != F.col("l")).alias("several")
+    )
+
+
+def _repeats_of(rows: DataFrame, groups: DataFrame, keys: list[str], keep_first: bool) -> DataFrame:
+    """(rid, start, count) of the occurrences that their group alone shows to be repeated."""
+    several = groups.where("several" if keep_first else "weight > 1").select(*keys, F.col("rid").alias("f_rid"), F.col("place").alias("f_place"))
+    whole = rows.select(*keys, "rid", "place").join(several, keys)
+    if keep_first:
+        whole = whole.where("rid != f_rid or place != f_place")
+    return whole.select("rid", F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(0xFFFF).alias("count"))
 
 
 def repeated_windows(
@@ -157,9 +181,9 @@ def repeated_windows(
     compare: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray, np.ndarray]],
     keep_first: bool,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, copies, flagged): ``flagged(rid, starts, counts)`` has the repeated windows of each first copy.
+    """(rows, copies, flagged): ``flagged(rid, ranges)`` has the repeated windows of each first copy as (start, count) structs.
 
-    ``compare`` gets runs (doc_id, rid, place, copies, packed) of whole buckets in
+    ``compare`` gets runs (rid, place, weight, packed) of whole buckets in
     document order and returns (row, first window within the run, number) of the
     windows to flag.  With ``keep_first`` the first occurrence of an equal run
     isn't flagged by it, else all are.
@@ -169,90 +193,91 @@ def repeated_windows(
     copies = materialise(copies_of(rows), "copies")
     listed = materialise(_list_runs(rows, unit), "runs")
     where = F.xxhash64("same", "place")  # exact copies of a text don't make its minimisers repeated
-    twice = listed.groupBy("gram").agg(F.min(where).alias("lo"), F.max(where).alias("hi")).where("lo != hi").select("gram")
-    by_doc = listed.select("gram", "rid", "place").join(twice, "gram", "left_semi").groupBy("rid").agg(F.collect_list("gram").alias("grams"), F.collect_list("place").alias("places"))
-    by_doc = by_doc.join(copies.where("first").select("rid", "copies"), "rid")
-    # equal rows (same doc_id, same text) are packed once
-    texts = rows.join(by_doc.select("rid", "copies", "grams", "places"), "rid")
-    packed = materialise(_pack(texts, unit), "packed")
+    twice = materialise(listed.groupBy("gram").agg(F.min(where).alias("lo"), F.max(where).alias("hi")).where("lo != hi").select("gram"), "grams")
+    release_shuffles(spark)
+    kept = listed.select("gram", "run", "rid", "place").join(twice, "gram", "left_semi")
+    firsts_only = copies.where("first").select("rid", "at", F.col("copies").alias("weight"))
+    runs = materialise(kept.join(firsts_only, "rid").select("gram", "run", "at", "rid", "place", "weight"), "repeated-runs")
     discard(listed)
     release_shuffles(spark)
 
-    at = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("at"), "rid", "place", "copies", "packed")
-    firsts = packed.groupBy("gram", "digest").agg(F.min(at).alias("f"), F.countDistinct("rid", "place").alias("n"), F.sum("copies").alias("weight"))
-    firsts = materialise(firsts.select("gram", "digest", "f.*", "n", "weight"), "firsts")
+    groups = materialise(_aggregated(runs, ["gram", "run"]), "groups")
+    contested = groups.groupBy("gram").agg(F.count("*").alias("variants")).where("variants > 1")
+    contested = materialise(contested, "contested")
+    lists = [F.collect_list(c).alias(n) for c, n in (("gram", "grams"), ("place", "places"), ("variants", "variants"), ("weight", "weights"))]
+    by_doc = groups.join(contested, "gram").groupBy("rid").agg(F.max("at").alias("at"), *lists)
+    texts = rows.groupBy("rid").agg(F.any_value("data").alias("data")).join(by_doc, "rid")  # rows that repeat are packed once
+    packed = materialise(_pack(texts, unit), "packed")
     release_shuffles(spark)
-    several = firsts.where("n > 1" if keep_first else "weight > 1").select("gram", "digest", F.col("rid").alias("f_rid"), F.col("place").alias("f_place"))
-    whole = packed.select("gram", "digest", "rid", "place").join(several, ["gram", "digest"])
-    if keep_first:
-        whole = whole.where("rid != f_rid or place != f_place")
-    whole = whole.select("rid", F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(0xFFFF).alias("count"))
-
-    variants = firsts.groupBy("gram").agg(F.count("*").alias("variants")).where("variants > 1")
-    buckets = firsts.join(variants, "gram").select("gram", "variants", "at", "rid", "place", "weight", "packed")
-    flagged = whole.union(_compare_buckets(buckets, unit, compare))
-    flagged = materialise(flagged.groupBy("rid").agg(F.collect_list("start").alias("starts"), F.collect_list("count").alias("counts")), "flagged")
-    discard(packed)
-    discard(firsts)
+
+    flagged = _repeats_of(runs, groups, ["gram", "run"], keep_first).union(_compare_buckets(packed.where(F.col("variants") <= GROUP), compare))
+    large = packed.where(F.col("variants") > GROUP)
+    if not large.isEmpty():
+        windows = materialise(_split_windows(large, unit), "windows")
+        equal = materialise(_aggregated(windows, ["gram", "window"]), "equal-windows")
+        flagged = flagged.union(_repeats_of(windows, equal, ["gram", "window"], keep_first))
+    flagged = materialise(flagged.groupBy("rid").agg(F.collect_set(F.struct("start", "count")).alias("ranges")), "flagged")
+    for table in (runs, groups, packed):
+        discard(table)
     release_shuffles(spark)
     return rows, copies, flagged
 
 
 def _split_windows(buckets: DataFrame, unit: Unit) -> DataFrame:
-    """Large buckets: a run becomes single windows, dealt by the window's own hash."""
+    """Large buckets: a run becomes single windows, each with a digest of its symbols."""
+    names = ["gram", "window", "at", "rid", "place", "weight"]
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from hashlib import blake2b
+
         for batch in batches:
             out: list[tuple] = []
-            for gram, variants, at, rid, place, weight, packed in batch.itertuples(index=False, name=None):
-                data = np.frombuffer(packed, np.uint8)
+            for gram, at, rid, place, weight, packed in zip(*(batch[c] for c in ("gram", "at", "rid", "place", "weight", "packed"))):
                 n = place & 0xFFFF
-                starts, ends = (np.arange(n), np.arange(n) + unit.width) if unit.kind == "byte" else (lambda s, e: (s[:n], e[unit.width - 1 :]))(*_text.word_spans(data))
+                starts, ends = np.arange(n), np.arange(n) + unit.width
+                if unit.kind == "word":
+                    starts, ends = _text.word_spans(np.frombuffer(packed, np.uint8))
+                    starts, ends = starts[:n], ends[unit.width - 1 :]
                 for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
-                    window = packed[a:b]
-                    out.append((gram, hash_of(window) % (variants * WINDOWS_A_RUN // GROUP + 1), at, rid, (((place >> 16) + k) << 16) | 1, weight, window))
+                    out.append((gram, blake2b(packed[a:b], digest_size=16).digest(), at, rid, (((place >> 16) + k) << 16) | 1, weight))
                 if len(out) > 20_000:
                     yield pd.DataFrame(out, columns=names)
                     out = []
             yield pd.DataFrame(out, columns=names)
 
-    from zlib import crc32 as hash_of
-
-    names = ["gram", "part", "at", "rid", "place", "weight", "packed"]
-    return buckets.mapInPandas(work, "gram bigint, part bigint, at bigint, rid bigint, place bigint, weight bigint, packed binary")
+    return buckets.mapInPandas(work, "gram bigint, window binary, at bigint, rid bigint, place bigint, weight bigint")
 
 
-def _compare_buckets(buckets: DataFrame, unit: Unit, compare: Callable) -> DataFrame:
-    small = buckets.where(F.col("variants") <= GROUP).select("gram", F.lit(0).cast("long").alias("part"), "at", "rid", "place", "weight", "packed")
-    large = _split_windows(buckets.where(F.col("variants") > GROUP), unit)
-    dealt = small.unionByName(large).repartition("gram", "part").sortWithinPartitions("gram", "part")
+def _compare_buckets(buckets: DataFrame, compare: Callable) -> DataFrame:
+    dealt = buckets.select("gram", "at", "rid", "place", "weight", "packed").repartition("gram").sortWithinPartitions("gram")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def judge(held: pd.DataFrame) -> pd.DataFrame:
-            held = held.sort_values(["at", "rid", "place"], ignore_index=True)
-            row, first, n = compare(held)
-            return pd.DataFrame({"rid": held["rid"].to_numpy()[row], "start": (held["place"].to_numpy()[row] >> 16) + first, "count": n})
+        def judge(held: list[pd.DataFrame]) -> pd.DataFrame:
+            runs = pd.concat(held, ignore_index=True).sort_values(["at", "rid", "place"], ignore_index=True)
+            row, first, n = compare(runs)
+            return pd.DataFrame({"rid": runs["rid"].to_numpy()[row], "start": (runs["place"].to_numpy()[row] >> 16) + first, "count": n})
 
-        held, size = [], 0
+        held, size, last = [], 0, None
         for batch in batches:
-            group = batch["gram"].to_numpy() * 31 + batch["part"].to_numpy()
+            gram = batch["gram"].to_numpy()
             length = batch["packed"].map(len).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(batch)]
+            cuts = [0, *(np.flatnonzero(np.diff(gram)) + 1).tolist(), len(batch)]
             for a, b in zip(cuts, cuts[1:]):
-                if size > JUDGED_BYTES and int(group[a]) != last:
-                    yield judge(pd.concat(held, ignore_index=True))
+                if size > JUDGED_BYTES and int(gram[a]) != last:
+                    yield judge(held)
                     held, size = [], 0
                 held.append(batch.iloc[a:b])
                 size += int(length[a:b].sum())
-                last = int(group[a])
+                last = int(gram[a])
         if held:
-            yield judge(pd.concat(held, ignore_index=True))
+            yield judge(held)
 
     return dealt.mapInPandas(work, "rid bigint, start bigint, count bigint")
 
 
-def removed_mask(n: int, starts: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
+def removed_mask(n: int, ranges: list[dict], width: int) -> np.ndarray:
     """Which of ``n`` symbols are covered by the flagged windows."""
+    starts, counts = np.array([(r["start"], r["count"]) for r in ranges], np.int64).reshape(-1, 2).T
     step = np.zeros(n + 1, np.int64)
     np.add.at(step, starts, 1)
     np.add.at(step, starts + counts + width - 1, -1)
@@ -260,11 +285,11 @@ def removed_mask(n: int, starts: np.ndarray, counts: np.ndarray, width: int) ->
 
 
 def known_verdicts(copies: DataFrame, flagged: DataFrame) -> DataFrame:
-    """(rid, copies, first, starts, counts) of the rows that have a copy or a flagged window."""
-    return copies.join(flagged, "rid", "left").where("not first or copies > 1 or starts is not null")
+    """(rid, copies, first, ranges) of the rows that have a copy or a flagged window."""
+    return copies.join(flagged, "rid", "left").where("not first or copies > 1 or ranges is not null").drop("at")
 
 
 def with_verdicts(rows: DataFrame, copies: DataFrame, flagged: DataFrame, *columns: str) -> DataFrame:
-    """Each row with copies, first, starts and counts (null where it has none); texts are dealt once."""
+    """Each row with copies, first and ranges (null where it has none); texts are dealt once."""
     known = known_verdicts(copies, flagged)
-    return rows.join(known, "rid", "left").select("rid", "doc_id", "data", "copies", "first", "starts", "counts", *columns)
+    return rows.join(known, "rid", "left").select("rid", "doc_id", "data", "copies", "first", "ranges", *columns)

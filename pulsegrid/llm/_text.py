@@ -15,6 +15,7 @@ _LOWER[65:91] += 32
 _BYTE = np.random.default_rng(0x5EED).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _powers = np.ones(1, np.uint64)
+_inverses = np.ones(1, np.uint64)
 
 
 def powers(n: int) -> np.ndarray:
@@ -27,6 +28,19 @@ def powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
+def slice_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each slice of an array of symbol hashes, from running sums."""
+    n = len(symbols)
+    global _inverses
+    if len(_inverses) < n:
+        steps = np.full(max(n, 2 * len(_inverses)), pow(int(_BASE), -1, 1 << 64), np.uint64)
+        steps[0] = 1
+        _inverses = np.multiply.accumulate(steps)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(symbols * powers(n), out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _inverses[starts] + (ends - starts).astype(np.uint64))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit hashes."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

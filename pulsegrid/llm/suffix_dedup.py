@@ -2,10 +2,13 @@
 
 A byte goes if a string of ``width`` bytes that covers it also starts earlier
 (smaller doc_id, or the same document further left); the first occurrence stays.
-Strings that may repeat are brought together by their minimiser; within a
-bucket, laid out in document order, a suffix array is built and the previous and
+Strings that may repeat are brought together by their minimiser; within the
+buckets, laid out in document order, a suffix array is built, and the previous and
 next smaller positions in suffix order give each position's longest earlier
-match.  Matches never cross a document's end.
+match: the longest-previous-factor array.  A window goes where that is ``width``
+or more.  Of runs, windows of very large buckets and whole texts that are equal,
+only the first enters a bucket: the longest previous factor of the others is known
+to reach their end.  Matches never cross a document's end.
 
 Cases: null and empty texts have no bytes and hash as the empty string; a text
 of fewer bytes than ``width`` keeps all; rows equal in doc_id and text are one
@@ -34,44 +37,81 @@ def _ranks(keys: np.ndarray) -> np.ndarray:
     return np.unique(keys, return_inverse=True)[1].astype(np.uint64)
 
 
-def prefix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of each suffix by its first ``depth`` bytes (8 or more), by prefix doubling.
+class SuffixOrder:
+    """Order and common prefixes of the suffixes of ``data``, by prefix doubling.
 
-    Suffixes shorter than that are padded with zero bytes; callers use the ranks
-    of positions that have ``depth`` bytes.
+    Suffixes are told apart in their first ``depth`` bytes; past its end the data
+    goes on with zero bytes, so callers bound what they read by what is left.
     """
-    n = len(data)
-    padded = np.zeros(n + 16, np.uint8)
-    padded[:n] = data
-    padded = padded[: (n + 15) // 8 * 8]
-    eight = np.lib.stride_tricks.as_strided(padded.view(">u8"), (n,), (1,), writeable=False).astype(np.uint64)
-    rank, have = _ranks(eight), 8
-    while have < depth:
-        step = min(have, depth - have)
-        after = np.zeros(n, np.uint64)
-        after[: n - step] = rank[step:] + np.uint64(1)
-        rank = _ranks(rank * np.uint64(n + 1) + after)
-        have += step
-    return rank
-
-
-def has_previous_factor(rank: np.ndarray, valid: np.ndarray) -> np.ndarray:
-    """Positions among ``valid`` (ascending) with an earlier one of equal rank, as a mask over ``valid``.
-
-    In suffix order, suffixes that share the ranked prefix are neighbours.  The
-    longest earlier match of a position is with its previous or its next smaller
-    position in that order; it reaches the prefix length if and only if one of the two
-    lies in the same stretch.  A running minimum from either side tells.
+
+    def __init__(self, data: np.ndarray, depth: int):
+        n = len(data)
+        padded = np.zeros((n + 15) // 8 * 8 + 8, np.uint8)
+        padded[:n] = data
+        self.eight = np.lib.stride_tricks.as_strided(padded.view(">u8"), (n + 1,), (1,), writeable=False).astype(np.uint64)
+        self.levels = [(8, _ranks(self.eight))]  # the rank at n stands for all that lies beyond
+        while 2 * self.levels[-1][0] < depth:
+            length, rank = self.levels[-1]
+            self.levels.append((2 * length, _ranks(rank * np.uint64(n + 2) + self._beyond(rank, np.arange(n + 1), length))))
+
+    @staticmethod
+    def _beyond(rank: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+        return rank[np.minimum(at + length, len(rank) - 1)]
+
+    def suffix_array(self, positions: np.ndarray) -> np.ndarray:
+        """The positions in the order of their suffixes, equal ones by position."""
+        length, rank = self.levels[-1]
+        return positions[np.argsort(rank[positions] * np.uint64(len(rank) + 1) + self._beyond(rank, positions, length), kind="stable")]
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Length of the common prefix of each pair of suffixes (as far as they are told apart)."""
+        off = np.zeros(len(a), np.int64)
+        for length, rank in [self.levels[-1], *self.levels[::-1]]:
+            off += length * (self._beyond(rank, a, off) == self._beyond(rank, b, off))
+        differ = self._beyond(self.eight, a, off) ^ self._beyond(self.eight, b, off)
+        for k in range(7):  # equal leading bytes of the eight that differ
+            off += differ < np.uint64(1 << (56 - 8 * k))
+        return off
+
+
+def smaller_before(values: np.ndarray) -> np.ndarray:
+    """Index of the nearest smaller value to the left of each (all values differ), -1 where there is none.
+
+    What lies between an entry and the one it points to is larger, so a pointer to
+    a larger value can be replaced by that value's own pointer.
+    """
+    to = np.arange(len(values)) - 1
+    live = np.flatnonzero(to >= 0)
+    live = live[values[to[live]] > values[live]]
+    while len(live):
+        to[live] = to[to[live]]
+        live = live[to[live] >= 0]
+        live = live[values[to[live]] > values[live]]
+    return to
+
+
+def longest_previous_factors(data: np.ndarray, positions: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """For each of the ascending positions the longest prefix of its suffix that also starts at an earlier one.
+
+    ``left`` is how many bytes a match may have at each position.  The longest
+    match is with the previous or the next smaller position in suffix order.
     """
-    order = np.argsort(rank[valid], kind="stable")
-    place, key = valid[order].astype(np.int64), rank[valid][order].astype(np.int64)
-    stretch = np.cumsum(np.diff(key, prepend=key[:1]) != 0)
-    big = np.int64(len(rank) + 1)
-    to_left = np.minimum.accumulate(place - stretch * big) + stretch * big
-    to_right = (np.minimum.accumulate((place + stretch * big)[::-1]))[::-1] - stretch * big
-    out = np.zeros(len(valid), bool)
-    out[order] = (to_left < place) | (to_right < place)
-    return out
+    n = len(positions)
+    if not n:
+        return np.empty(0, np.int64)
+    order = SuffixOrder(data, int(left.max()))
+    suffixes = order.suffix_array(positions)
+    before = smaller_before(suffixes)
+    after = n - 1 - smaller_before(suffixes[::-1])[::-1]
+    out, rest = np.zeros(n, np.int64), left[np.searchsorted(positions, suffixes)]
+    for near in (before, after):
+        here = np.flatnonzero((near >= 0) & (near < n))
+        there = near[here]
+        match = order.common(suffixes[here], suffixes[there])
+        out[here] = np.maximum(out[here], np.minimum(match, np.minimum(rest[here], rest[there])))
+    factors = np.empty(n, np.int64)
+    factors[np.searchsorted(positions, suffixes)] = out
+    return factors
 
 
 def earlier_windows(held: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,7 +122,7 @@ def earlier_windows(held: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndar
     n = (held["place"].to_numpy() & 0xFFFF).astype(np.int64)
     run = np.repeat(np.arange(len(n)), n)
     inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    hit = has_previous_factor(prefix_ranks(data, width), at[run] + inner)
+    hit = longest_previous_factors(data, at[run] + inner, lengths[run] - inner) >= width
     begins = hit & ~np.concatenate([[False], hit[:-1] & (run[:-1] == run[1:])])
     ends = hit & ~np.concatenate([hit[1:] & (run[:-1] == run[1:]), [False]])
     a, b = np.flatnonzero(begins), np.flatnonzero(ends)
@@ -100,13 +140,13 @@ def remove_later_copies(docs: DataFrame, width: int = 100, with_text: bool = Fal
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, data, first, starts, counts in zip(batch["doc_id"].astype(object), batch["data"], batch["first"], batch["starts"], batch["counts"]):
+            for doc_id, data, first, ranges in zip(batch["doc_id"].astype(object), batch["data"], batch["first"], batch["ranges"]):
                 n, removed, spans, kept = len(data), 0, 0, data
                 if first is False and n >= width:
                     removed, spans, kept = n, 1, b""
-                elif starts is not None:
+                elif ranges is not None:
                     raw = np.frombuffer(data, np.uint8)
-                    gone = removed_mask(n, np.asarray(starts), np.asarray(counts), width)
+                    gone = removed_mask(n, ranges, width)
                     removed, kept = int(gone.sum()), raw[~gone].tobytes()
                     spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
                 out.append((None if pd.isna(doc_id) else int(doc_id), n, removed, spans, sha256(kept).hexdigest(), bytes(kept).decode("utf-8", "replace") if with_text else None))
@@ -129,7 +169,7 @@ def without_later_copies(docs: DataFrame, width: int = 100) -> DataFrame:
     @F.pandas_udf("string")
     def cut(data: pd.Series, first: pd.Series, starts: pd.Series, counts: pd.Series) -> pd.Series:
         out = []
-        for text, is_first, begin, n in zip(data, first, starts, counts):
+        for text, is_first, begin, number in zip(data, first, starts, counts):
             if text is None:
                 out.append(None)
             elif is_first is False and len(text) >= width:
@@ -137,12 +177,12 @@ def without_later_copies(docs: DataFrame, width: int = 100) -> DataFrame:
             elif begin is None:
                 out.append(bytes(text).decode("utf-8", "replace"))
             else:
-                gone = removed_mask(len(text), np.asarray(begin), np.asarray(n), width)
+                gone = removed_mask(len(text), [{"start": a, "count": n} for a, n in zip(begin, number)], width)
                 out.append(np.frombuffer(text, np.uint8)[~gone].tobytes().decode("utf-8", "ignore"))
         return pd.Series(out, dtype=object)
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key().alias("rid"))
     rows = rows.join(known, "rid", "left")
-    rows = rows.select("doc", cut(F.col("doc.text").cast("binary"), "first", "starts", "counts").alias("kept"))
+    rows = rows.select("doc", cut(F.col("doc.text").cast("binary"), "first", F.col("ranges.start"), F.col("ranges.count")).alias("kept"))
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast(dict(docs.dtypes).get("n_chars", "long"))}
     return rows.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])

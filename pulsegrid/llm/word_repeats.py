@@ -53,14 +53,14 @@ def remove_repeated_windows(docs: DataFrame, width: int = 35, with_text: bool =
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, data, copies, starts, counts in zip(batch["doc_id"].astype(object), batch["data"], batch["copies"], batch["starts"], batch["counts"]):
+            for doc_id, data, copies, ranges in zip(batch["doc_id"].astype(object), batch["data"], batch["copies"], batch["ranges"]):
                 words, froms, tos = canonical_words(np.frombuffer(data, np.uint8))
                 n, kept = len(froms), words.tobytes()
                 removed = 0
                 if copies > 1 and n >= width:
                     removed, kept = n, b""
-                elif starts is not None:
-                    gone = removed_mask(n, np.asarray(starts), np.asarray(counts), width)
+                elif ranges is not None:
+                    gone = removed_mask(n, ranges, width)
                     removed = int(gone.sum())
                     kept = b" ".join(kept[a:b] for a, b in zip(froms[~gone].tolist(), tos[~gone].tolist()))
                 out.append((None if pd.isna(doc_id) else int(doc_id), n, removed, sha256(kept).hexdigest(), kept.decode("utf-8", "replace") if with_text else None))
