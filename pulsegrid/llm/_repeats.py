@@ -40,7 +40,7 @@ PIECE = 1 << 20
 #: Different strings of a minimiser that are compared as one group; larger buckets are split by window.
 GROUP = 2500
 #: Packed bytes that are compared at once, besides one bucket.
-JUDGED_BYTES = 300_000
+JUDGED_BYTES = 50_000
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -69,13 +69,16 @@ def canonical_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def _grams(data: np.ndarray, unit: Unit) -> np.ndarray:
     if unit.kind == "word":
         return _text.windows_hash(_text.span_hashes(data, *_text.word_spans(data)), unit.k)
-    n = len(data) - unit.k + 1  # bytes: k is 16, two unaligned words
+    n = len(data) - unit.k + 1  # bytes: k is a multiple of 8, so many unaligned words
     if n <= 0:
         return np.empty(0, np.uint64)
     padded = np.zeros((len(data) + 7) // 8 * 8, np.uint8)
     padded[: len(data)] = data
     eight = np.lib.stride_tricks.as_strided(padded.view(np.uint64), (len(data) - 7,), (1,), writeable=False)
-    return _text.mix(_text.mix(eight[:n]) * np.uint64(0x9E3779B97F4A7C15) + eight[8 : 8 + n])
+    out = np.zeros(n, np.uint64)
+    for j in range(0, unit.k, 8):
+        out = _text.mix(out * np.uint64(0x9E3779B97F4A7C15) + eight[j : j + n])
+    return out
 
 
 def runs_of(data: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

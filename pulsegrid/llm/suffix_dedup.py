@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ._repeats import Unit, known_verdicts, removed_mask, repeated_windows, row_key, with_verdicts
 
-MINIMISER_BYTES = 16
+MINIMISER_BYTES = 24
 
 
 def _ranks(keys: np.ndarray) -> np.ndarray:
@@ -45,33 +45,34 @@ class SuffixOrder:
     """
 
     def __init__(self, data: np.ndarray, depth: int):
-        n = len(data)
-        padded = np.zeros((n + 15) // 8 * 8 + 8, np.uint8)
-        padded[:n] = data
-        self.eight = np.lib.stride_tricks.as_strided(padded.view(">u8"), (n + 1,), (1,), writeable=False).astype(np.uint64)
-        self.levels = [(8, _ranks(self.eight))]  # the rank at n stands for all that lies beyond
+        self.n, reach = len(data), 2 * depth + 16
+        padded = np.zeros(self.n + reach + 16, np.uint8)
+        padded[: self.n] = data
+        self.eight = np.ndarray(self.n + reach, ">u8", padded.data, strides=(1,)).astype(np.uint64)
+        self.levels = [(8, self._padded(_ranks(self.eight[: self.n + 1])))]  # the rank at n stands for all that lies beyond
         while 2 * self.levels[-1][0] < depth:
             length, rank = self.levels[-1]
-            self.levels.append((2 * length, _ranks(rank * np.uint64(n + 2) + self._beyond(rank, np.arange(n + 1), length))))
+            self.levels.append((2 * length, self._padded(_ranks(rank[: self.n + 1] * np.uint64(self.n + 2) + rank[length : self.n + 1 + length]))))
 
-    @staticmethod
-    def _beyond(rank: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-        return rank[np.minimum(at + length, len(rank) - 1)]
+    def _padded(self, rank: np.ndarray) -> np.ndarray:
+        return np.concatenate([rank, np.full(len(self.eight) - len(rank), rank[-1], np.uint64)])
 
     def suffix_array(self, positions: np.ndarray) -> np.ndarray:
-        """The positions in the order of their suffixes, equal ones by position."""
+        """Numbers of the ascending positions in the order of their suffixes, equal ones by position."""
         length, rank = self.levels[-1]
-        return positions[np.argsort(rank[positions] * np.uint64(len(rank) + 1) + self._beyond(rank, positions, length), kind="stable")]
+        return np.argsort(rank[positions] * np.uint64(self.n + 2) + rank[positions + length], kind="stable")
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common prefix of each pair of suffixes (as far as they are told apart)."""
-        off = np.zeros(len(a), np.int64)
+        a, b, begin = a.copy(), b.copy(), a
         for length, rank in [self.levels[-1], *self.levels[::-1]]:
-            off += length * (self._beyond(rank, a, off) == self._beyond(rank, b, off))
-        differ = self._beyond(self.eight, a, off) ^ self._beyond(self.eight, b, off)
+            same = length * (rank[a] == rank[b])
+            a += same
+            b += same
+        differ = self.eight[a] ^ self.eight[b]
         for k in range(7):  # equal leading bytes of the eight that differ
-            off += differ < np.uint64(1 << (56 - 8 * k))
-        return off
+            a += differ < np.uint64(1 << (56 - 8 * k))
+        return a - begin
 
 
 def smaller_before(values: np.ndarray) -> np.ndarray:
@@ -103,15 +104,16 @@ def longest_previous_factors(data: np.ndarray, positions: np.ndarray, left: np.n
     suffixes = order.suffix_array(positions)
     before = smaller_before(suffixes)
     after = n - 1 - smaller_before(suffixes[::-1])[::-1]
-    out, rest = np.zeros(n, np.int64), left[np.searchsorted(positions, suffixes)]
+    at, rest = positions[suffixes], left[suffixes]
+    found = np.zeros(n, np.int64)
     for near in (before, after):
         here = np.flatnonzero((near >= 0) & (near < n))
         there = near[here]
-        match = order.common(suffixes[here], suffixes[there])
-        out[here] = np.maximum(out[here], np.minimum(match, np.minimum(rest[here], rest[there])))
-    factors = np.empty(n, np.int64)
-    factors[np.searchsorted(positions, suffixes)] = out
-    return factors
+        match = order.common(at[here], at[there])
+        found[here] = np.maximum(found[here], np.minimum(match, np.minimum(rest[here], rest[there])))
+    out = np.empty(n, np.int64)
+    out[suffixes] = found
+    return out
 
 
 def earlier_windows(held: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
