@@ -45,7 +45,7 @@ class SuffixOrder:
     """
 
     def __init__(self, data: np.ndarray, depth: int):
-        self.n, reach = len(data), 2 * depth + 16
+        self.n, reach = len(data), 3 * max(depth, 8) + 16
         padded = np.zeros(self.n + reach + 16, np.uint8)
         padded[: self.n] = data
         self.eight = np.ndarray(self.n + reach, ">u8", padded.data, strides=(1,)).astype(np.uint64)
