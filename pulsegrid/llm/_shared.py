@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import time
 import uuid
@@ -19,12 +20,14 @@ BATCH_BYTES = 4 << 20
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where neither the setting nor a checkpoint directory exists (tests on
-    one machine) a temporary folder is made and registered as checkpoint
-    directory of the session.
+    Only where neither the setting nor a checkpoint directory exists and all of
+    Spark runs in one process (tests) a temporary folder is made and registered as
+    checkpoint directory of the session; on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
@@ -90,6 +93,14 @@ def release_shuffles(spark: SparkSession) -> None:
         time.sleep(0.4)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores after it where a column already has it."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

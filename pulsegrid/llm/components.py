@@ -26,11 +26,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return hung.union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
 
 
-def component_labels(edges: DataFrame) -> DataFrame:
+def component_labels(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(node, label) for every node of ``edges(u, v)`` but the least of each component.
 
-    ``label`` is the smallest node reachable.  Self loops and nulls are ignored;
-    no edges give an empty table.
+    ``label`` is the smallest node reachable.  ``known`` has labels of an earlier
+    call, whose edges count as well.  Self loops and nulls are ignored; no edges
+    give an empty table.
     """
     spark = edges.sparkSession
     scratch_path(spark, "components")  # makes sure that a checkpoint folder is set
@@ -39,7 +40,10 @@ def component_labels(edges: DataFrame) -> DataFrame:
         row = df.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("h")).first()
         return row["n"], row["h"]
 
-    current = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u != v").distinct().checkpoint()
+    current = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u != v")
+    if known is not None:
+        current = current.union(known.select("node", "label"))
+    current = current.distinct().checkpoint()
     seen = signature(current)
     while seen[0]:
         current = _small_star(_large_star(current)).checkpoint()

@@ -13,24 +13,31 @@ no blocks left its slots are skipped and the others keep their own shares.
 ``position`` (from 0, without gaps) is the place of a row in the mixture.  It is
 computed from per-source counts; there is no global sort or row number.
 
-The sources and the cycle are the only things broadcast: at most ``MAX_SOURCES``
-sources and ``MAX_CYCLE`` slots, else the query fails with a message.
+A slot of the cycle is kept as its source and one bit a source: how many blocks a source
+had before slot t is floor(t*a/L), or one more where its bit is set.  That table is broadcast
+where its size, known from the number of sources and the sum of weights, is at most ``BROADCAST_BITS``, and
+joined by a shuffle on (source, place in the cycle) otherwise; there is no limit on either number.
 
 Cases: a null source is a source of its own, named ''; a row with a null doc_id
 takes its place by its text; rows equal in doc_id are ordered by text; repeated
 rows are all kept; an empty table gives an empty result; all columns of the
-input come along, whatever their names.
+input come along, and where one of them is called ``mix`` the new column is ``mix_``.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_SOURCES = 2000
-MAX_CYCLE = 20_000
+from ._shared import free_name
+
+#: About 16 MB of bits and as much of slots.
+BROADCAST_BITS = 1 << 27
+#: Slots that are folded at once.
+CHUNK = 512
 
 
 @dataclass(frozen=True)
@@ -43,14 +50,16 @@ class MixConfig:
 
 
 def _weight(source, cfg: MixConfig):
-    out = F.lit(cfg.default_weight)
+    """The source's weight over the greatest common divisor of all."""
+    common = math.gcd(cfg.default_weight, *cfg.weights.values())
+    out = F.lit(cfg.default_weight // common)
     for name, weight in cfg.weights.items():
-        out = F.when(source == name, F.lit(weight)).otherwise(out)
+        out = F.when(source == name, F.lit(weight // common)).otherwise(out)
     return out.cast("long")
 
 
 def _cycle(sources: DataFrame) -> DataFrame:
-    """One row: names, weights, counts, total and the cycle's slots (source index, blocks each source had before)."""
+    """One row: names, weights, counts, total and the cycle's slots in chunks (source number, bits)."""
     one = sources.agg(F.array_sort(F.collect_list(F.struct("source", "weight", "n"))).alias("s"))
     one = one.where(F.size("s") > 0).select(
         F.col("s.source").alias("names"),
@@ -58,9 +67,8 @@ def _cycle(sources: DataFrame) -> DataFrame:
         F.col("s.n").alias("counts"),
         F.aggregate("s.weight", F.lit(0).cast("long"), lambda t, w: t + w).alias("total"),
     )
-    fits = (F.size("names") <= MAX_SOURCES) & (F.col("total") <= MAX_CYCLE)
-    one = one.withColumn("total", F.when(fits, F.col("total")).otherwise(F.raise_error(F.lit("too many sources or too large a sum of weights")).cast("long")))
-    sums = "array<struct<source:int,before:array<bigint>>>"
+    chunk = "array<struct<source:int,bits:array<bigint>>>"
+    words = F.sequence(F.lit(0), F.floor((F.size("names") - 1) / 62).cast("int"))
 
     def step(state, t):
         due = F.transform(
@@ -70,14 +78,43 @@ def _cycle(sources: DataFrame) -> DataFrame:
                 F.struct(F.ceil((F.get(state["done"], i) + 1) * F.col("total") / a).alias("deadline"), i.alias("i")),
             ),
         )
-        pick = F.array_min(due)["i"]
-        return F.struct(
-            F.transform(state["done"], lambda d, i: d + F.when(i == pick, 1).otherwise(0).cast("long")).alias("done"),
-            F.concat(state["slots"], F.array(F.struct(pick.alias("source"), state["done"].alias("before")))).cast(sums).alias("slots"),
+        ahead = F.zip_with(state["done"], "weights", lambda d, a: d - F.floor(t * a / F.col("total")))
+        bits = F.transform(
+            words,
+            lambda w: F.aggregate(F.slice(ahead, w * 62 + 1, F.lit(62)), F.lit(0).cast("long"), lambda acc, b: acc * 2 + b),
+        )
+
+        def advance(pick):
+            return F.struct(
+                F.transform(state["done"], lambda d, i: d + F.when(i == pick, 1).otherwise(0).cast("long")).alias("done"),
+                F.concat(state["slots"], F.array(F.struct(pick.alias("source"), bits.alias("bits")))).cast(chunk).alias("slots"),
+            )
+
+        # as a lambda's variable the choice is computed once a slot, not once for each source
+        return F.get(F.transform(F.array(F.array_min(due)["i"]), advance), F.lit(0))
+
+    def chunk_step(state, c):
+        ts = F.sequence(c * CHUNK, F.least((c + 1) * CHUNK, F.col("total")) - 1)
+        inner = F.struct(state["done"].alias("done"), F.array().cast(chunk).alias("slots"))
+        return F.aggregate(
+            ts, inner, step, lambda s: F.struct(s["done"].alias("done"), F.concat(state["chunks"], F.array(s["slots"])).cast(f"array<{chunk}>").alias("chunks"))
         )
 
-    start = F.struct(F.transform("weights", lambda _: F.lit(0).cast("long")).alias("done"), F.array().cast(sums).alias("slots"))
-    return one.withColumn("slots", F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("total") - 1), start, step, lambda s: s["slots"]))
+    start = F.struct(F.transform("weights", lambda _: F.lit(0).cast("long")).alias("done"), F.array().cast(f"array<{chunk}>").alias("chunks"))
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / CHUNK))
+    return one.withColumn("chunks", F.aggregate(chunks, start, chunk_step, lambda s: s["chunks"]))
+
+
+def _had(p, bits, weights, total):
+    """How many blocks each source had before slot ``p`` of the cycle."""
+
+    def bit(i):
+        word = F.floor(i / 62).cast("int")
+        length = F.least(F.size(weights) - word * 62, F.lit(62))  # bits of this word, the first source's highest
+        down = F.call_function("shiftright", F.get(bits, word), (length - 1 - F.pmod(i, F.lit(62))).cast("int"))
+        return down.bitwiseAND(F.lit(1).cast("long"))
+
+    return F.transform(weights, lambda a, i: F.floor(p * a / total) + bit(i))
 
 
 def schedule(docs: DataFrame, cfg: MixConfig, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -104,21 +141,24 @@ def schedule(docs: DataFrame, cfg: MixConfig, id_col: str = "doc_id", source_col
     )
 
     sources = counts.groupBy("source").agg(F.sum("n").alias("n")).withColumn("weight", _weight(F.col("source"), cfg))
+    size = sources.agg(F.count("*").alias("sources"), F.sum("weight").alias("total")).first()
     cycle = _cycle(sources)
-    slots = cycle.select("names", "weights", "counts", "total", F.posexplode("slots").alias("p", "slot")).select(
-        F.get("names", F.col("slot.source")).alias("source"),
-        F.get("slot.before", F.col("slot.source")).alias("turn"),
-        F.get("weights", F.col("slot.source")).alias("weight"),
-        "weights",
-        "counts",
-        "total",
-        "p",
-        F.col("slot.before").alias("had"),
+    slots = cycle.select("names", "weights", "total", F.posexplode("chunks").alias("c", "slots"))
+    slots = slots.select("names", "weights", "total", "c", F.posexplode("slots").alias("o", "slot"))
+    slots = slots.withColumn("p", F.col("c").cast("long") * CHUNK + F.col("o"))
+    had = _had(F.col("p"), F.col("slot.bits"), F.col("weights"), F.col("total"))
+    slots = slots.select(
+        F.get("names", F.col("slot.source")).alias("source"), F.get(had, F.col("slot.source")).alias("turn"), "p", F.col("slot.bits").alias("bits")
     )
+    if (size["sources"] or 0) * (size["total"] or 0) <= BROADCAST_BITS:
+        slots = F.broadcast(slots)
     block = F.floor(F.col("row") / cfg.block_rows)
     weights = numbered.withColumn("block", block).withColumn("turn", F.pmod("block", _weight(F.col("source"), cfg)))
-    placed = weights.join(F.broadcast(slots), ["source", "turn"]).withColumn("round", F.floor(F.col("block") / F.col("weight")))
-    share = F.zip_with("had", "weights", lambda b, a: (b + F.col("round") * a) * cfg.block_rows)
+    weights = weights.withColumn("weight", _weight(F.col("source"), cfg))
+    shares = cycle.select("weights", "counts", "total")  # one row of two numbers a source
+    placed = weights.join(slots, ["source", "turn"]).crossJoin(F.broadcast(shares)).withColumn("round", F.floor(F.col("block") / F.col("weight")))
+    had = _had(F.col("p"), F.col("bits"), F.col("weights"), F.col("total"))
+    share = F.zip_with(had, "weights", lambda b, a: (b + F.col("round") * a) * cfg.block_rows)
     earlier = F.aggregate(F.zip_with(share, "counts", lambda b, n: F.least(b, n)), F.lit(0).cast("long"), lambda t, x: t + x)
     return placed.select(
         "doc.*",
@@ -130,7 +170,7 @@ def schedule(docs: DataFrame, cfg: MixConfig, id_col: str = "doc_id", source_col
             F.ceil((F.col("block") + 1) * F.col("total") / F.col("weight")).alias("deadline"),
             (F.col("round") * F.col("total") + F.col("p")).alias("slot"),
             (earlier + F.pmod("row", F.lit(cfg.block_rows))).cast("long").alias("position"),
-        ).alias("mix"),
+        ).alias(free_name("mix", docs.columns)),
     )
 
 
@@ -140,11 +180,7 @@ def mixed(docs: DataFrame, cfg: MixConfig, partitions: int, position: str | None
     Files of a table are not read back in the order they were written in; with
     ``position`` a column of that name has each row's place as well.
     """
-    name = "mix"
-    while name in docs.columns:
-        name += "_"
-    placed = schedule(docs.withColumnsRenamed({"mix": name}) if "mix" in docs.columns else docs, cfg)
-    at = F.col("mix.position")
-    out = placed.repartitionByRange(partitions, at).sortWithinPartitions(at)
-    out = (out.withColumn(position, at) if position else out).drop("mix")
-    return out.withColumnRenamed(name, "mix") if name != "mix" else out
+    name = free_name("mix", docs.columns)
+    at = F.col(f"{name}.position")
+    out = schedule(docs, cfg).repartitionByRange(partitions, at).sortWithinPartitions(at)
+    return (out.withColumn(position, at) if position else out).drop(name)

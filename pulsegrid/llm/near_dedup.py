@@ -223,6 +223,7 @@ def _shared_sizes(members: DataFrame, corpus: DataFrame, cfg: NearDupConfig) ->
     )
     each = materialise(each, "member-shingles")
     common = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle", F.lit(1).alias("one"))
+    common = materialise(common, "common-shingles")  # so that a very common one can be split in the join
     return each.join(common, "shingle", "left").groupBy("rep").agg(F.count("*").alias("size"), F.count("one").alias("shared"))
 
 
@@ -231,8 +232,9 @@ def near_duplicate_links(docs: DataFrame, cfg: NearDupConfig) -> tuple[DataFrame
     docs = texts(docs)
     signed = materialise(signatures(docs, cfg), "signatures")
     usable = signed.where("doc_id is not null and n_shingles > 0")
-    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = usable.join(classes, "digest").where("doc_id = rep")
+    # equal sets meet in partial aggregates, never row by row
+    reps = materialise(usable.groupBy("digest").agg(F.min(F.struct("doc_id", "keys")).alias("r")).select("digest", F.col("r.doc_id").alias("rep"), "r.keys"), "classes")
+    classes = reps.select("digest", "rep")
     exploded = reps.select("rep", F.explode("keys").alias("key"))
     shared = exploded.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo != hi")
     keyed = materialise(exploded.join(shared.select("key", F.col("lo").alias("pivot")), "key").distinct(), "bands")
@@ -261,8 +263,7 @@ def near_duplicate_links(docs: DataFrame, cfg: NearDupConfig) -> tuple[DataFrame
         nodes = materialise(nodes.join(head, "cluster").select("rep", "a", "label", "a_label"), "clusters")
         by_cluster = nodes.where("label != a_label").select("a", F.col("rep").alias("b"))
         fresh = materialise(by_bucket.union(by_cluster).distinct().join(_both_ways(tested), ["a", "b"], "left_anti"), "pairs")
-        edges = materialise(edges.union(confirm(fresh, corpus, cfg)), "links")
-        labels = component_labels(edges)
+        labels = _more_labels(materialise(confirm(fresh, corpus, cfg), "links"), labels)
         tested = tested.union(fresh)
 
         rest = _with_labels(open_.select("key", "rep"), labels).select("rep").distinct()
@@ -272,14 +273,18 @@ def near_duplicate_links(docs: DataFrame, cfg: NearDupConfig) -> tuple[DataFrame
         members = members.join(named.withColumnRenamed("node", "a"), "a", "left").withColumn("apart", F.col("label") != F.coalesce("now", "a")).drop("now")
         last = difference_pairs(materialise(members, "members"), corpus, cfg).join(_both_ways(tested), ["a", "b"], "left_anti")
         last = materialise(last, "pairs")
-        if not last.isEmpty():
-            labels = component_labels(edges.union(confirm(last, corpus, cfg)))
+        labels = _more_labels(materialise(confirm(last, corpus, cfg), "links"), labels)
     discard(keyed)
     rows = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
     rows = rows.join(classes, "digest", "left")
     return rows.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), labels
 
 
+def _more_labels(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labels after some more links, from those already known."""
+    return labels if links.isEmpty() else component_labels(links, labels)
+
+
 def _both_ways(pairs: DataFrame) -> DataFrame:
     return pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
