@@ -45,6 +45,7 @@ SURE = 2.0  # standard errors that a bucket's first weight is lowered by
 FOLDS = 3
 STEPS, BATCH, EPOCHS, RATE = 250, 32, (2, 8), 0.05
 STEP = 100_000
+WORDS = 20_000  # distinct words whose features are looked at once
 BATCH_BYTES = 1 << 19
 
 #: Common function words that tell languages apart.
@@ -105,7 +106,9 @@ def words_of(texts: list[bytes]) -> Words:
     starts, ends = _text.word_spans(data)
     each = [_text.span_hashes(data, starts[k : k + STEP], ends[k : k + STEP]) for k in range(0, len(starts), STEP)]
     hashes, at, ids = np.unique(np.concatenate([np.empty(0, np.uint64), *each]), return_index=True, return_inverse=True)
-    buckets, offsets = _gram_features(data, starts[at], ends[at], hashes)
+    grams = [_gram_features(data, starts[at[k : k + WORDS]], ends[at[k : k + WORDS]], hashes[k : k + WORDS]) for k in range(0, len(at), WORDS)]
+    buckets = np.concatenate([np.empty(0, np.uint16), *[b for b, _ in grams]])
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.empty(0, np.int64), *[np.diff(o) for _, o in grams]]))])
     per_text = np.diff(np.searchsorted(starts, np.cumsum(lengths)), prepend=0)
     begins = np.concatenate([[0], np.cumsum(per_text + 2)])
     padded = np.full(begins[-1], len(hashes), np.int64)
@@ -136,8 +139,9 @@ class ConvModel:
     def embed(self, w: Words) -> np.ndarray:
         """One row a word and a zero row for the blank."""
         out = np.zeros((w.n + 1, DIM), np.float32)
-        if w.n:
-            out[:-1] = np.add.reduceat(self.table[w.buckets], w.offsets[:-1], axis=0) / np.diff(w.offsets)[:, None]
+        for a in range(0, w.n, WORDS):
+            at = w.offsets[a : a + WORDS + 1]
+            out[a : a + len(at) - 1] = np.add.reduceat(self.table[w.buckets[at[0] : at[-1]]], at[:-1] - at[0], axis=0) / np.diff(at)[:, None]
         return out
 
     def raw(self, w: Words) -> np.ndarray:
