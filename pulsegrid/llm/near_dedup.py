@@ -22,7 +22,9 @@ Bands are resolved without listing all pairs of a group:
    c = (t(|p| + a_x + a_y) - |p| + m_x + m_y) / (1 + t) differences in common with
    x, where m and a count lacked and added shingles and t is the threshold.
    So the two share one of their first (differences - c + 1), in any fixed order;
-   pairs that do are confirmed.  This misses none, whatever the group's size.
+   pairs that do are confirmed.  The order is by how many members of the cluster have
+   a difference, the rarest first, so that one that is common to many leads to few
+   pairs.  This misses none, whatever the group's size.
 
 The number of rows of a band is chosen so that a pair at the threshold is missed
 by all bands with a probability under one in a million.
@@ -40,7 +42,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text
@@ -153,13 +155,12 @@ def _dealt(pairs: DataFrame, corpus: DataFrame, *more: str) -> DataFrame:
 
 
 def first_differences(size: int, lacked: np.ndarray, added: np.ndarray, percent: int) -> tuple[np.ndarray, int, int]:
-    """(differences in order, how many if the partner isn't linked to the pivot, how many if only this document isn't).
+    """(differences, how many come first if the partner isn't linked to the pivot, how many if only this document isn't).
 
-    ``size`` is the pivot's.  Added shingles come before lacked ones, each by
-    value; a lacked shingle is told apart by its complement's parity bit.
+    ``size`` is the pivot's.  A lacked shingle is told apart from an added one by its last bit.
     """
     m, a = len(lacked), len(added)
-    both = np.concatenate([np.sort(added) | np.uint64(1), np.sort(lacked) & ~np.uint64(1)])
+    both = np.concatenate([added | np.uint64(1), lacked & ~np.uint64(1)])
     partner_apart = (percent * a + 100 * m) // (100 + percent) + 1
     self_apart = max(1, -(-(percent * (size + a) - 100 * size + 100 * m) // 100))
     short = max(0, m + a - partner_apart + 1)
@@ -184,16 +185,20 @@ def difference_pairs(members: DataFrame, corpus: DataFrame, cfg: NearDupConfig)
                     pivot = own
                     continue
                 lacked, added = np.setdiff1d(pivot, own, True), np.setdiff1d(own, pivot, True)
-                order, short, long = first_differences(len(pivot), lacked, added, percent)
-                out += [(a, b, bool(apart), int(label), x, k < short) for k, x in enumerate(order[: long if apart else short].view(np.int64).tolist())]
-            yield pd.DataFrame(out, columns=["a", "b", "apart", "label", "difference", "short"])
+                found, short, long = first_differences(len(pivot), lacked, added, percent)
+                out += [(a, b, bool(apart), int(label), x, short, long if apart else short) for x in np.unique(found.view(np.int64)).tolist()]
+            yield pd.DataFrame(out, columns=["a", "b", "apart", "label", "difference", "n_short", "n_long"])
 
     rows = materialise(
-        _dealt(members, corpus, "apart", "label").mapInPandas(differ, "a bigint, b bigint, apart boolean, label bigint, difference bigint, short boolean"),
+        _dealt(members, corpus, "apart", "label").mapInPandas(
+            differ, "a bigint, b bigint, apart boolean, label bigint, difference bigint, n_short bigint, n_long bigint"
+        ),
         "differences",
     )
-    again = rows.groupBy("a", "difference").agg(F.count("*").alias("n")).where("n > 1").select("a", "difference")
-    rows = rows.join(again, ["a", "difference"], "left_semi")
+    counts = materialise(rows.groupBy("a", "difference").agg(F.count("*").alias("n")), "difference-counts")
+    rarest = Window.partitionBy("a", "b").orderBy("n", "difference")
+    rows = rows.join(counts, ["a", "difference"]).withColumn("k", F.row_number().over(rarest)).where("k <= n_long and n > 1")
+    rows = materialise(rows.select("a", "b", "apart", "label", "difference", (F.col("k") <= F.col("n_short")).alias("short")), "first-differences")
     left = rows.where("apart").select("a", "difference", F.col("b").alias("x"), F.col("short").alias("x_short"), F.col("label").alias("x_label"))
     right = rows.where("short")
     met = left.join(right, ["a", "difference"]).where("x_label != label and (not apart or (x_short and x < b))")
@@ -208,7 +213,7 @@ def _with_labels(keyed: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _shared_sizes(members: DataFrame, corpus: DataFrame, cfg: NearDupConfig) -> DataFrame:
-    """(rep, size, shared): set size, and how many of its shingles another member has too."""
+    """(rep, size, shared, popular): set size, how many of its shingles another member has too, and in how many members those occur, summed up."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -222,9 +227,10 @@ def _shared_sizes(members: DataFrame, corpus: DataFrame, cfg: NearDupConfig) ->
         .select("rep", F.explode("shingles").alias("shingle"))
     )
     each = materialise(each, "member-shingles")
-    common = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle", F.lit(1).alias("one"))
+    common = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     common = materialise(common, "common-shingles")  # so that a very common one can be split in the join
-    return each.join(common, "shingle", "left").groupBy("rep").agg(F.count("*").alias("size"), F.count("one").alias("shared"))
+    counted = each.join(common, "shingle", "left").groupBy("rep")
+    return counted.agg(F.count("*").alias("size"), F.count("n").alias("shared"), F.coalesce(F.sum("n"), F.lit(0)).alias("popular"))
 
 
 def near_duplicate_links(docs: DataFrame, cfg: NearDupConfig) -> tuple[DataFrame, DataFrame]:
@@ -256,10 +262,15 @@ def near_duplicate_links(docs: DataFrame, cfg: NearDupConfig) -> tuple[DataFrame
         by_bucket = open_.join(lead, "key").where("label != a_label").select("a", F.col("rep").alias("b"))
         tie = open_.groupBy("key").agg(F.min("rep").alias("v"))
         chained = component_labels(open_.join(tie, "key").select(F.col("rep").alias("u"), "v"))
-        nodes = open_.select("rep", "label", "size", "shared").distinct()
+        nodes = open_.select("rep", "label", "size", "popular").distinct()
         nodes = nodes.join(chained.select(F.col("node").alias("rep"), F.col("label").alias("cluster")), "rep", "left")
         nodes = nodes.withColumn("cluster", F.coalesce("cluster", "rep"))
-        head = nodes.groupBy("cluster").agg(best).select("cluster", (-F.col("p.col2")).alias("a"), F.col("p.label").alias("a_label"))
+        # the member that has most in common with all: what it alone lacks would be a difference of every other
+        sums = materialise(nodes.groupBy("cluster").agg(F.count("*").alias("members"), F.sum("size").alias("sizes")), "cluster-sizes")
+        alike = F.col("popular") / (F.col("size") + F.col("sizes") / F.col("members"))
+        central = F.max(F.struct(alike, -F.col("rep"), "label")).alias("p")
+        head = nodes.join(sums, "cluster").groupBy("cluster").agg(central).select("cluster", (-F.col("p.col2")).alias("a"), F.col("p.label").alias("a_label"))
+        head = materialise(head, "cluster-heads")
         nodes = materialise(nodes.join(head, "cluster").select("rep", "a", "label", "a_label"), "clusters")
         by_cluster = nodes.where("label != a_label").select("a", F.col("rep").alias("b"))
         fresh = materialise(by_bucket.union(by_cluster).distinct().join(_both_ways(tested), ["a", "b"], "left_anti"), "pairs")
