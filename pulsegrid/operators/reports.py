@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from pulsegrid.functions.columns import top_by_abs
+
 
 def by_user() -> WindowSpec:
     return Window.partitionBy("uuid").orderBy("date")
@@ -23,13 +25,16 @@ CHECKS = {
     "day_ratio": "day_ratio < 0 or day_ratio > 1",
     "evening_ratio": "evening_ratio < 0 or evening_ratio > 1",
     "peak_ratio": "peak_ratio < 0 or peak_ratio > 1",
-    "gap_long_ratio": "gap_long_ratio < 0 or gap_long_ratio > 1",
+    "gap_long_ratio": "gap_long_ratio < 0 or gap_long_ratio > 1.5",
     "peak_hour": "peak_hour < 0 or peak_hour > 23",
     "first_hour": "first_hour < 0 or first_hour > 23",
     "last_hour": "last_hour < 0 or last_hour > 23",
     "overnight_gap": "overnight_gap < 0",
     "gap_max": "gap_max < 0",
+    "gap_p95": "gap_p95 < 0",
     "session_total_sec": "session_total_sec < 0",
+    "session_cnt": "session_cnt < 0",
+    "session_mean_sec": "session_mean_sec < 0",
     "heartbeat_cnt": "heartbeat_cnt < 0",
     "retry_max": "retry_max < 0",
     "queue_max": "queue_max < 0",
@@ -51,12 +56,37 @@ def transition_matrix(states: DataFrame) -> DataFrame:
     return counts.select(F.coalesce("prev", F.lit("ALL")).alias("prev"), F.coalesce("cur", F.lit("ALL")).alias("cur"), "n")
 
 
-def alarm_runs(states: DataFrame) -> DataFrame:
-    """Lengths of each user's runs of days with the same alarm (a notification other than NONE)."""
-    rows = states.select("uuid", "date", (F.col("notify_final") != "NONE").alias("alarm"))
-    rows = rows.withColumn("fresh", F.coalesce(F.col("alarm") != F.lag("alarm").over(by_user()), F.lit(True)).cast("int"))
-    rows = rows.withColumn("run", F.sum("fresh").over(by_user()))
-    return rows.groupBy("uuid", "run", "alarm").agg(F.min("date").alias("first_date"), F.count("*").alias("days"))
+def top_transitions(states: DataFrame, k: int = 10) -> DataFrame:
+    """The most frequent pairs of a day's state and the one before; ties by name."""
+    moves = states.select(F.lag("cat_state").over(by_user()).alias("prev"), F.col("cat_state").alias("cur")).where("prev is not null")
+    return moves.groupBy("prev", "cur").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "prev", "cur").limit(k)
+
+
+def top_z_by_state(states: DataFrame, k: int = 5) -> DataFrame:
+    """The most frequent top features of each pattern state, on days the decoder is sure of."""
+    rows = states.where("decoder_quality = 'OK' and cat_state in ('SLEEP', 'LETHARGY', 'CHAOS', 'STABLE')")
+    counts = rows.groupBy("cat_state", "top_z_feature").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("cat_state").orderBy(F.desc("n"), "top_z_feature")
+    return counts.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).drop("r")
+
+
+def with_alarms(model: DataFrame, q: float = 0.99) -> DataFrame:
+    """The rows that have a risk score, and whether it reaches the ``q`` quantile of all."""
+    valid = model.where("risk_score is not null")
+    top = valid.agg(F.percentile("risk_score", q).alias("top"))
+    return valid.crossJoin(F.broadcast(top)).withColumn("alarm", F.col("risk_score") >= F.col("top"))  # one row
+
+
+def risk_thresholds(model: DataFrame) -> DataFrame:
+    """One row: the risk scores from which a day is an alarm, and a severe one."""
+    return model.agg(F.percentile("risk_score", 0.99).alias("top"), F.percentile("risk_score", 0.998).alias("severe"))
+
+
+def alarm_runs(model: DataFrame) -> DataFrame:
+    """First date and length of each run of alarms among a user's days with a risk score."""
+    rows = with_alarms(model).select("uuid", "date", "alarm")
+    rows = rows.withColumn("calm", F.sum((~F.col("alarm")).cast("int")).over(by_user()))  # the same within a run
+    return rows.where("alarm").groupBy("uuid", "calm").agg(F.min("date").alias("first_date"), F.count("*").alias("days")).drop("calm")
 
 
 def user_mode_state(states: DataFrame) -> DataFrame:
@@ -76,26 +106,41 @@ def distribution(states: DataFrame, column: str) -> DataFrame:
 def describe(df: DataFrame, column: str) -> DataFrame:
     """Count, moments and quantiles of a column: one row."""
     x = F.col(column)
-    q = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
+    q = {"p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
     return df.agg(
         F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("low"),
         *[F.percentile(x, v).alias(k) for k, v in q.items()], F.max(x).alias("high"),
     )
 
 
-def component_correlation(model: DataFrame, a: str = "z_score", b: str = "a_score", least: int = 30) -> DataFrame:
-    """Correlation of two risk components where more than ``least`` rows have both."""
-    pairs = model.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    return pairs.agg(F.count("*").alias("pairs"), F.when(F.count("*") > least, F.corr(a, b)).alias("corr"))
+def component_correlation(model: DataFrame, components: tuple[str, ...] = ("z_score", "a_score"), least: int = 30) -> DataFrame:
+    """Correlation of the risk score with each of its components, where more than ``least`` rows have both."""
+    pairs = model.select("risk_score", F.explode(F.create_map(*[x for c in components for x in (F.lit(c), F.col(c))])).alias("component", "value"))
+    pairs = pairs.where("risk_score is not null and value is not null")
+    return pairs.groupBy("component").agg(F.count("*").alias("pairs"), F.when(F.count("*") > least, F.corr("risk_score", "value")).alias("corr"))
 
 
 def top_risk(model: DataFrame, k: int = 200) -> DataFrame:
-    return model.where("final_risk is not null").orderBy(F.desc("final_risk"), "uuid", "date").limit(k)
+    """The days with the highest risk score; ties by user and date."""
+    return model.where("risk_score is not null").orderBy(F.desc("risk_score"), "uuid", "date").limit(k)
+
+
+def top_z_frequency(model: DataFrame, z: list[str], k: int = 200, most: int = 15) -> DataFrame:
+    """How often each z-score is the largest, relative to its median size on scored days, on the days of highest risk.
+
+    A median of zero or none counts as one; the first column wins among equals.
+    """
+    scored = model.where("quality_state = 'GOOD' and baseline_ready")
+    middle = scored.agg(*[F.coalesce(F.nullif(F.percentile(F.abs(c), 0.5), F.lit(0.0)), F.lit(1.0)).alias(f"_{c}") for c in z])
+    days = top_risk(model, k).crossJoin(F.broadcast(middle))  # one row
+    top = top_by_abs([(c, F.col(c) / F.col(f"_{c}")) for c in z])["name"]
+    counts = days.select(top.alias("feature")).where("feature is not null").groupBy("feature").agg(F.count("*").alias("n"))
+    return counts.orderBy(F.desc("n"), "feature").limit(most)
 
 
-def alarm_rates(states: DataFrame, risk_from: float = 0.6) -> DataFrame:
-    """Share of each user's days with a risk of ``risk_from`` or more."""
-    return states.groupBy("uuid").agg(F.avg(F.coalesce(F.col("final_risk") >= risk_from, F.lit(False)).cast("double")).alias("alarm_rate"))
+def alarm_rates(model: DataFrame) -> DataFrame:
+    """Share of alarms among each user's days with a risk score."""
+    return with_alarms(model).groupBy("uuid").agg(F.avg(F.col("alarm").cast("double")).alias("alarm_rate"))
 
 
 def duplicate_keys(df: DataFrame) -> DataFrame:

@@ -136,22 +136,38 @@ _register("state_distribution", lambda s, d: reports.distribution(_states(s, d),
           sql="SELECT cat_state, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM state GROUP BY cat_state")
 _register("transition_matrix", lambda s, d: reports.transition_matrix(_states(s, d)), "state",
           sql="SELECT coalesce(prev, 'ALL') AS prev, coalesce(cur, 'ALL') AS cur, count(*) AS n FROM (SELECT lag(cat_state) OVER (PARTITION BY uuid ORDER BY date) AS prev, cat_state AS cur FROM state) WHERE prev IS NOT NULL GROUP BY CUBE (prev, cur)")
-_register("alarm_runs", lambda s, d: reports.alarm_runs(_states(s, d)), "state",
-          sql="SELECT uuid, run, alarm, min(date) AS first_date, count(*) AS days FROM (SELECT *, CAST(sum(fresh) OVER (PARTITION BY uuid ORDER BY date) AS BIGINT) AS run FROM (SELECT uuid, date, notify_final <> 'NONE' AS alarm, CASE WHEN (notify_final <> 'NONE') = lag(notify_final <> 'NONE') OVER (PARTITION BY uuid ORDER BY date) THEN 0 ELSE 1 END AS fresh FROM state)) GROUP BY uuid, run, alarm")
+ALARMS = "(SELECT *, risk_score >= (SELECT quantile_cont(risk_score, 0.99) FROM model) AS alarm FROM model WHERE risk_score IS NOT NULL)"
+_register("risk_thresholds", lambda s, d: reports.risk_thresholds(_risk(s, d)), "model",
+          doubles=("top", "severe"),
+          sql="SELECT quantile_cont(risk_score, 0.99) AS top, quantile_cont(risk_score, 0.998) AS severe FROM model")
+_register("alarm_runs", lambda s, d: reports.alarm_runs(_risk(s, d)), "model",
+          sql=f"SELECT uuid, min(date) AS first_date, count(*) AS days FROM (SELECT uuid, date, alarm, row_number() OVER (PARTITION BY uuid ORDER BY date) - row_number() OVER (PARTITION BY uuid, alarm ORDER BY date) AS island FROM {ALARMS}) WHERE alarm GROUP BY uuid, island")
+_register("top_transitions", lambda s, d: reports.top_transitions(_states(s, d)), "state",
+          sql="SELECT prev, cur, count(*) AS n FROM (SELECT lag(cat_state) OVER (PARTITION BY uuid ORDER BY date) AS prev, cat_state AS cur FROM state) WHERE prev IS NOT NULL GROUP BY prev, cur ORDER BY n DESC, prev, cur LIMIT 10")
+_register("top_z_by_state", lambda s, d: reports.top_z_by_state(_states(s, d)), "state",
+          sql="SELECT cat_state, top_z_feature, count(*) AS n FROM state WHERE decoder_quality = 'OK' AND cat_state IN ('SLEEP', 'LETHARGY', 'CHAOS', 'STABLE') GROUP BY cat_state, top_z_feature QUALIFY row_number() OVER (PARTITION BY cat_state ORDER BY count(*) DESC, top_z_feature) <= 5")
 _register("user_mode_state", lambda s, d: reports.user_mode_state(_states(s, d)), "state",
           sql="SELECT uuid, cat_state AS mode_state FROM (SELECT uuid, cat_state, row_number() OVER (PARTITION BY uuid ORDER BY count(*) DESC, cat_state) AS r FROM state GROUP BY uuid, cat_state) WHERE r = 1")
-_register("alarm_rates", lambda s, d: reports.alarm_rates(_states(s, d)), "state",
+_register("alarm_rates", lambda s, d: reports.alarm_rates(_risk(s, d)), "model",
           doubles=("alarm_rate",),
-          sql="SELECT uuid, avg(CASE WHEN final_risk >= 0.6 THEN 1.0 ELSE 0.0 END) AS alarm_rate FROM state GROUP BY uuid")
+          sql=f"SELECT uuid, avg(CASE WHEN alarm THEN 1.0 ELSE 0.0 END) AS alarm_rate FROM {ALARMS} GROUP BY uuid")
 _register("risk_component_corr", lambda s, d: reports.component_correlation(_risk(s, d)), "model",
           doubles=("corr",),
-          sql="SELECT count(*) AS pairs, CASE WHEN count(*) > 30 THEN corr(z_score, a_score) END AS corr FROM model WHERE z_score IS NOT NULL AND a_score IS NOT NULL")
-_register("top200_risk", lambda s, d: reports.top_risk(_risk(s, d).select(*KEYS, "final_risk", "cold_stage")), "model",
-          doubles=("final_risk",),
-          sql="SELECT uuid, date, final_risk, cold_stage FROM model WHERE final_risk IS NOT NULL ORDER BY final_risk DESC, uuid, date LIMIT 200")
-_register("risk_describe", lambda s, d: reports.describe(_risk(s, d), "final_risk"), "model",
-          doubles=("mean", "std", "low", "p25", "p50", "p75", "p95", "p99", "high"),
-          sql="SELECT count(final_risk) AS n, avg(final_risk) AS mean, stddev_samp(final_risk) AS std, min(final_risk) AS low, quantile_cont(final_risk, 0.25) AS p25, quantile_cont(final_risk, 0.5) AS p50, quantile_cont(final_risk, 0.75) AS p75, quantile_cont(final_risk, 0.95) AS p95, quantile_cont(final_risk, 0.99) AS p99, max(final_risk) AS high FROM model")
+          sql=" UNION ALL ".join(f"SELECT '{c}' AS component, count(*) AS pairs, CASE WHEN count(*) > 30 THEN corr(risk_score, {c}) END AS corr FROM model WHERE risk_score IS NOT NULL AND {c} IS NOT NULL HAVING count(*) > 0" for c in ("z_score", "a_score")))
+_register("top200_risk", lambda s, d: reports.top_risk(_risk(s, d).select(*KEYS, "risk_score", "cold_stage")), "model",
+          doubles=("risk_score",),
+          sql="SELECT uuid, date, risk_score, cold_stage FROM model WHERE risk_score IS NOT NULL ORDER BY risk_score DESC, uuid, date LIMIT 200")
+_register("top_z_frequency", lambda s, d: reports.top_z_frequency(_risk(s, d), list(Z)), "model",
+          sql="SELECT feature, count(*) AS n FROM (SELECT uuid, date, feature, row_number() OVER (PARTITION BY uuid, date ORDER BY size DESC, i) AS r FROM ("
+          + " UNION ALL ".join(f"SELECT uuid, date, '{c}' AS feature, {i} AS i, abs({c}) / (SELECT coalesce(nullif(quantile_cont(abs({c}), 0.5), 0), 1.0) FROM model WHERE quality_state = 'GOOD' AND baseline_ready) AS size FROM (SELECT * FROM model WHERE risk_score IS NOT NULL ORDER BY risk_score DESC, uuid, date LIMIT 200)" for i, c in enumerate(Z))
+          + ") WHERE size IS NOT NULL) WHERE r = 1 GROUP BY feature ORDER BY n DESC, feature LIMIT 15")
+_register("risk_describe", lambda s, d: reports.describe(_risk(s, d), "risk_score"), "model",
+          doubles=("mean", "std", "low", "p50", "p75", "p90", "p95", "p99", "high"),
+          sql="SELECT count(risk_score) AS n, avg(risk_score) AS mean, stddev_samp(risk_score) AS std, min(risk_score) AS low, quantile_cont(risk_score, 0.5) AS p50, quantile_cont(risk_score, 0.75) AS p75, quantile_cont(risk_score, 0.9) AS p90, quantile_cont(risk_score, 0.95) AS p95, quantile_cont(risk_score, 0.99) AS p99, max(risk_score) AS high FROM model")
+_register("last_events", lambda s, d: reports.keep_last(_events(s, d).select(*KEYS, "seq", "event_std"), "seq"), "ev",
+          sql="SELECT uuid, date, max(seq) AS seq, arg_max(event_std, seq) AS event_std FROM ev GROUP BY uuid, date")
+_register("duplicate_keys", lambda s, d: reports.duplicate_keys(_events(s, d)), "ev",
+          sql="SELECT uuid, date, count(*) AS n FROM ev GROUP BY uuid, date HAVING count(*) > 1")
 _register("range_checks", lambda s, d: reports.range_checks(_features(s, d)), "feat",
           sql="SELECT rule, violations FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS rule, count(*) FILTER ({v}) AS violations FROM feat" for k, v in reports.CHECKS.items()) + ")")
 _register("missing_rates", lambda s, d: reports.missing_rates(_features(s, d), list(MERGED)), "feat",
