@@ -10,6 +10,8 @@ from pyspark.sql.window import WindowSpec
 
 from pulsegrid.config import Z_COLUMNS, PipelineConfig
 from pulsegrid.functions.columns import clip
+from pulsegrid.functions.quantiles import exact_quantiles
+from pulsegrid.sources.tables import settle
 
 
 def by_user() -> WindowSpec:
@@ -58,14 +60,13 @@ def prepare(features: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Data
 
 def winsor_bounds(prepared: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """One row: count and outer quantiles of each base column over all days that baselines learn from."""
-    q = F.array(*[F.lit(x) for x in cfg.winsor])
     x = {c: F.when(F.col("baseline_fit"), F.col(c).cast("double")) for c in cfg.base_columns}
-    return prepared.agg(*[F.count(v).alias(f"{c}_n") for c, v in x.items()], *[F.percentile(v, q).alias(f"{c}_q") for c, v in x.items()])
+    return exact_quantiles(prepared, x, cfg.winsor)
 
 
 def winsorised(prepared: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Adds ``<column>_w``: the value on days that baselines learn from, between the outer quantiles."""
-    prepared = prepared.persist()  # read twice: for the bounds and for the rows
+    prepared = settle(prepared, "prepared")  # read twice: for the bounds and for the rows
     bounds = winsor_bounds(prepared, cfg)
     rows = prepared.crossJoin(F.broadcast(bounds))  # one row
     out = []

@@ -151,3 +151,8 @@ def duplicate_keys(df: DataFrame) -> DataFrame:
 def keep_last(df: DataFrame, order: str) -> DataFrame:
     """The last row of each (uuid, date) in the given order."""
     return df.groupBy("uuid", "date").agg(F.max_by(F.struct(*df.columns), order).alias("r")).select("r.*")
+
+
+def mean_by_flag(rows: DataFrame, flag: str, column: str) -> DataFrame:
+    """Rows and the column's mean for each value of a flag."""
+    return rows.groupBy(flag).agg(F.count("*").alias("n"), F.avg(column).alias("mean"))

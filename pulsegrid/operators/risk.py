@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 
 from pulsegrid.config import DRIFT_COLUMNS, Z_GROUPS, PipelineConfig
 from pulsegrid.functions.columns import clip, row_quantile, top_by_abs, trim_mean
+from pulsegrid.functions.quantiles import exact_quantiles
 from pulsegrid.operators.baseline import by_user, soft_z
+from pulsegrid.sources.tables import settle
 
 
 def group_representatives(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
@@ -27,9 +30,10 @@ def group_representatives(rows: DataFrame, cfg: PipelineConfig = PipelineConfig(
 
 def _with_scale(rows: DataFrame, column: str, mask: str, name: str) -> DataFrame:
     """Adds the column's upper decile over the masked rows (one row, broadcast)."""
-    rows = rows.persist()  # read twice
-    tau = F.greatest(F.coalesce(F.percentile(F.when(F.col(mask), F.col(column)), 0.9), F.lit(1.0)), F.lit(1e-6))
-    return rows.crossJoin(F.broadcast(rows.agg(tau.alias(name))))
+    rows = settle(rows, name)  # read twice
+    upper = exact_quantiles(rows, {"x": F.when(F.col(mask), F.col(column))}, [0.9])
+    tau = F.greatest(F.coalesce(F.col("x_q")[0], F.lit(1.0)), F.lit(1e-6))
+    return rows.crossJoin(F.broadcast(upper.select(tau.alias(name))))
 
 
 def daily_risk(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
@@ -45,13 +49,18 @@ def daily_risk(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataF
 def smoothed_risk(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Adds risk_score, the exponential mean of the user's risk_adj so far; days without one don't move it.
 
-    A fold over the ordered values: exact for series of any length, where a closed
-    form with powers would overflow.
+    A fold over the latest values, as many as weigh more than 2^-60 (145 at an alpha of
+    a quarter), so the work for a day is the same however long the user's series is.  A
+    day without a value keeps the mean of the day before.
     """
-    so_far = F.collect_list("risk_adj").over(by_user().rowsBetween(Window.unboundedPreceding, 0))
     a = cfg.ema_alpha
-    mean = F.aggregate(so_far, F.lit(None).cast("double"), lambda m, x: F.when(m.isNull(), x).otherwise((1 - a) * m + a * x))
-    return rows.withColumn("risk_score", F.when(F.col("scored"), mean))
+    n = 0 if a >= 1 else math.ceil(-60 * math.log(2) / math.log(1 - a))
+    known = Window.partitionBy("uuid", F.col("risk_adj").isNotNull()).orderBy("date")
+    recent = F.collect_list("risk_adj").over(known.rowsBetween(-n, 0))
+    mean = F.aggregate(recent, F.lit(None).cast("double"), lambda m, x: F.when(m.isNull(), x).otherwise((1 - a) * m + a * x))
+    rows = rows.withColumn("_mean", mean)
+    so_far = F.last("_mean", ignorenulls=True).over(by_user().rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("risk_score", F.when(F.col("scored"), so_far)).drop("_mean")
 
 
 def early_risk(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
@@ -63,8 +72,9 @@ def early_risk(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataF
         for c in cfg.base_columns
     }
     rows = rows.select("*", *[v.alias(f"_{c}_early") for c, v in z.items()])
-    rows = rows.persist()  # read twice
-    middle = rows.agg(*[F.coalesce(F.nullif(F.percentile(f"_{c}_early", 0.5), F.lit(0.0)), F.lit(1.0)).alias(f"_{c}_mid") for c in z])
+    rows = settle(rows, "early")  # read twice
+    middle = exact_quantiles(rows, {c: F.col(f"_{c}_early") for c in z}, [0.5])
+    middle = middle.select(*[F.coalesce(F.nullif(F.col(f"{c}_q")[0], F.lit(0.0)), F.lit(1.0)).alias(f"_{c}_mid") for c in z])
     rows = rows.crossJoin(F.broadcast(middle))  # one row
     rows = rows.withColumn("z_trim_mean_abs_early", trim_mean(F.array(*[F.col(f"_{c}_early") / F.col(f"_{c}_mid") for c in z])))
     rows = rows.drop(*[f"_{c}_{x}" for c in z for x in ("early", "mid")])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -12,7 +13,9 @@ from pulsegrid.config import BASE_COLUMNS, DELTA_COLUMNS, RATIO_COLUMNS, Z_COLUM
 from pulsegrid.functions.columns import rounded
 from pulsegrid.operators import anomaly, baseline, decoder, features, reports, risk
 from pulsegrid.plans.oracles import LEAST_EVENTS, USERS, upto
+from pulsegrid.sources import days
 from pulsegrid.sources.events import from_activity_log, standard_events
+from pulsegrid.sources.tables import settle, shared_folder
 
 CFG = PipelineConfig(epoch_unit="ms", min_daily_events=LEAST_EVENTS, min_rhythm_events=LEAST_EVENTS, min_gap_events=LEAST_EVENTS)
 KEYS = ("uuid", "date")
@@ -24,12 +27,12 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @lru_cache(maxsize=4)  # queries of one session share it
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.daily_features(_events(spark, sf_dir), CFG).persist()
+    return settle(features.daily_features(_events(spark, sf_dir), CFG), "features")
 
 
 @lru_cache(maxsize=4)  # queries of one session share it
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return baseline.baselines(_features(spark, sf_dir), CFG).persist()
+    return settle(baseline.baselines(_features(spark, sf_dir), CFG), "baselines")
 
 
 @lru_cache(maxsize=4)  # queries of one session share it
@@ -39,18 +42,38 @@ def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @lru_cache(maxsize=4)  # queries of one session share it
 def _risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return risk.risk_table(_scaled(spark, sf_dir), CFG).persist()
+    return settle(risk.risk_table(_scaled(spark, sf_dir), CFG), "risk")
 
 
 @lru_cache(maxsize=4)  # queries of one session share it
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decoder.decode(risk.model_output(_risk(spark, sf_dir)), CFG).persist()
+    return settle(decoder.decode(risk.model_output(_risk(spark, sf_dir)), CFG), "states")
 
 
 @lru_cache(maxsize=4)  # queries of one session share it
 def _forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _scored(spark, sf_dir)
-    return anomaly.scale_by_user(anomaly.forest_scores(rows, anomaly.train_forest(rows, CFG), CFG), CFG).persist()
+    return settle(anomaly.scale_by_user(anomaly.forest_scores(rows, anomaly.train_forest(rows, CFG), CFG), CFG), "forest")
+
+
+@lru_cache(maxsize=4)  # queries of one session share it
+def _day_tables(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the daily features by day."""
+    root = f"{shared_folder(spark)}/pulsegrid-days-{uuid.uuid4().hex}"
+    _features(spark, sf_dir).withColumn("dt", F.col("date")).write.partitionBy("dt").parquet(f"{root}/daily")
+    return root
+
+
+def _baseline_of_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+    root = f"{_day_tables(spark, sf_dir)}/baseline"
+    days.write_baseline(_scored(spark, sf_dir), root, day)
+    return days.read_day(spark, root, day)
+
+
+def _states_of_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+    root = f"{_day_tables(spark, sf_dir)}/states"
+    days.write_state(_states(spark, sf_dir).select(*KEYS, "cat_state", "notify_level"), root, day)
+    return spark.read.schema("uuid string, date string, cat_state string, notify_level int").csv(days.day_folder(root, day), header=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,8 +196,20 @@ _register("range_checks", lambda s, d: reports.range_checks(_features(s, d)), "f
 _register("missing_rates", lambda s, d: reports.missing_rates(_features(s, d), list(MERGED)), "feat",
           doubles=("missing_rate",),
           sql="SELECT feature, missing_rate FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, avg(CASE WHEN \"{c}\" IS NULL THEN 1.0 ELSE 0.0 END) AS missing_rate FROM feat" for c in MERGED) + ") ORDER BY missing_rate DESC, feature LIMIT 20")
-_register("partition_lookback", lambda s, d: _features(s, d).where("date between date'2024-01-05' and date'2024-01-12'").select(*KEYS, "daily_event_cnt"), "feat",
+_register("day_scan", lambda s, d: days.read_day(s, f"{_day_tables(s, d)}/daily", "2024-01-10").select(*KEYS, "daily_event_cnt"), "feat",
+          sql="SELECT uuid, date, daily_event_cnt FROM feat WHERE date = DATE '2024-01-10'")
+_register("partition_lookback", lambda s, d: days.read_lookback(s, f"{_day_tables(s, d)}/daily", "2024-01-12", 8).select(*KEYS, "daily_event_cnt"), "feat",
           sql="SELECT uuid, date, daily_event_cnt FROM feat WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'")
+_register("training_range", lambda s, d: days.read_training(s, f"{_day_tables(s, d)}/daily", "2024-01-20", 5).select(*KEYS, "daily_event_cnt"), "feat",
+          sql="SELECT uuid, date, daily_event_cnt FROM feat WHERE date BETWEEN DATE '2024-01-15' AND DATE '2024-01-20'")
+_register("baseline_sink", lambda s, d: _baseline_of_day(s, d, "2024-01-20"), "base",
+          (*KEYS, "baseline_ready", "early_ready", *[f"{c}_{x}_final" for c in BASE_COLUMNS for x in ("mean", "std")]),
+          sql="SELECT uuid, date, baseline_ready, early_ready, " + ", ".join(f'"{c}_{x}_final"' for c in BASE_COLUMNS for x in ("mean", "std")) + " FROM base WHERE date = DATE '2024-01-20'")
+_register("state_sink", lambda s, d: _states_of_day(s, d, "2024-01-20"), "state", (*KEYS, "cat_state"),
+          sql="SELECT uuid, date, cat_state FROM state WHERE CAST(date AS DATE) = DATE '2024-01-20'")
+_register("mean_by_readiness", lambda s, d: reports.mean_by_flag(_scored(s, d), "baseline_ready", "daily_event_cnt"), "base",
+          doubles=("mean",),
+          sql="SELECT baseline_ready, count(*) AS n, avg(daily_event_cnt) AS mean FROM base GROUP BY baseline_ready")
 _register("union_train",
           lambda s, d: (f := _features(s, d)).where("has_activity").select(*KEYS, "daily_event_cnt").unionByName(f.select(*KEYS, "night_ratio"), allowMissingColumns=True), "feat",
           doubles=("night_ratio",),
