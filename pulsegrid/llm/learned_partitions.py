@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 
 
-def neighbour_graph(x: np.ndarray, k: int, block: int = 1024) -> np.ndarray:
+def neighbour_graph(x: np.ndarray, k: int, block: int = 256) -> np.ndarray:
     """Ids of the ``k`` rows with the largest inner product for each row (itself excluded)."""
     k = min(k, len(x) - 1)
     out = np.empty((len(x), k), np.int64)
@@ -22,6 +22,13 @@ def neighbour_graph(x: np.ndarray, k: int, block: int = 1024) -> np.ndarray:
     return out
 
 
+def neighbours_of(q: np.ndarray, x: np.ndarray, k: int, block: int = 256) -> np.ndarray:
+    """Rows of ``x`` with the ``k`` largest inner products for each row of ``q``."""
+    k = min(k, len(x))
+    found = [np.argpartition(-(q[a : a + block] @ x.T), k - 1, axis=1)[:, :k] for a in range(0, len(q), block)]
+    return np.concatenate(found) if found else np.empty((0, k), np.int64)
+
+
 def balanced_partition(x: np.ndarray, graph: np.ndarray, parts: int, seed: int = 11, rounds: int = 30, slack: float = 1.1) -> np.ndarray:
     """A partition number for each node: even sizes up to ``slack``, few graph edges cut.
 
