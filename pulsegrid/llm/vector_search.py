@@ -42,7 +42,7 @@ SAMPLE_PER_PARTITION = 16
 @dataclass(frozen=True)
 class SearchConfig:
     k: int = 20
-    sample_rows: int = 16000
+    sample_rows: int = 8000
     rows_per_partition: int = 800
     target_recall: float = 0.93
 
