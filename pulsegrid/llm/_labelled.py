@@ -43,12 +43,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int)
     )
 
 
-def trained(docs: DataFrame, labels: DataFrame, label: str, bound: int, train: Callable[[list[tuple[bytes, int]]], T], max_bytes: int = TRAIN_BYTES) -> T:
+def trained(docs: DataFrame, labels: DataFrame, label: str, bound: int, train: Callable[[list[tuple[bytes, int]]], T], max_bytes: int | None = None) -> T:
     """What ``train`` makes of the labelled sample, in one task; the driver gets the model alone.
 
-    The sample comes in the order of its hash, equal texts once, and ends at
-    ``bound`` rows or before the text that would take it over ``max_bytes``.
+    The sample comes in the order of its hash, equal texts once, and has ``bound``
+    rows at most.  A text that would take it over ``max_bytes`` (``TRAIN_BYTES``, if
+    not given) is passed over, and the texts after it still count.
     """
+    most = TRAIN_BYTES if max_bytes is None else max_bytes
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[bytes, int] = {}
@@ -56,10 +58,9 @@ def trained(docs: DataFrame, labels: DataFrame, label: str, bound: int, train: C
         for batch in batches:
             for data, y in zip(batch["data"], batch["label"]):
                 data = bytes(data)
-                if size >= 0 and data not in seen:
-                    size = size + len(data) if size + len(data) <= max_bytes else -1
-                    if size >= 0:
-                        seen[data] = int(y)
+                if data not in seen and size + len(data) <= most:
+                    size += len(data)
+                    seen[data] = int(y)
         yield pd.DataFrame({"model": [pickle.dumps(train(list(seen.items())))]})
 
     sample = labelled_sample(docs, labels, label, bound)

@@ -97,8 +97,8 @@ def runs_of(data: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def row_key() -> Column:
-    """Tells rows apart that differ in doc_id or text."""
-    return F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.coalesce(F.col("text"), F.lit("")))
+    """Tells rows apart that differ in doc_id, a null one from any number, or text."""
+    return F.xxhash64(F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.coalesce(F.col("text"), F.lit("")))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
