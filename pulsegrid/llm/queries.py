@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    best_fit_packing,
+    centroids,
     compression_quality,
     fertility,
     mixing,
@@ -17,7 +19,9 @@ from . import (
     suffix_dedup,
     token_files,
     toxicity,
+    vector_codes,
     vector_search,
+    vector_sql,
     word_repeats,
 )
 from ._shared import read_table
@@ -33,6 +37,9 @@ PIECES = tokenizer_file("piece_bpe_32k.model")
 BYTE_BPE = tokenizer_file("byte_bpe_50k.json")
 
 
+CODES = vector_codes.CodeConfig(parts=4, entries=256, rounds=4, scale=1024)
+PACKING = best_fit_packing.PackConfig(capacity=1024, end_id=2)
+CLUSTERS = centroids.ClusterConfig(clusters=16, rounds=3, dims=64, scale=64, seed="1")
 #: Production target weights by source; a source that isn't listed has weight 1.
 MIX = mixing.MixConfig(weights={"src0": 6, "src1": 4, "src2": 3, "src3": 2}, block_rows=8)
 
@@ -130,6 +137,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_table(read_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all vectors after four Lloyd rounds."""
+    return vector_codes.code_table(read_table(spark, sf_dir, "embeddings"), CODES)
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of at most 1024 tokens."""
+    return best_fit_packing.pack_documents(read_table(spark, sf_dir, "documents"), BYTE_BPE, PACKING)
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of all vectors after three rounds."""
+    return centroids.cluster_table(read_table(spark, sf_dir, "embeddings"), CLUSTERS)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -143,7 +165,14 @@ QUERIES = {
         op8_sentence_pieces,
         op9_vector_search,
         op10_token_files,
+        op11_vector_codes,
+        op12_best_fit_packing,
+        op13_centroid_clusters,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_source_mixing": OP1_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_source_mixing": OP1_SQL,
+    "op11_vector_codes": vector_sql.code_sql(CODES.parts, CODES.entries, CODES.rounds, CODES.scale, CLUSTERS.dims),
+    "op13_centroid_clusters": vector_sql.cluster_sql(CLUSTERS.clusters, CLUSTERS.rounds, CLUSTERS.dims, CLUSTERS.scale, CLUSTERS.seed),
+}
