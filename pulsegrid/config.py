@@ -18,6 +18,7 @@ EVENT_CATEGORY = {
 }
 EVENT_COLUMNS = ("event_name", "sensor_id", "event", "name", "action", "type_name", "eventCode", "event_id", "event_type")
 TIME_COLUMNS = ("ts_raw", "timestamp", "ts", "time", "event_time", "created_at", "occurred_at", "client_ts", "client_time")
+HEARTBEAT_TIME_COLUMNS = ("timestamp", "ts_raw", "ts", "client_ts", "client_time", "time", "event_time", "created_at", "occurred_at")
 STEP_NAMES = ("Step_Count", "Step", "Steps", "STEP_COUNT", "STEP", "Acc_Avg")
 RHYTHM_CATEGORIES = ("Screen", "UserAct", "Unlock")
 SESSION_START, SESSION_END = "SCREEN_INTERACTIVE", "SCREEN_NON_INTERACTIVE"
@@ -80,6 +81,10 @@ class PipelineConfig:
     very_low_events: int = 10
     gap_hours: float = 2.0
     long_gap_hours: float = 6.0
+    gap_quantile: float = 0.95
+    segment_events: int = 1_000_000  # a user's day of more events is worked on in segments of about as many
+    segment_slot_ms: int = 1000  # which are cut between such slots
+    segment_rows: int | None = None  # daily rows of a user that one task windows over; None: all (as many as days)
     session_limit_sec: int = 6 * 3600
     long_session_sec: int = 30 * 60
     base_columns: tuple[str, ...] = BASE_COLUMNS

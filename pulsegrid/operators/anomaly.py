@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from pulsegrid.config import PipelineConfig
 from pulsegrid.functions.columns import clip
+from pulsegrid.functions.quantiles import grouped_quantiles
+from pulsegrid.sources.tables import settle
 
 FOREST_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, rows int, depth int, features array<string>"
 
@@ -120,8 +122,14 @@ def mean_abs_z(rows: DataFrame) -> DataFrame:
 
 def scale_by_user(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Adds ``anomaly_score`` between the user's own outer quantiles, and ``anomaly_flag`` from the upper one on."""
-    low, high = (F.percentile("anomaly_score_raw", q).over(Window.partitionBy("uuid")) for q in cfg.scale_quantiles)
-    rows = rows.select("*", low.alias("_low"), high.alias("_high"))
+    if cfg.segment_rows is None:
+        low, high = (F.percentile("anomaly_score_raw", q).over(Window.partitionBy("uuid")) for q in cfg.scale_quantiles)
+        rows = rows.select("*", low.alias("_low"), high.alias("_high"))
+    else:  # no task holds a user
+        rows = settle(rows, "raw")
+        found = grouped_quantiles(rows, ["uuid"], F.col("anomaly_score_raw"), cfg.scale_quantiles)
+        found = found.select("uuid", F.get("q", F.lit(0)).alias("_low"), F.get("q", F.lit(1)).alias("_high"))
+        rows = rows.join(found, "uuid", "left")
     raw = F.col("anomaly_score_raw")
     score = F.coalesce(clip(F.try_divide(raw - F.col("_low"), F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))), 0.0, 1.0), F.lit(0.0))
     return rows.withColumns({"anomaly_score": F.when(raw.isNotNull(), score), "anomaly_flag": raw >= F.col("_high")}).drop("_low", "_high")

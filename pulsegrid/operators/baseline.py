@@ -2,33 +2,58 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 from pulsegrid.config import Z_COLUMNS, PipelineConfig
 from pulsegrid.functions.columns import clip
 from pulsegrid.functions.quantiles import exact_quantiles
+from pulsegrid.operators.features import BLOCKS
+from pulsegrid.operators.segments import of_key, windowed
 from pulsegrid.sources.tables import settle
 
 
-def by_user() -> WindowSpec:
-    return Window.partitionBy("uuid").orderBy("date")
+def all_of(columns: list[Column]) -> Column:
+    return reduce(Column.__and__, columns, F.lit(True))
 
 
-def by_kind_of_day() -> WindowSpec:
-    return Window.partitionBy("uuid", "is_weekend").orderBy("date")
+#: Columns that a feature table may lack.
+_DEFAULTS = {
+    "boolean": ("has_activity", "qc_core_low_cov", "qc_rhythm_low_cov", "qc_gap_low_cov"),
+    "double": ("daily_event_cnt", "unlock_cnt", "heartbeat_cnt", "partial_signal_raw", "travel_signal_raw", "tz_change_signal"),
+}
+#: The block that a base column belongs to; the others are in every table.
+_BLOCK_OF = {c: b for b in ("rhythm", "gap", "session", "mobility") for c in BLOCKS[b]}
 
 
-def all_of(columns: list[Column]) -> Column:
-    return reduce(Column.__and__, columns, F.lit(True))
+def with_defaults(features: DataFrame) -> DataFrame:
+    """The table with nulls in columns that it lacks."""
+    needed = {c: kind for kind, cols in _DEFAULTS.items() for c in cols} | {c: "double" for c in PipelineConfig().base_columns}
+    return features.withColumns({c: F.lit(None).cast(kind) for c, kind in needed.items() if c not in features.columns})
+
+
+def present_columns(features: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> tuple[str, ...]:
+    """The base columns whose block any row of the table has: one aggregate.
+
+    A block that nobody has isn't asked for; one that some users have is asked for of all.  Where the table doesn't say
+    which blocks a row has, a value in one of the block's columns does.
+    """
+    there = {}
+    for block in {_BLOCK_OF[c] for c in cfg.base_columns if c in _BLOCK_OF}:
+        signs = [F.coalesce(f"has_{block}", F.lit(False))] if f"has_{block}" in features.columns else []
+        signs += [F.col(c).isNotNull() for c in BLOCKS[block] if c in features.columns]
+        there[block] = F.max(reduce(Column.__or__, signs, F.lit(False)))
+    found = features.agg(*[c.alias(b) for b, c in there.items()]).first().asDict() if there else {}
+    return tuple(c for c in cfg.base_columns if c not in _BLOCK_OF or found[_BLOCK_OF[c]])
 
 
 def prepare(features: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Day index, cold-start stage, context and quality of each day, and which days baselines learn from."""
-    day = F.datediff("date", F.min("date").over(Window.partitionBy("uuid"))) + 1
+    features = of_key(with_defaults(features), ["uuid"], {"_first": F.min("date")}, cfg.segment_rows)
+    day = F.datediff("date", "_first") + 1
     filled = {c: F.coalesce(c, F.lit(0)) for c in ("daily_event_cnt", "unlock_cnt", "session_cnt", "heartbeat_cnt")}
     filled["step_sum"] = F.coalesce("step_sum", F.lit(0.0))
     filled["gap_max"] = F.coalesce("gap_max", F.when(F.coalesce("daily_event_cnt", F.lit(0)) == 0, F.lit(24.0)))
@@ -45,6 +70,7 @@ def prepare(features: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Data
             "travel_flag": (F.coalesce("travel_signal_raw", F.lit(0.0)) >= cfg.travel_level) | tz,
         }
     )
+    rows = rows.drop("_first")
     i, partial, travel = F.col("day_idx"), F.col("partial_flag"), F.col("travel_flag")
     low = F.col("qc_any_low_cov") | F.col("qc_missing_any")
     flags = F.concat_ws("|", F.when(partial, "PARTIAL"), F.when(travel, "TRAVEL"))
@@ -88,17 +114,21 @@ def rolling_baselines(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -
     """Long, short (all days; by kind of day) and early baselines, with the fallbacks between their means.
 
     A deviation never falls back: its floor stands in first.  All windows share one
-    exchange by user.
+    exchange by user, or get the rows that they look back on as the halo of a segment.
     """
     lt, st, split = (cfg.lt_window, cfg.lt_least), (cfg.st_window, cfg.st_least), (cfg.st_window, cfg.st_split_least)
     early = (cfg.early_window, cfg.early_least)
-    for window, kinds in ((by_user(), (("lt_g", lt), ("st_g", st), ("early_g", early))), (by_kind_of_day(), (("st_own", split), ("early_own", early)))):
-        made = []
-        for c in cfg.base_columns:
-            for kind, (n, least) in kinds:
-                mean, std = _rolling(c, window, n, least, cfg.floor(c))
-                made += [mean.alias(f"{c}_mean_{kind}"), std.alias(f"{c}_std_{kind}")]
-        rows = rows.select("*", *made)
+    for keys, kinds in ((["uuid"], (("lt_g", lt), ("st_g", st), ("early_g", early))), (["uuid", "is_weekend"], (("st_own", split), ("early_own", early)))):
+
+        def add(df: DataFrame, part: list[str], kinds=kinds) -> DataFrame:
+            made, window = [], Window.partitionBy(*part).orderBy("date")
+            for c in cfg.base_columns:
+                for kind, (n, least) in kinds:
+                    mean, std = _rolling(c, window, n, least, cfg.floor(c))
+                    made += [mean.alias(f"{c}_mean_{kind}"), std.alias(f"{c}_std_{kind}")]
+            return df.select("*", *made)
+
+        rows = windowed(rows, keys, "date", max(n for _, (n, _) in kinds), add, cfg.segment_rows)
     out = []
     for c in cfg.base_columns:
         st_s = F.coalesce(f"{c}_mean_st_own", f"{c}_mean_st_g", f"{c}_mean_lt_g")
@@ -121,14 +151,6 @@ def rolling_baselines(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -
     )
 
 
-def base_columns_of(daily: DataFrame, cfg: PipelineConfig) -> tuple[str, ...]:
-    """The base columns whose block occurs in the table at all; a block that no user has doesn't hold back readiness."""
-    blocks = {"session": ("session_total_sec", "session_cnt"), "mobility": ("step_sum",)}
-    here = daily.agg(*[F.coalesce(F.max(f"has_{b}"), F.lit(False)).alias(b) for b in blocks]).first()
-    absent = {c for b, cols in blocks.items() if not here[b] for c in cols}
-    return tuple(c for c in cfg.base_columns if c not in absent)
-
-
 def soft_z(x: Column, mean: Column, std: Column, limit: float) -> Column:
     return F.lit(limit) * F.tanh((x - mean) / std / F.lit(limit))
 
@@ -142,5 +164,6 @@ def z_scores(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFra
 
 
 def baselines(features: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """Daily features with flags, baselines and z-scores."""
+    """Daily features with flags, baselines and z-scores, of the base columns that the table has."""
+    cfg = replace(cfg, base_columns=present_columns(features, cfg))
     return z_scores(rolling_baselines(winsorised(prepare(features, cfg), cfg), cfg), cfg)

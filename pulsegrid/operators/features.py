@@ -1,18 +1,22 @@
 """Daily features of each user: one shuffle of the events, then windows over the few daily rows.
 
 All blocks of a (user, day) come from the same exchange: window columns (gap to the
-event before, open session, network change) and the final aggregation share its
-partitioning.
+event before, open session, network change) and the aggregation to a partial state
+share its partitioning.  A day of very many events is cut into segments, each with a state of
+its own; states of one day are put together in the order of their times, whether they come from
+segments or from batches.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 from pulsegrid.config import DELTA_COLUMNS, RATIO_COLUMNS, RHYTHM_CATEGORIES, SESSION_END, SESSION_START, STEP_NAMES, PipelineConfig
 from pulsegrid.functions.columns import entropy, row_quantile
+from pulsegrid.functions.quantiles import grouped_quantiles
+from pulsegrid.operators.segments import cut_days, of_key, windowed
+from pulsegrid.sources.tables import settle
 
 BLOCKS = {
     "activity": ("Screen", "UserAct", "Notif", "Unlock"),
@@ -24,18 +28,14 @@ BLOCKS = {
 }
 
 
-def by_user() -> WindowSpec:
-    return Window.partitionBy("uuid").orderBy("date")
-
-
 def _count(cond: Column) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0))
 
 
-def _event_windows(events: DataFrame) -> DataFrame:
-    """Adds the gap to the previous activity event, network changes and session lengths, all within the user's day."""
-    order = Window.partitionBy("uuid", "date").orderBy("ms", "seq")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+def _event_windows(events: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds the gap to the previous activity event, network changes and session turns, all within a segment."""
+    segment = Window.partitionBy(*keys)
+    before = segment.orderBy("ms", "seq").rowsBetween(Window.unboundedPreceding, -1)
     moves = F.col("event_cat").isin(*RHYTHM_CATEGORIES)
     name = F.col("event_std")
     ssid = F.when(name == "WIFI_SSID", F.coalesce("wifi_ssid", F.lit("None")))
@@ -46,22 +46,69 @@ def _event_windows(events: DataFrame) -> DataFrame:
         F.last(F.when(moves, F.col("ms")), ignorenulls=True).over(before).alias("prev_ms"),
         F.last(ssid, ignorenulls=True).over(before).alias("prev_ssid"),
         F.coalesce(_count(name == SESSION_END).over(before), F.lit(0)).alias("turn"),
+        F.coalesce(_count(name == SESSION_END).over(segment), F.lit(0)).alias("turns"),
     )
-    opened = F.min(F.when(name == SESSION_START, F.col("ms"))).over(Window.partitionBy("uuid", "date", "turn"))
-    return rows.withColumn("session_sec", F.when(name == SESSION_END, (F.col("ms") - opened) / 1000.0))
+    opened = F.min(F.when(name == SESSION_START, F.col("ms"))).over(Window.partitionBy(*keys, "turn"))
+    return rows.withColumn("session_sec", F.when((name == SESSION_END) & (F.col("turn") > 0), (F.col("ms") - opened) / 1000.0))
 
 
-def daily_blocks(events: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """(uuid, date), the columns of all blocks, and ``has_<block>`` for each; null where a block has no row."""
-    rows = _event_windows(events)
-    name, moves = F.coalesce("event_std", F.lit("")), F.col("moves")
-    by_type = F.coalesce(F.col("type_std") == "heartbeat", F.lit(False))
-    by_name = F.lower(name) == "heartbeat"
-    steps = name.isin(*STEP_NAMES) | F.coalesce(F.col("sensor_id").isin(*STEP_NAMES), F.lit(False))
-    session = F.col("session_sec")
-    valid = (session > 0) & (session < cfg.session_limit_sec)
-    is_cell, is_wifi = name == "CELL_CHANGE", name == "WIFI_SSID"
-    meta = [
+#: Heartbeat columns of a state, each kept by type and by name.
+_BEATS = ("hb", "retry", "queue", "tz_min", "tz_max", "last")
+
+
+def _gap_sums(gap: Column, cfg: PipelineConfig) -> list[Column]:
+    return [
+        F.max(gap).alias("gap_max"),
+        _count(gap >= cfg.gap_hours).alias("n_long_gaps"),
+        _count(gap >= cfg.long_gap_hours).alias("n_very_long_gaps"),
+        F.sum(F.when(gap >= cfg.gap_hours, gap)).alias("long_gaps"),
+    ]
+
+
+def _session_sums(sec: Column, cfg: PipelineConfig) -> list[Column]:
+    valid = (sec > 0) & (sec < cfg.session_limit_sec)
+    return [
+        _count(valid).alias("n_sessions"),
+        F.sum(F.when(valid, sec)).alias("session_total"),
+        _count(valid & (sec >= cfg.long_session_sec)).alias("n_long"),
+    ]
+
+
+def _with_own_beat_dates(events: DataFrame) -> DataFrame:
+    """``as_event`` and ``as_beat``: what a row counts for; a heartbeat dated apart is there twice."""
+    both = {"as_event": F.lit(True), "as_beat": F.lit(True)}
+    if "beat_date" not in events.columns:
+        return events.withColumns(both)
+    beats = (F.col("type_std") == "heartbeat") | (F.lower("event_std") == "heartbeat")
+    apart = F.coalesce(beats, F.lit(False)) & ~F.col("beat_date").eqNullSafe(F.col("date"))
+    kinds = [F.struct(d.alias("date"), F.lit(e).alias("as_event"), F.lit(b).alias("as_beat")) for d, e, b in ((F.col("date"), True, True), (F.col("date"), True, False), (F.col("beat_date"), False, True))]
+    rest = [c for c in events.columns if c not in ("date", "beat_date")]
+    return events.select(*rest, F.inline(F.when(apart, F.array(*kinds[1:])).otherwise(F.array(kinds[0])))).where("date is not null")
+
+
+def day_states(events: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> tuple[DataFrame, bool]:
+    """Partial states of each (uuid, date), and whether a day may have several.
+
+    A state tells of a run of a user's events on a day, from ``from_ms`` to ``to_ms``:
+    counts, first and last activity and the gaps between, first and last network, sessions closed inside,
+    the session end that closes one begun before (``head_ms``, opened inside at ``head_start`` if at all) and the
+    session left open (``tail_start``).  States of one day whose times don't overlap are put together by
+    :func:`merged_days`, so they may be kept, one a batch, and merged later.  Lists in a state
+    have at most as many values as it has events.
+    """
+    rows, cut = cut_days(_with_own_beat_dates(events), cfg.segment_events, cfg.segment_slot_ms)
+    keys = ["uuid", "date", "seg"] if cut else ["uuid", "date"]
+    rows = _event_windows(rows, keys)
+    event, moves = F.col("as_event"), F.col("moves") & F.col("as_event")
+    name = F.coalesce("event_std", F.lit(""))
+    by_type = F.coalesce(F.col("type_std") == "heartbeat", F.lit(False)) & F.col("as_beat")
+    by_name = (F.lower(name) == "heartbeat") & F.col("as_beat")
+    steps = event & (name.isin(*STEP_NAMES) | F.coalesce(F.col("sensor_id").isin(*STEP_NAMES), F.lit(False)))
+    is_cell, is_wifi = event & (name == "CELL_CHANGE"), event & (name == "WIFI_SSID")
+    starts, ends = name == SESSION_START, name == SESSION_END
+    gap = F.when(moves & (F.col("ms") > F.col("prev_ms")), (F.col("ms") - F.col("prev_ms")) / 3.6e6)
+    at = F.when(is_wifi, F.struct("ms", "seq"))
+    beats = [
         x
         for kind, cond in (("type", by_type), ("name", by_name))
         for x in (
@@ -73,39 +120,151 @@ def daily_blocks(events: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> D
             F.max(F.when(cond, F.col("last_event_ts"))).alias(f"last_{kind}"),
         )
     ]
-    day = rows.groupBy("uuid", "date").agg(
-        *[_count(F.col("event_cat") == c).alias(c) for c in BLOCKS["activity"]],
+    states = rows.groupBy(*keys).agg(
+        F.min("ms").alias("from_ms"),
+        F.max("ms").alias("to_ms"),
+        *[_count(event & (F.col("event_cat") == c)).alias(c) for c in BLOCKS["activity"]],
         F.array(*[_count(moves & (F.col("hour") == h)) for h in range(24)]).alias("hours"),
         _count(moves).alias("n_moves"),
-        F.collect_list(F.when(moves & (F.col("ms") > F.col("prev_ms")), (F.col("ms") - F.col("prev_ms")) / 3.6e6)).alias("gaps"),
         F.min(F.when(moves, F.col("ms"))).alias("first_ms"),
         F.max(F.when(moves, F.col("ms"))).alias("last_ms"),
-        _count(name.isin(SESSION_START, SESSION_END)).alias("n_session_events"),
-        _count(valid).alias("n_sessions"),
-        F.sum(F.when(valid, session)).alias("session_total"),
-        F.avg(F.when(valid, session)).alias("session_mean"),
-        _count(valid & (session >= cfg.long_session_sec)).alias("n_long"),
+        F.collect_list(gap).alias("gaps"),
+        *_gap_sums(gap, cfg),
+        _count(event & (starts | ends)).alias("n_session_events"),
+        *_session_sums(F.when(event, F.col("session_sec")), cfg),
+        F.min(F.when(event & starts & (F.col("turn") == 0) & (F.col("turns") > 0), F.col("ms"))).alias("head_start"),
+        F.min(F.when(event & ends & (F.col("turn") == 0), F.col("ms"))).alias("head_ms"),
+        F.min(F.when(event & starts & (F.col("turn") == F.col("turns")), F.col("ms"))).alias("tail_start"),
         _count(is_cell | is_wifi).alias("n_mobile"),
         _count(is_cell).alias("n_cell"),
         _count(is_wifi & (F.col("ssid") != F.col("prev_ssid"))).alias("n_wifi_changes"),
-        F.size(F.collect_set("ssid")).alias("n_ssid"),
-        F.size(F.collect_set(F.when(is_cell, F.col("cell_lac")))).alias("n_lac"),
+        F.min_by("ssid", at).alias("first_ssid"),
+        F.max_by("ssid", at).alias("last_ssid"),
+        F.collect_set(F.when(is_wifi, F.col("ssid"))).alias("ssids"),
+        F.collect_set(F.when(is_cell, F.col("cell_lac"))).alias("lacs"),
         _count(steps).alias("n_steps"),
         F.sum(F.when(steps, F.col("steps"))).alias("steps"),
-        *meta,
+        *beats,
     )
-    return _finish(day, cfg)
+    return states.drop("seg"), cut
 
 
-def _finish(day: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    typed = F.max("hb_type").over(Window.partitionBy("uuid")) > 0
-    overnight = (F.col("first_ms") - F.lag("last_ms").over(by_user())) / 3.6e6
-    adjacent = F.datediff("date", F.lag("date").over(by_user())) == 1
-    day = day.select(
+_SUMS = (
+    *BLOCKS["activity"], "n_moves", "n_session_events", "n_sessions", "session_total", "n_long", "n_mobile", "n_cell", "n_wifi_changes",
+    "n_steps", "steps", "n_long_gaps", "n_very_long_gaps", "long_gaps", "hb_type", "hb_name",
+)
+_LEAST = ("first_ms", "tz_min_type", "tz_min_name")
+_MOST = ("last_ms", "gap_max", "retry_type", "retry_name", "queue_type", "queue_name", "tz_max_type", "tz_max_name", "last_type", "last_name")
+
+
+def _carried(states: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """What each state makes of the ones before it: the gap and network change between them, and the session that its first end closes."""
+    order = Window.partitionBy("uuid", "date").orderBy("from_ms")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    closes = F.col("head_ms").isNotNull()
+    rows = states.select(
         "*",
-        F.when(adjacent & (overnight >= 0), overnight).alias("overnight"),
-        *[F.when(typed, F.col(f"{c}_type")).otherwise(F.col(f"{c}_name")).alias(c) for c in ("hb", "retry", "queue", "tz_min", "tz_max", "last")],
+        F.last("last_ms", ignorenulls=True).over(before).alias("prev_last_ms"),
+        F.last("last_ssid", ignorenulls=True).over(before).alias("prev_last_ssid"),
+        F.coalesce(_count(closes).over(before), F.lit(0)).alias("closed_before"),
+        F.coalesce(_count(closes).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)).alias("closed"),
+    )
+    # sessions left open since the last state with an end, this one's start aside
+    left_open = F.min("tail_start").over(Window.partitionBy("uuid", "date", "closed").orderBy("from_ms").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("left_open", left_open)
+    rows = rows.withColumn("open_before", F.lag("left_open").over(order))
+    between = (F.col("first_ms") - F.col("prev_last_ms")) / 3.6e6
+    return rows.select(
+        "*",
+        F.when(between > 0, between).alias("cross_gap"),
+        ((F.col("head_ms") - F.least("open_before", "head_start")) / 1000.0).alias("head_sec"),
+        F.coalesce((F.col("first_ssid") != F.col("prev_last_ssid")).cast("long"), F.lit(0)).alias("cross_ssid"),
+    )
+
+
+def _distinct_in_day(states: DataFrame, column: str, name: str) -> DataFrame:
+    """(uuid, date, name): different values over all states of a day, counted after each is there once."""
+    values = states.select("uuid", "date", F.explode(column).alias("v")).distinct()
+    return values.groupBy("uuid", "date").agg(F.count("*").alias(name))
+
+
+def merged_days(states: DataFrame, several: bool, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """One row a (uuid, date) of all its states, in the order of their times.
+
+    ``several`` says whether a day may have more than one.  Lists of a lone state
+    are taken as they are; of several, different values and quantiles are counted over rows, not lists.
+    """
+    if several:
+        states = settle(states, "states")
+    rows = _carried(states, cfg)
+    alone = F.count("*") == 1
+
+    def plus(total: Column, more: Column) -> Column:
+        return F.when(total.isNull() & more.isNull(), None).otherwise(F.coalesce(total, F.lit(0)) + F.coalesce(more, F.lit(0)))
+
+    cross, head = _gap_sums(F.col("cross_gap"), cfg), _session_sums(F.col("head_sec"), cfg)
+    extra = dict(zip(("n_long_gaps", "n_very_long_gaps", "long_gaps"), cross[1:])) | dict(zip(("n_sessions", "session_total", "n_long"), head))
+    extra["n_wifi_changes"] = F.sum("cross_ssid")
+    days = rows.groupBy("uuid", "date").agg(
+        *[(plus(F.sum(c), extra[c]) if c in extra else F.sum(c)).alias(c) for c in _SUMS],
+        *[F.min(c).alias(c) for c in _LEAST],
+        *[(F.greatest(F.max(c), F.max("cross_gap")) if c == "gap_max" else F.max(c)).alias(c) for c in _MOST],
+        F.array(*[F.sum(F.get("hours", F.lit(h))) for h in range(24)]).alias("hours"),
+        F.when(alone, F.max("gaps")).alias("gaps"),
+        F.when(alone, F.max(F.size("ssids"))).alias("n_ssid"),
+        F.when(alone, F.max(F.size("lacs"))).alias("n_lac"),
     )
+    if not several:
+        return days
+    days = settle(days, "days")
+    shared = states.join(days.where("gaps is null").select("uuid", "date"), ["uuid", "date"], "left_semi")
+    for column, name in (("ssids", "n_ssid"), ("lacs", "n_lac")):
+        counted = _distinct_in_day(shared, column, "_n")
+        days = days.join(counted, ["uuid", "date"], "left").withColumn(name, F.coalesce(name, "_n", F.lit(0))).drop("_n")
+    return days
+
+
+def _gap_quantiles(states: DataFrame, days: DataFrame, cfg: PipelineConfig, q: float) -> DataFrame:
+    """(uuid, date, q) of the gaps of days that have several states."""
+    shared = days.where("gaps is null").select("uuid", "date", "overnight")
+    inner = states.join(shared.drop("overnight"), ["uuid", "date"], "left_semi")
+    between = _carried(inner, cfg).select("uuid", "date", F.col("cross_gap").alias("gap"))
+    gaps = inner.select("uuid", "date", F.explode("gaps").alias("gap")).union(between).union(shared)
+    return grouped_quantiles(gaps, ["uuid", "date"], F.col("gap"), [q]).select("uuid", "date", F.get("q", F.lit(0)).alias("gap_q"))
+
+
+def daily_blocks(events: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """(uuid, date), the columns of all blocks, and ``has_<block>`` for each; null where a block has no row."""
+    return blocks_of_states(*day_states(events, cfg), cfg)
+
+
+def blocks_of_states(states: DataFrame, several: bool, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """:func:`daily_blocks` from partial states."""
+    if several:
+        states = settle(states, "states")
+    return _finish(merged_days(states, several, cfg), states if several else None, cfg)
+
+
+def _finish(day: DataFrame, states: DataFrame | None, cfg: PipelineConfig) -> DataFrame:
+    """``states``: those of the days, where a day may have several."""
+    size = cfg.segment_rows
+    if size is not None or states is not None:
+        day = settle(day, "merged")
+    day = of_key(day, ["uuid"], {"typed": F.max("hb_type")}, size)
+
+    def overnight(rows: DataFrame, part: list[str]) -> DataFrame:
+        user = Window.partitionBy(*part).orderBy("date")
+        gap = (F.col("first_ms") - F.lag("last_ms").over(user)) / 3.6e6
+        adjacent = F.datediff("date", F.lag("date").over(user)) == 1
+        return rows.withColumn("overnight", F.when(adjacent & (gap >= 0), gap))
+
+    day = windowed(day, ["uuid"], "date", 1, overnight, size)
+    day = day.withColumns({c: F.when(F.col("typed") > 0, F.col(f"{c}_type")).otherwise(F.col(f"{c}_name")) for c in _BEATS})
+    over = F.col("overnight")
+    day = day.withColumn("gap_q", row_quantile(F.when(over.isNotNull(), F.array_append("gaps", over)).otherwise(F.col("gaps")), cfg.gap_quantile))
+    if states is not None:
+        of_several = _gap_quantiles(states, day, cfg, cfg.gap_quantile).withColumnRenamed("gap_q", "_q")
+        day = day.join(of_several, ["uuid", "date"], "left").withColumn("gap_q", F.coalesce("gap_q", "_q")).drop("_q")
     n = F.col("n_moves")
     flags = {
         "activity": sum((F.col(c) for c in BLOCKS["activity"]), F.lit(0)) > 0,
@@ -120,10 +279,11 @@ def _finish(day: DataFrame, cfg: PipelineConfig) -> DataFrame:
     def span(a: int, b: int) -> Column:
         return F.aggregate(F.slice(hours, a + 1, b - a), F.lit(0).cast("long"), lambda t, x: t + x)
 
-    gaps = F.when(F.col("overnight").isNotNull(), F.array_append("gaps", F.col("overnight"))).otherwise(F.col("gaps"))
-    long = F.filter(gaps, lambda g: g >= cfg.gap_hours)
     enough = n >= cfg.min_gap_events
-    total_long = F.aggregate(long, F.lit(0.0), lambda t, x: t + x)
+
+    def with_night(total: str, least: float, one: Column) -> Column:
+        return F.coalesce(F.col(total), F.lit(0)) + F.when(over >= least, one).otherwise(F.lit(0))
+
     tz_moved = F.abs(F.col("tz_max") - F.col("tz_min")) >= cfg.tz_change_minutes
     values = {
         "activity": [F.col(c) for c in BLOCKS["activity"]],
@@ -143,13 +303,13 @@ def _finish(day: DataFrame, cfg: PipelineConfig) -> DataFrame:
             F.pmod(F.floor(F.col("first_ms") / 3_600_000), F.lit(24)).cast("double"),
             F.pmod(F.floor(F.col("last_ms") / 3_600_000), F.lit(24)).cast("double"),
             ~enough,
-            F.when(enough, F.array_max(gaps)),
-            F.when(enough, row_quantile(gaps, 0.95)),
-            F.when(enough, F.size(long).cast("double")),
-            F.when(enough, F.size(F.filter(gaps, lambda g: g >= cfg.long_gap_hours)).cast("double")),
-            F.when(enough, F.least(total_long / 24.0, F.lit(1.0))),
+            F.when(enough, F.greatest("gap_max", over)),
+            F.when(enough, F.col("gap_q")),
+            F.when(enough, with_night("n_long_gaps", cfg.gap_hours, F.lit(1)).cast("double")),
+            F.when(enough, with_night("n_very_long_gaps", cfg.long_gap_hours, F.lit(1)).cast("double")),
+            F.when(enough, F.least(with_night("long_gaps", cfg.gap_hours, over) / 24.0, F.lit(1.0))),
         ],
-        "session": [F.col("n_sessions"), F.coalesce("session_total", F.lit(0.0)), F.col("session_mean"), F.col("n_long")],
+        "session": [F.col("n_sessions"), F.coalesce("session_total", F.lit(0.0)), F.try_divide("session_total", "n_sessions"), F.col("n_long")],
         "mobility": [
             F.col("n_cell"),
             F.col("n_wifi_changes"),
@@ -202,45 +362,62 @@ def add_quality_flags(daily: DataFrame, cfg: PipelineConfig = PipelineConfig())
 
 def with_presence(daily: DataFrame) -> DataFrame:
     """Whether the table has any meta block at all, from a one-row aggregate."""
-    daily = daily.persist()  # read twice
+    daily = settle(daily, "daily")  # read twice
     return daily.crossJoin(F.broadcast(daily.agg(F.coalesce(F.max("has_meta"), F.lit(False)).alias("meta_known"))))
 
 
-def add_context_signals(daily: DataFrame) -> DataFrame:
+def add_context_signals(daily: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Time zone, partial collection and travel signals; the row before is the user's previous one, of any date."""
 
     def flag(x: Column) -> Column:
         return F.coalesce(x.cast("int"), F.lit(0)).cast("double")
 
-    def surge(c: str) -> Column:
-        return flag(F.col(c) >= F.lag(c).over(by_user()) * 2 + 10)
+    def signals(rows: DataFrame, part: list[str]) -> DataFrame:
+        user = Window.partitionBy(*part).orderBy("date")
+
+        def surge(c: str) -> Column:
+            return flag(F.col(c) >= F.lag(c).over(user) * 2 + 10)
+
+        cells = F.coalesce("unique_cell_cnt", F.lit(0.0))
+        tz = F.when(F.col("meta_known"), F.col("tz_changed").cast("double")).otherwise(F.lit(0.0))
+        partial = 1.0 + flag(F.col("qc_meta_retry_warn")) + flag(F.col("qc_meta_queue_warn"))
+        travel = 2 * F.coalesce(tz, F.lit(0.0)) + surge("cell_change_cnt") + surge("wifi_change_cnt_est") + flag(cells >= F.lag(cells).over(user) + 3)
+        return rows.select(
+            "*",
+            tz.alias("tz_change_signal"),
+            F.when(F.col("qc_core_very_low_activity"), partial).otherwise(F.lit(0.0)).alias("partial_signal_raw"),
+            travel.alias("travel_signal_raw"),
+        )
 
-    cells = F.coalesce("unique_cell_cnt", F.lit(0.0))
-    tz = F.when(F.col("meta_known"), F.col("tz_changed").cast("double")).otherwise(F.lit(0.0))
-    partial = 1.0 + flag(F.col("qc_meta_retry_warn")) + flag(F.col("qc_meta_queue_warn"))
-    travel = 2 * F.coalesce(tz, F.lit(0.0)) + surge("cell_change_cnt") + surge("wifi_change_cnt_est") + flag(cells >= F.lag(cells).over(by_user()) + 3)
-    return daily.select(
-        "*",
-        tz.alias("tz_change_signal"),
-        F.when(F.col("qc_core_very_low_activity"), partial).otherwise(F.lit(0.0)).alias("partial_signal_raw"),
-        travel.alias("travel_signal_raw"),
-    )
+    return windowed(daily, ["uuid"], "date", 1, signals, cfg.segment_rows)
 
 
-def add_deltas(daily: DataFrame) -> DataFrame:
+def add_deltas(daily: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Differences and relative differences to the user's previous row."""
 
-    def diff(c: str) -> Column:
-        return F.col(c).cast("double") - F.lag(F.col(c).cast("double")).over(by_user())
+    def deltas(rows: DataFrame, part: list[str]) -> DataFrame:
+        user = Window.partitionBy(*part).orderBy("date")
 
-    return daily.select(
-        "*",
-        *[diff(c).alias(f"{c}_d1") for c in DELTA_COLUMNS],
-        *[(diff(c) / (F.abs(F.lag(F.col(c).cast("double")).over(by_user())) + 1e-6)).alias(f"{c}_r1") for c in RATIO_COLUMNS],
-    )
+        def previous(c: str) -> Column:
+            return F.lag(F.col(c).cast("double")).over(user)
+
+        def diff(c: str) -> Column:
+            return F.col(c).cast("double") - previous(c)
+
+        return rows.select(
+            "*",
+            *[diff(c).alias(f"{c}_d1") for c in DELTA_COLUMNS],
+            *[(diff(c) / (F.abs(previous(c)) + 1e-6)).alias(f"{c}_r1") for c in RATIO_COLUMNS],
+        )
+
+    return windowed(daily, ["uuid"], "date", 1, deltas, cfg.segment_rows)
+
+
+def features_of_blocks(blocks: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """The daily feature table of :func:`daily_blocks`."""
+    return add_deltas(add_context_signals(add_quality_flags(with_presence(blocks), cfg), cfg), cfg)
 
 
 def daily_features(events: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """The whole daily feature table of standard events."""
-    daily = with_presence(daily_blocks(events, cfg))
-    return add_deltas(add_context_signals(add_quality_flags(daily, cfg)))
+    return features_of_blocks(daily_blocks(events, cfg), cfg)

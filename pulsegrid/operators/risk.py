@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +10,8 @@ from pyspark.sql import functions as F
 from pulsegrid.config import DRIFT_COLUMNS, Z_GROUPS, PipelineConfig
 from pulsegrid.functions.columns import clip, row_quantile, top_by_abs, trim_mean
 from pulsegrid.functions.quantiles import exact_quantiles
-from pulsegrid.operators.baseline import by_user, soft_z
+from pulsegrid.operators.baseline import soft_z
+from pulsegrid.operators.segments import of_key, smoothed, windowed
 from pulsegrid.sources.tables import settle
 
 
@@ -49,18 +49,11 @@ def daily_risk(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataF
 def smoothed_risk(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Adds risk_score, the exponential mean of the user's risk_adj so far; days without one don't move it.
 
-    A fold over the latest values, as many as weigh more than 2^-60 (145 at an alpha of
-    a quarter), so the work for a day is the same however long the user's series is.  A
-    day without a value keeps the mean of the day before.
+    The affine maps of the days are folded in segments, so a series of any length takes linear time and
+    every value counts, however small its weight.
     """
-    a = cfg.ema_alpha
-    n = 0 if a >= 1 else math.ceil(-60 * math.log(2) / math.log(1 - a))
-    known = Window.partitionBy("uuid", F.col("risk_adj").isNotNull()).orderBy("date")
-    recent = F.collect_list("risk_adj").over(known.rowsBetween(-n, 0))
-    mean = F.aggregate(recent, F.lit(None).cast("double"), lambda m, x: F.when(m.isNull(), x).otherwise((1 - a) * m + a * x))
-    rows = rows.withColumn("_mean", mean)
-    so_far = F.last("_mean", ignorenulls=True).over(by_user().rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("risk_score", F.when(F.col("scored"), so_far)).drop("_mean")
+    rows = smoothed(rows, ["uuid"], "date", "risk_adj", cfg.ema_alpha, "_mean", cfg.segment_rows)
+    return rows.withColumn("risk_score", F.when(F.col("scored"), F.col("_mean"))).drop("_mean")
 
 
 def early_risk(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
@@ -70,6 +63,7 @@ def early_risk(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataF
     z = {
         c: F.abs(F.when(F.col("early_day"), soft_z(F.col(c).cast("double"), F.col(f"{c}_mean_early_s"), F.col(f"{c}_std_early_s"), cfg.z_clip)))
         for c in cfg.base_columns
+        if f"{c}_mean_early_s" in rows.columns  # those that the table has
     }
     rows = rows.select("*", *[v.alias(f"_{c}_early") for c, v in z.items()])
     rows = settle(rows, "early")  # read twice
@@ -87,29 +81,33 @@ def early_risk(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataF
 
 def recovery(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Adds bad_history_flag (a high risk among the days before) and stable_hold_flag (low again after that)."""
-    before = by_user().rowsBetween(-cfg.hold_window, -1)
-    bad = (F.count("final_risk").over(before) >= cfg.hold_least) & (F.max("final_risk").over(before) >= cfg.bad_risk)
-    rows = rows.withColumn("bad_history_flag", F.coalesce(bad, F.lit(False)))
+
+    def history(df: DataFrame, part: list[str]) -> DataFrame:
+        before = Window.partitionBy(*part).orderBy("date").rowsBetween(-cfg.hold_window, -1)
+        bad = (F.count("final_risk").over(before) >= cfg.hold_least) & (F.max("final_risk").over(before) >= cfg.bad_risk)
+        return df.withColumn("bad_history_flag", F.coalesce(bad, F.lit(False)))
+
+    rows = windowed(rows, ["uuid"], "date", cfg.hold_window, history, cfg.segment_rows)
     return rows.withColumn("stable_hold_flag", F.col("bad_history_flag") & F.coalesce(F.col("final_risk") < cfg.stable_risk, F.lit(False)))
 
 
 def drift(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Adds <column>_drift: the baseline's distance from the anchor days, and drift_flag and drift_top_feature after them."""
-    user = Window.partitionBy("uuid")
     first, last = cfg.anchor_days
     anchor = F.col("day_idx").between(first, last) & F.col("baseline_fit")
-    watched = [c for c in DRIFT_COLUMNS if c in cfg.base_columns]
+    watched = [c for c in DRIFT_COLUMNS if f"{c}_mean_final" in rows.columns]
+    anchors = {f"_{c}_{n}": f(F.when(anchor, F.col(c).cast("double"))) for c in watched for n, f in (("avg", F.avg), ("std", F.stddev_samp))}
+    rows = of_key(rows if cfg.segment_rows is None else settle(rows, "risk"), ["uuid"], anchors, cfg.segment_rows)
 
     def distance(c: str) -> Column:
-        x = F.when(anchor, F.col(c).cast("double"))
-        std = F.stddev_samp(x).over(user)
-        return (F.col(f"{c}_mean_final") - F.avg(x).over(user)) / F.when(std.isNotNull(), F.greatest(std, F.lit(cfg.floor(c))))
+        std = F.col(f"_{c}_std")
+        return (F.col(f"{c}_mean_final") - F.col(f"_{c}_avg")) / F.when(std.isNotNull(), F.greatest(std, F.lit(cfg.floor(c))))
 
     rows = rows.select("*", *[distance(c).alias(f"{c}_drift") for c in watched])
     top = top_by_abs([(c, F.col(f"{c}_drift")) for c in watched])
     rows = rows.withColumn("_top", top)
     flag = (F.col("day_idx") > last) & F.coalesce(F.col("_top.size") >= cfg.drift_z, F.lit(False))
-    return rows.withColumns({"drift_flag": flag, "drift_top_feature": F.when(flag, F.col("_top.name")).otherwise("")}).drop("_top")
+    return rows.withColumns({"drift_flag": flag, "drift_top_feature": F.when(flag, F.col("_top.name")).otherwise("")}).drop("_top", *anchors)
 
 
 def risk_table(scaled: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:

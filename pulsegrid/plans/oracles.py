@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pulsegrid.config import BASE_COLUMNS, DELTA_COLUMNS, DRIFT_COLUMNS, EVENT_CATEGORY, RATIO_COLUMNS, STD_FLOOR, Z_COLUMNS, Z_GROUPS
 
-USERS, LEAST_EVENTS = 8, 20
+LEAST_EVENTS = 20
+#: Logs with fewer events a user are folded into so many users that each has about as many, and into eight at least.
+EVENTS_PER_USER, LEAST_USERS = 1250, 8
 
 
 def each(template: str, names, sep: str = ", ") -> str:
@@ -48,21 +50,24 @@ _U = "(PARTITION BY uuid ORDER BY date)"
 MOVES = "event_cat IN ('Screen', 'UserAct', 'Unlock')"
 
 CTES: list[tuple[str, str]] = [
-    ("raw", f"""
-SELECT CAST(user_id % {USERS} AS VARCHAR) AS uuid, event_id AS seq, epoch_us(ts) // 1000 AS ms, value AS steps,
-  CAST(json_extract(props, '$.k') AS INTEGER) AS k,
-  CASE event_type WHEN 'view' THEN 'SCREEN_INTERACTIVE' WHEN 'purchase' THEN 'SCREEN_NON_INTERACTIVE' WHEN 'click' THEN 'USER_INTERACTION'
-    WHEN 'signup' THEN 'KEYGUARD_HIDDEN' ELSE CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) < 40 THEN 'HEARTBEAT'
-    WHEN CAST(json_extract(props, '$.k') AS INTEGER) < 70 THEN 'WIFI_SSID' ELSE 'CELL_CHANGE' END END AS event_std
-FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL"""),
+    ("folds", f"SELECT greatest({LEAST_USERS}, count(*) // {EVENTS_PER_USER}) AS users FROM events"),
+    ("raw", """
+SELECT user_id % users AS u, event_id AS seq, epoch_us(ts) // 1000 AS ms, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k, event_type
+FROM events CROSS JOIN folds WHERE user_id IS NOT NULL AND ts IS NOT NULL"""),
+    ("named", """
+SELECT *, CASE event_type WHEN 'view' THEN 'SCREEN_INTERACTIVE' WHEN 'purchase' THEN 'SCREEN_NON_INTERACTIVE' WHEN 'signup' THEN 'KEYGUARD_HIDDEN'
+    WHEN 'click' THEN CASE WHEN k < 15 THEN 'NOTIF_INTERRUPTION' ELSE 'USER_INTERACTION' END
+    ELSE CASE WHEN k < 40 THEN 'HEARTBEAT' WHEN k < 65 THEN 'WIFI_SSID' WHEN k < 90 THEN 'CELL_CHANGE' ELSE 'STEP_COUNT' END END AS event_std,
+  CASE WHEN k = 7 THEN 480.0 WHEN k <> 11 THEN 540.0 END AS tz, ms + 60000 * CASE WHEN k = 7 THEN 480 ELSE 540 END AS local FROM raw"""),
     ("ev", f"""
-SELECT uuid, seq, ms, DATE '1970-01-01' + CAST((ms + 32400000) // 86400000 AS INTEGER) AS date,
-  CAST(((ms + 32400000) // 3600000) % 24 AS INTEGER) AS hour, event_std, {_case(EVENT_CATEGORY, "event_std")} AS event_cat,
+SELECT CAST(u AS VARCHAR) AS uuid, seq, ms, DATE '1970-01-01' + CAST(local // 86400000 AS INTEGER) AS date,
+  CAST((local // 3600000) % 24 AS INTEGER) AS hour, event_std, {_case(EVENT_CATEGORY, "event_std")} AS event_cat, tz,
+  event_std = 'HEARTBEAT' AND u % 4 <> 0 AND k % 5 <> 0 AS typed, CASE WHEN event_std = 'STEP_COUNT' AND k < 97 THEN value END AS steps,
   CASE WHEN event_std = 'WIFI_SSID' THEN 'ssid-' || (seq % 5) END AS wifi_ssid,
   CASE WHEN event_std = 'CELL_CHANGE' THEN CAST(k AS DOUBLE) END AS cell_lac,
   CASE WHEN event_std = 'HEARTBEAT' THEN CAST(k % 5 AS DOUBLE) END AS retry_count,
   CASE WHEN event_std = 'HEARTBEAT' THEN CAST(k % 30 AS DOUBLE) END AS queue_size
-FROM raw"""),
+FROM named"""),
     ("act", """
 SELECT uuid, date, count(*) FILTER (event_cat = 'Screen') AS "Screen", count(*) FILTER (event_cat = 'UserAct') AS "UserAct",
   count(*) FILTER (event_cat = 'Notif') AS "Notif", count(*) FILTER (event_cat = 'Unlock') AS "Unlock"
@@ -103,18 +108,19 @@ SELECT uuid, date, count(*) FILTER (sec > 0 AND sec < 21600) AS session_cnt, coa
   avg(sec) FILTER (sec > 0 AND sec < 21600) AS session_mean_sec, count(*) FILTER (sec >= 1800 AND sec < 21600) AS long_session_cnt
 FROM sessions GROUP BY uuid, date"""),
     ("hops", """
-SELECT uuid, date, event_std, cell_lac, coalesce(wifi_ssid, 'None') AS ssid,
+SELECT uuid, date, event_std, cell_lac, coalesce(wifi_ssid, 'None') AS ssid, steps,
   lag(coalesce(wifi_ssid, 'None')) OVER (PARTITION BY uuid, date, event_std ORDER BY ms, seq) AS prev
-FROM ev WHERE event_std IN ('WIFI_SSID', 'CELL_CHANGE')"""),
+FROM ev WHERE event_std IN ('WIFI_SSID', 'CELL_CHANGE', 'STEP_COUNT')"""),
     ("mob", """
 SELECT uuid, date, count(*) FILTER (event_std = 'CELL_CHANGE') AS cell_change_cnt, count(*) FILTER (event_std = 'WIFI_SSID' AND ssid <> prev) AS wifi_change_cnt_est,
   CAST(count(DISTINCT ssid) FILTER (event_std = 'WIFI_SSID') AS DOUBLE) AS unique_wifi_cnt, CAST(count(DISTINCT cell_lac) FILTER (event_std = 'CELL_CHANGE') AS DOUBLE) AS unique_cell_cnt,
-  CAST(NULL AS DOUBLE) AS step_sum
+  CASE WHEN count(*) FILTER (event_std = 'STEP_COUNT') > 0 THEN coalesce(sum(steps), 0.0) END AS step_sum
 FROM hops GROUP BY uuid, date"""),
+    ("beats", "SELECT *, bool_or(typed) OVER (PARTITION BY uuid) AS by_type FROM ev WHERE event_std = 'HEARTBEAT'"),
     ("meta", """
-SELECT uuid, date, count(*) AS heartbeat_cnt, max(retry_count) AS retry_max, max(queue_size) AS queue_max, 540.0::DOUBLE AS tz_offset_min, 540.0::DOUBLE AS tz_offset_max,
-  false AS tz_changed, CAST(NULL AS DOUBLE) AS qc_last_ts_max
-FROM ev WHERE event_std = 'HEARTBEAT' GROUP BY uuid, date"""),
+SELECT uuid, date, count(*) AS heartbeat_cnt, max(retry_count) AS retry_max, max(queue_size) AS queue_max, min(tz) AS tz_offset_min, max(tz) AS tz_offset_max,
+  coalesce(max(tz) - min(tz) >= 60, false) AS tz_changed, CAST(max(ms) AS DOUBLE) AS qc_last_ts_max
+FROM beats WHERE typed OR NOT by_type GROUP BY uuid, date"""),
     ("merged", """
 SELECT * FROM act FULL JOIN rhythm USING (uuid, date) FULL JOIN gap USING (uuid, date) FULL JOIN sess USING (uuid, date)
   FULL JOIN mob USING (uuid, date) FULL JOIN meta USING (uuid, date)"""),

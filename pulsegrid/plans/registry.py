@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import lru_cache
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pulsegrid.config import BASE_COLUMNS, DELTA_COLUMNS, RATIO_COLUMNS, Z_COLUMNS, Z_GROUPS, PipelineConfig
 from pulsegrid.functions.columns import rounded
 from pulsegrid.operators import anomaly, baseline, decoder, features, reports, risk
-from pulsegrid.plans.oracles import LEAST_EVENTS, USERS, upto
+from pulsegrid.plans.oracles import EVENTS_PER_USER, LEAST_EVENTS, LEAST_USERS, upto
 from pulsegrid.sources import days
 from pulsegrid.sources.events import from_activity_log, standard_events
 from pulsegrid.sources.tables import settle, shared_folder
@@ -21,46 +21,80 @@ CFG = PipelineConfig(epoch_unit="ms", min_daily_events=LEAST_EVENTS, min_rhythm_
 KEYS = ("uuid", "date")
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standard_events(from_activity_log(spark.read.parquet(f"{sf_dir}/events.parquet"), USERS), CFG)
+#: The same with days, and users' days, worked on in segments of seven rows.
+SEGMENTED = replace(CFG, segment_events=7, segment_slot_ms=1, segment_rows=7)
 
 
-@lru_cache(maxsize=4)  # queries of one session share it
-def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return settle(features.daily_features(_events(spark, sf_dir), CFG), "features")
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """What the event files are: names, sizes and times of change."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.listStatus(path) or []
+    return tuple(sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in found))
 
 
-@lru_cache(maxsize=4)  # queries of one session share it
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return settle(baseline.baselines(_features(spark, sf_dir), CFG), "baselines")
+_kept: dict[tuple, object] = {}
 
 
-@lru_cache(maxsize=4)  # queries of one session share it
-def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anomaly.scale_by_user(anomaly.mean_abs_z(_scored(spark, sf_dir)), CFG)
+def _shared(make: Callable) -> Callable:
+    """Queries of one session share what ``make`` gives, as long as the event files are the same.
 
+    Tables of files that have changed since are forgotten.
+    """
 
-@lru_cache(maxsize=4)  # queries of one session share it
-def _risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return settle(risk.risk_table(_scaled(spark, sf_dir), CFG), "risk")
+    def get(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = CFG):
+        place = (make.__name__, id(spark), sf_dir, cfg is SEGMENTED)
+        version = _version(spark, sf_dir)
+        if place not in _kept or _kept[place][0] != version:
+            _kept[place] = (version, make(spark, sf_dir, cfg))
+        return _kept[place][1]
 
+    return get
 
-@lru_cache(maxsize=4)  # queries of one session share it
-def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return settle(decoder.decode(risk.model_output(_risk(spark, sf_dir)), CFG), "states")
 
+def _events(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = CFG, without: tuple[str, ...] = ()) -> DataFrame:
+    log = spark.read.parquet(f"{sf_dir}/events.parquet")
+    users = max(LEAST_USERS, log.count() // EVENTS_PER_USER)  # from the files' footers
+    raw = from_activity_log(log, users)
+    return standard_events(raw.where(~F.col("event_name").isin(*without)) if without else raw, cfg)
 
-@lru_cache(maxsize=4)  # queries of one session share it
-def _forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _scored(spark, sf_dir)
-    return settle(anomaly.scale_by_user(anomaly.forest_scores(rows, anomaly.train_forest(rows, CFG), CFG), CFG), "forest")
 
+@_shared
+def _features(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> DataFrame:
+    return settle(features.daily_features(_events(spark, sf_dir, cfg), cfg), "features")
 
-@lru_cache(maxsize=4)  # queries of one session share it
-def _day_tables(spark: SparkSession, sf_dir: str) -> str:
+
+@_shared
+def _scored(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> DataFrame:
+    return settle(baseline.baselines(_features(spark, sf_dir, cfg), cfg), "baselines")
+
+
+@_shared
+def _scaled(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> DataFrame:
+    return anomaly.scale_by_user(anomaly.mean_abs_z(_scored(spark, sf_dir, cfg)), cfg)
+
+
+@_shared
+def _risk(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> DataFrame:
+    return settle(risk.risk_table(_scaled(spark, sf_dir, cfg), cfg), "risk")
+
+
+@_shared
+def _states(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> DataFrame:
+    return settle(decoder.decode(risk.model_output(_risk(spark, sf_dir, cfg)), cfg), "states")
+
+
+@_shared
+def _forest(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> DataFrame:
+    rows = _scored(spark, sf_dir, cfg)
+    return settle(anomaly.scale_by_user(anomaly.forest_scores(rows, anomaly.train_forest(rows, cfg), cfg), cfg), "forest")
+
+
+@_shared
+def _day_tables(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> str:
     """A folder with the daily features by day."""
     root = f"{shared_folder(spark)}/pulsegrid-days-{uuid.uuid4().hex}"
-    _features(spark, sf_dir).withColumn("dt", F.col("date")).write.partitionBy("dt").parquet(f"{root}/daily")
+    _features(spark, sf_dir, cfg).withColumn("dt", F.col("date")).write.partitionBy("dt").parquet(f"{root}/daily")
     return root
 
 
@@ -148,6 +182,9 @@ _register("risk_ema", _risk, "risk", (*KEYS, "risk_adj", "risk_score"))
 _register("early_risk", _risk, "early", (*KEYS, "z_trim_mean_abs_early", "early_risk"))
 _register("final_risk", _risk, "final", (*KEYS, "risk_score", "early_risk", "final_risk"))
 _register("bad_history", _risk, "drift0", (*KEYS, "bad_history_flag", "stable_hold_flag"))
+_register("segmented_features", lambda s, d: _features(s, d, SEGMENTED), "feat", (*KEYS, *MERGED, *QC, *[f"{c}_d1" for c in DELTA_COLUMNS], *[f"{c}_r1" for c in RATIO_COLUMNS]))
+_register("segmented_baselines", lambda s, d: _scored(s, d, SEGMENTED), "z", (*KEYS, *[f"{c}_{x}_{k}" for c in BASE_COLUMNS for x in ("mean", "std") for k in ("lt_g", "st_s", "early_s")], "baseline_ready", "scored", *Z))
+_register("segmented_model_out", lambda s, d: _risk(s, d, SEGMENTED), "model", (*risk.MODEL_COLUMNS, *Z, *REPS))
 _register("drift", _risk, "model", (*KEYS, "daily_event_cnt_drift", "night_ratio_drift", "gap_max_drift", "drift_flag", "drift_top_feature"))
 _register("model_out", _risk, "model", (*risk.MODEL_COLUMNS, *Z, *REPS))
 _register("state_out_surrogate", _states, "state", decoder.STATE_COLUMNS)
