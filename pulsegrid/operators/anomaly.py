@@ -67,10 +67,10 @@ def train_forest(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Dat
     chosen = rows.where("scored and baseline_fit") if counts["fit"] else rows.where("scored") if counts["scored"] else rows
     n = counts["fit"] or counts["scored"] or counts["all"]
     chosen = chosen.select("uuid", "date", F.array(*[F.coalesce(c, F.lit(0.0)) for c in use]).alias("x"))
-    trees = F.explode(F.sequence(F.lit(0), F.lit(cfg.trees - 1))).alias("tree")
-    draw = F.xxhash64("tree", "uuid", "date", F.lit(cfg.seed))
-    keep = min(1.0, 4 * cfg.tree_rows / max(1, n))  # thinned by hash before the rows of a tree are ranked
-    drawn = chosen.select(trees, "*").withColumn("h", draw).where(F.pmod("h", F.lit(1_000_000)) < math.ceil(keep * 1_000_000))
+    keep = min(1.0, 4 * cfg.tree_rows / max(1, n))  # each row names the few trees that it may enter
+    draw = lambda tree: F.xxhash64(tree, "uuid", "date", F.lit(cfg.seed))
+    enters = F.filter(F.sequence(F.lit(0), F.lit(cfg.trees - 1)), lambda t: F.pmod(draw(t), F.lit(1 << 40)) < math.ceil(keep * (1 << 40)))
+    drawn = chosen.select(F.explode(enters).alias("tree"), "*").withColumn("h", draw(F.col("tree")))
     drawn = drawn.withColumn("r", F.row_number().over(Window.partitionBy("tree").orderBy("h", "uuid", "date"))).where(F.col("r") <= cfg.tree_rows)
     seed, names = cfg.seed, use
 

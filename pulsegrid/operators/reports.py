@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from pulsegrid.functions.columns import top_by_abs
+from pulsegrid.functions.quantiles import exact_quantiles
+from pulsegrid.sources.tables import shared_folder
 
 
 def by_user() -> WindowSpec:
@@ -73,13 +78,14 @@ def top_z_by_state(states: DataFrame, k: int = 5) -> DataFrame:
 def with_alarms(model: DataFrame, q: float = 0.99) -> DataFrame:
     """The rows that have a risk score, and whether it reaches the ``q`` quantile of all."""
     valid = model.where("risk_score is not null")
-    top = valid.agg(F.percentile("risk_score", q).alias("top"))
+    top = exact_quantiles(valid, {"r": F.col("risk_score")}, [q]).select(F.get("r_q", F.lit(0)).alias("top"))
     return valid.crossJoin(F.broadcast(top)).withColumn("alarm", F.col("risk_score") >= F.col("top"))  # one row
 
 
 def risk_thresholds(model: DataFrame) -> DataFrame:
     """One row: the risk scores from which a day is an alarm, and a severe one."""
-    return model.agg(F.percentile("risk_score", 0.99).alias("top"), F.percentile("risk_score", 0.998).alias("severe"))
+    found = exact_quantiles(model, {"r": F.col("risk_score")}, [0.99, 0.998])
+    return found.select(F.get("r_q", F.lit(0)).alias("top"), F.get("r_q", F.lit(1)).alias("severe"))
 
 
 def alarm_runs(model: DataFrame) -> DataFrame:
@@ -103,14 +109,26 @@ def distribution(states: DataFrame, column: str) -> DataFrame:
     return counts.crossJoin(F.broadcast(total)).select(F.col(column), "n", (F.col("n") / F.col("total")).alias("share"))
 
 
+QUANTILES = {"p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
+
+
+def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A row a column: count, mean, deviation, least, quantiles and largest of its values."""
+    x = {c: F.col(c).cast("double") for c in columns}
+    facts = {"mean": F.avg, "std": F.stddev_samp, "low": F.min, "high": F.max}
+    one = df.agg(*[f(v).alias(f"{c}_{n}") for c, v in x.items() for n, f in facts.items()])
+    both = one.crossJoin(F.broadcast(exact_quantiles(df, x, list(QUANTILES.values()))))  # one row each
+
+    def row(c: str):
+        q = [F.get(f"{c}_q", F.lit(i)).alias(n) for i, n in enumerate(QUANTILES)]
+        return F.struct(F.lit(c).alias("feature"), F.col(f"{c}_n").alias("n"), *[F.col(f"{c}_{n}").alias(n) for n in ("mean", "std", "low")], *q, F.col(f"{c}_high").alias("high"))
+
+    return both.select(F.inline(F.array(*[row(c) for c in columns])))
+
+
 def describe(df: DataFrame, column: str) -> DataFrame:
     """Count, moments and quantiles of a column: one row."""
-    x = F.col(column)
-    q = {"p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
-    return df.agg(
-        F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("low"),
-        *[F.percentile(x, v).alias(k) for k, v in q.items()], F.max(x).alias("high"),
-    )
+    return describe_columns(df, [column]).drop("feature")
 
 
 def component_correlation(model: DataFrame, components: tuple[str, ...] = ("z_score", "a_score"), least: int = 30) -> DataFrame:
@@ -131,7 +149,8 @@ def top_z_frequency(model: DataFrame, z: list[str], k: int = 200, most: int = 15
     A median of zero or none counts as one; the first column wins among equals.
     """
     scored = model.where("quality_state = 'GOOD' and baseline_ready")
-    middle = scored.agg(*[F.coalesce(F.nullif(F.percentile(F.abs(c), 0.5), F.lit(0.0)), F.lit(1.0)).alias(f"_{c}") for c in z])
+    middle = exact_quantiles(scored, {c: F.abs(c) for c in z}, [0.5])
+    middle = middle.select(*[F.coalesce(F.nullif(F.get(f"{c}_q", F.lit(0)), F.lit(0.0)), F.lit(1.0)).alias(f"_{c}") for c in z])
     days = top_risk(model, k).crossJoin(F.broadcast(middle))  # one row
     top = top_by_abs([(c, F.col(c) / F.col(f"_{c}")) for c in z])["name"]
     counts = days.select(top.alias("feature")).where("feature is not null").groupBy("feature").agg(F.count("*").alias("n"))
@@ -156,3 +175,72 @@ def keep_last(df: DataFrame, order: str) -> DataFrame:
 def mean_by_flag(rows: DataFrame, flag: str, column: str) -> DataFrame:
     """Rows and the column's mean for each value of a flag."""
     return rows.groupBy(flag).agg(F.count("*").alias("n"), F.avg(column).alias("mean"))
+
+
+def distributions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, value, n, share): how often each value of the columns occurs, a null as 'null'."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit("null")).alias("value")) for c in columns])
+    counts = df.select(F.inline(pairs)).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("feature")))
+
+
+def null_counts(df: DataFrame, columns: Sequence[str], k: int = 20) -> DataFrame:
+    """Columns with the most nulls."""
+    one = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return one.unpivot([], list(columns), "feature", "nulls").orderBy(F.desc("nulls"), "feature").limit(k)
+
+
+def flag_rates(df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """Share of true values among those that are known."""
+    one = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in flags])
+    return one.unpivot([], list(flags), "feature", "rate")
+
+
+def suspect_days(features: DataFrame, k: int = 10) -> DataFrame:
+    """The first days with heartbeats but no activity, or with a sign of partial collection."""
+    odd = (F.col("daily_event_cnt") == 0) & (F.coalesce("heartbeat_cnt", F.lit(0)) > 0) | (F.coalesce("partial_signal_raw", F.lit(0.0)) > 0)
+    shown = ("daily_event_cnt", "heartbeat_cnt", "partial_signal_raw", "travel_signal_raw", "gap_max", "gap_cnt_6h", "night_ratio", "hour_entropy")
+    return features.where(odd).select("uuid", "date", *shown).orderBy("uuid", "date").limit(k)
+
+
+def notify_coverage(states: DataFrame) -> DataFrame:
+    """One row: users, those with any notification, and their share."""
+    users = states.groupBy("uuid").agg(F.max(F.col("notify_level") != "NONE").alias("told"))
+    return users.agg(F.count_if("told").alias("told"), F.count("*").alias("users"), F.avg(F.col("told").cast("double")).alias("share"))
+
+
+def bucketed(rows: DataFrame, keys: Sequence[str], buckets: int = 16) -> DataFrame:
+    """The rows as a table dealt and sorted by the keys, in the shared folder; such tables are joined where they lie."""
+    spark, name = rows.sparkSession, f"pulsegrid_{uuid.uuid4().hex}"
+    rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
+def cross_check(states: DataFrame, baselines: DataFrame, keys: Sequence[str] = ("uuid",), suffix: str = "_b") -> DataFrame:
+    """Each state with its baseline, if it has one; columns that both have come twice, the baseline's with the suffix."""
+    other = baselines.withColumnsRenamed({c: f"{c}{suffix}" for c in baselines.columns if c in states.columns})
+    on = [states[k] == other[f"{k}{suffix}"] for k in keys]
+    return states.join(other.hint("merge"), on, "left").drop(*[f"{k}{suffix}" for k in keys])
+
+
+def has_columns(df: DataFrame, columns: Sequence[str]) -> bool:
+    return set(columns) <= set(df.columns)
+
+
+def unique_days(df: DataFrame, order: str) -> DataFrame:
+    """The last row of each user's day, where the table has users and days; else as it is."""
+    return keep_last(df, order) if has_columns(df, ("uuid", "date")) else df
+
+
+def by_names(events: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Events of these names, or of these sensors where the table has no names."""
+    column = "event_std" if "event_std" in events.columns else "sensor_id"
+    return events.where(F.col(column).isin(*names)) if column in events.columns else events.limit(0)
+
+
+def by_prefix(events: DataFrame, prefixes: Sequence[str]) -> DataFrame:
+    """Events whose name begins with one of the prefixes."""
+    begins = F.lit(False)
+    for p in prefixes:
+        begins = begins | F.coalesce(F.col("event_std").startswith(p), F.lit(False))
+    return events.where(begins)

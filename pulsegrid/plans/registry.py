@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pulsegrid.config import BASE_COLUMNS, DELTA_COLUMNS, RATIO_COLUMNS, Z_COLUMNS, Z_GROUPS, PipelineConfig
 from pulsegrid.functions.columns import rounded
 from pulsegrid.operators import anomaly, baseline, decoder, features, reports, risk
-from pulsegrid.plans.oracles import EVENTS_PER_USER, LEAST_EVENTS, LEAST_USERS, upto
+from pulsegrid.plans.oracles import CTES, EVENTS_PER_USER, LEAST_EVENTS, LEAST_USERS, PUBLIC, upto
 from pulsegrid.sources import days
 from pulsegrid.sources.events import from_activity_log, standard_events
 from pulsegrid.sources.tables import settle, shared_folder
@@ -36,6 +36,11 @@ def _version(spark: SparkSession, sf_dir: str) -> tuple:
 _kept: dict[tuple, object] = {}
 
 
+def forget() -> None:
+    """Queries from now on share nothing with those before."""
+    _kept.clear()
+
+
 def _shared(make: Callable) -> Callable:
     """Queries of one session share what ``make`` gives, as long as the event files are the same.
 
@@ -52,11 +57,15 @@ def _shared(make: Callable) -> Callable:
     return get
 
 
-def _events(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = CFG, without: tuple[str, ...] = ()) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = CFG, public: bool = False) -> DataFrame:
+    """Standard events; ``public`` ones have no sessions and no networks, as public files have them."""
     log = spark.read.parquet(f"{sf_dir}/events.parquet")
     users = max(LEAST_USERS, log.count() // EVENTS_PER_USER)  # from the files' footers
     raw = from_activity_log(log, users)
-    return standard_events(raw.where(~F.col("event_name").isin(*without)) if without else raw, cfg)
+    if public:
+        raw = raw.where(~F.col("event_name").isin("WIFI_SSID", "CELL_CHANGE", "STEP_COUNT"))
+        raw = raw.withColumn("event_name", F.when(F.col("event_name").startswith("SCREEN"), "SCREEN").otherwise(F.col("event_name")))
+    return standard_events(raw, cfg)
 
 
 @_shared
@@ -64,6 +73,11 @@ def _features(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> DataFram
     return settle(features.daily_features(_events(spark, sf_dir, cfg), cfg), "features")
 
 
+@_shared
+def _public_features(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> DataFrame:
+    return settle(features.daily_features(_events(spark, sf_dir, cfg, public=True), cfg), "public-features")
+
+
 @_shared
 def _scored(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> DataFrame:
     return settle(baseline.baselines(_features(spark, sf_dir, cfg), cfg), "baselines")
@@ -107,7 +121,7 @@ def _baseline_of_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
 def _states_of_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
     root = f"{_day_tables(spark, sf_dir)}/states"
     days.write_state(_states(spark, sf_dir).select(*KEYS, "cat_state", "notify_level"), root, day)
-    return spark.read.schema("uuid string, date string, cat_state string, notify_level int").csv(days.day_folder(root, day), header=True)
+    return spark.read.schema("uuid string, date string, cat_state string, notify_level int").csv(days.current(spark, days.day_folder(root, day)), header=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,7 +142,7 @@ def _exact(c: str) -> bool:
     return c in EXACT or c.startswith("qc_") and c != "qc_last_ts_max" or c.endswith(("_flag", "_n"))
 
 
-def _register(name: str, make: Callable[[SparkSession, str], DataFrame], link: str | None = None, columns=(), sql: str | None = None, doubles=()) -> None:
+def _register(name: str, make: Callable[[SparkSession, str], DataFrame], link: str | None = None, columns=(), sql: str | None = None, doubles=(), chain=CTES) -> None:
     """A query; its SQL selects the columns of one link of the chain, or is given with the columns to round."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +154,7 @@ def _register(name: str, make: Callable[[SparkSession, str], DataFrame], link: s
     if link:
         sql = sql or "SELECT " + ", ".join(f'"{c}"' for c in columns) + f" FROM {link}"
         rounds = ", ".join(f'round("{c}", 6) + 0.0 AS "{c}"' for c in (doubles or [c for c in columns if not _exact(c)]))
-        ORACLE_SQL[name] = upto(link, f"SELECT * REPLACE ({rounds}) FROM ({sql})" if rounds else sql)
+        ORACLE_SQL[name] = upto(link, f"SELECT * REPLACE ({rounds}) FROM ({sql})" if rounds else sql, chain)
 
 
 _block_links = {"activity": "act", "rhythm": "rhythm", "gap": "gap", "session": "sess", "mobility": "mob", "meta": "meta"}
@@ -247,7 +261,67 @@ _register("state_sink", lambda s, d: _states_of_day(s, d, "2024-01-20"), "state"
 _register("mean_by_readiness", lambda s, d: reports.mean_by_flag(_scored(s, d), "baseline_ready", "daily_event_cnt"), "base",
           doubles=("mean",),
           sql="SELECT baseline_ready, count(*) AS n, avg(daily_event_cnt) AS mean FROM base GROUP BY baseline_ready")
+_register("zscores_public", lambda s, d: baseline.baselines(_public_features(s, d), CFG), "z", (*KEYS, "baseline_ready", "early_ready", "scored", *Z), chain=PUBLIC)
 _register("union_train",
-          lambda s, d: (f := _features(s, d)).where("has_activity").select(*KEYS, "daily_event_cnt").unionByName(f.select(*KEYS, "night_ratio"), allowMissingColumns=True), "feat",
-          doubles=("night_ratio",),
-          sql="SELECT * FROM (SELECT uuid, date, daily_event_cnt, NULL::DOUBLE AS night_ratio FROM feat WHERE has_activity UNION ALL SELECT uuid, date, NULL, night_ratio FROM feat)")
+          lambda s, d: _features(s, d).select(*KEYS, "daily_event_cnt", "step_sum").unionByName(_public_features(s, d).select("night_ratio", *KEYS, "daily_event_cnt"), allowMissingColumns=True), "feat",
+          doubles=("step_sum", "night_ratio"),
+          sql="SELECT uuid, date, daily_event_cnt, step_sum, NULL::DOUBLE AS night_ratio FROM feat UNION ALL SELECT uuid, date, daily_event_cnt, NULL, night_ratio FROM ("
+          + upto("feat", "SELECT * FROM feat", PUBLIC) + ")")
+_register("events_by_prefix", lambda s, d: reports.by_prefix(_events(s, d), ("SCREEN", "CELL")).select(*KEYS, "seq", "event_std"), "ev",
+          sql="SELECT uuid, date, seq, event_std FROM ev WHERE event_std LIKE 'SCREEN%' OR event_std LIKE 'CELL%'")
+
+
+def _value_counts(link: str, columns: tuple[str, ...]) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, coalesce(CAST({c} AS VARCHAR), 'null') AS value, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM {link} GROUP BY {c}" for c in columns)
+
+
+def _describe(link: str, columns: tuple[str, ...]) -> str:
+    quantiles = ", ".join(f"quantile_cont({{c}}, {q}) AS {n}" for n, q in reports.QUANTILES.items())
+    one = f"SELECT '{{c}}' AS feature, count({{c}}) AS n, avg({{c}}) AS mean, stddev_samp({{c}}) AS std, min({{c}}) AS low, {quantiles}, max({{c}}) AS high FROM {link}"
+    return " UNION ALL ".join(one.replace("{c}", c) for c in columns)
+
+
+FACTS = ("mean", "std", "low", *reports.QUANTILES, "high")
+GATES = ("cold_stage", "quality_state", "context_mode", "baseline_ready", "early_ready")
+DELTAS = (*[f"{c}_d1" for c in DELTA_COLUMNS], *[f"{c}_r1" for c in RATIO_COLUMNS])
+MEANS = tuple(f"{c}_{x}_final" for c in BASE_COLUMNS for x in ("mean", "std"))
+FLAGS = tuple(c for c in QC if c.startswith("qc_"))
+_register("state_distributions", lambda s, d: reports.distributions(_states(s, d), ("notify_level", "decoder_quality")).union(
+              reports.distributions(_states(s, d).where("decoder_quality = 'OK'"), ("risk_band",))), "state", doubles=("share",),
+          sql=_value_counts("state", ("notify_level", "decoder_quality")) + " UNION ALL " + _value_counts("(SELECT * FROM state WHERE decoder_quality = 'OK')", ("risk_band",)))
+_register("gate_distributions", lambda s, d: reports.distributions(_risk(s, d), GATES), "model", doubles=("share",), sql=_value_counts("model", GATES))
+_register("mode_state_distribution", lambda s, d: reports.distributions(reports.user_mode_state(_states(s, d)), ("mode_state",)), "state", doubles=("share",),
+          sql=_value_counts("(SELECT cat_state AS mode_state FROM (SELECT uuid, cat_state, row_number() OVER (PARTITION BY uuid ORDER BY count(*) DESC, cat_state) AS r FROM state GROUP BY uuid, cat_state) WHERE r = 1)", ("mode_state",)))
+_register("notify_coverage", lambda s, d: reports.notify_coverage(_states(s, d)), "state", doubles=("share",),
+          sql="SELECT count(*) FILTER (told) AS told, count(*) AS users, avg(CASE WHEN told THEN 1.0 ELSE 0.0 END) AS share FROM (SELECT uuid, bool_or(notify_level <> 'NONE') AS told FROM state GROUP BY uuid)")
+_register("component_describe", lambda s, d: reports.describe_columns(_risk(s, d), ("risk_score", "z_score", "a_score")), "model", doubles=FACTS,
+          sql=_describe("model", ("risk_score", "z_score", "a_score")))
+_register("core_describe", lambda s, d: reports.describe_columns(_features(s, d), ("Screen", "UserAct", "daily_event_cnt", "step_sum")), "feat", doubles=FACTS,
+          sql=_describe("feat", ("Screen", "UserAct", "daily_event_cnt", "step_sum")))
+_register("baseline_describe", lambda s, d: reports.describe_columns(_scored(s, d), MEANS), "base", doubles=FACTS, sql=_describe("base", MEANS))
+_register("baseline_nulls", lambda s, d: reports.null_counts(_scored(s, d), MEANS), "base",
+          sql="SELECT feature, nulls FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, count(*) - count({c}) AS nulls FROM base" for c in MEANS) + ") ORDER BY nulls DESC, feature LIMIT 20")
+_register("alarm_rate_describe", lambda s, d: reports.describe(reports.alarm_rates(_risk(s, d)), "alarm_rate"), "model", doubles=FACTS,
+          sql="SELECT * EXCLUDE (feature) FROM (" + _describe(f"(SELECT uuid, avg(CASE WHEN alarm THEN 1.0 ELSE 0.0 END) AS alarm_rate FROM {ALARMS} GROUP BY uuid)", ("alarm_rate",)) + ")")
+_register("alarm_run_describe", lambda s, d: reports.describe(reports.alarm_runs(_risk(s, d)), "days"), "model", doubles=FACTS,
+          sql="SELECT * EXCLUDE (feature) FROM (" + _describe(f"(SELECT count(*) AS days FROM (SELECT uuid, date, alarm, row_number() OVER (PARTITION BY uuid ORDER BY date) - row_number() OVER (PARTITION BY uuid, alarm ORDER BY date) AS island FROM {ALARMS}) WHERE alarm GROUP BY uuid, island)", ("days",)) + ")")
+_register("qc_rates", lambda s, d: reports.flag_rates(_features(s, d), FLAGS), "feat", doubles=("rate",),
+          sql=" UNION ALL ".join(f"SELECT '{c}' AS feature, avg(CASE WHEN {c} THEN 1.0 WHEN NOT {c} THEN 0.0 END) AS rate FROM feat" for c in FLAGS))
+_register("delta_missing", lambda s, d: reports.missing_rates(_features(s, d), list(DELTAS)), "feat", doubles=("missing_rate",),
+          sql="SELECT feature, missing_rate FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS missing_rate FROM feat" for c in DELTAS) + ") ORDER BY missing_rate DESC, feature LIMIT 20")
+_SUSPECT = ("daily_event_cnt", "heartbeat_cnt", "partial_signal_raw", "travel_signal_raw", "gap_max", "gap_cnt_6h", "night_ratio", "hour_entropy")
+_register("suspect_days", lambda s, d: reports.suspect_days(_features(s, d)), "feat", doubles=_SUSPECT[2:],
+          sql=f"SELECT uuid, date, {', '.join(_SUSPECT)} FROM feat WHERE daily_event_cnt = 0 AND coalesce(heartbeat_cnt, 0) > 0 OR coalesce(partial_signal_raw, 0) > 0 ORDER BY uuid, date LIMIT 10")
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of a day and the baselines of the day before, by user; both tables are dealt by user where they lie."""
+    states = _states(spark, sf_dir).where("date = '2024-01-20'")
+    base = _scored(spark, sf_dir).where("date = DATE '2024-01-19'").select(*KEYS, "baseline_ready", "early_ready", "cold_stage")
+    return reports.cross_check(reports.bucketed(states, ["uuid"]), reports.bucketed(base, ["uuid"]))
+
+
+_CHECKED = "(SELECT s.uuid, s.date, cat_state, risk_used, b.date AS date_b, b.baseline_ready, b.early_ready, b.cold_stage FROM (SELECT * FROM state WHERE date = '2024-01-20') s LEFT JOIN (SELECT * FROM base WHERE date = DATE '2024-01-19') b ON s.uuid = b.uuid)"
+_register("cross_check", lambda s, d: _checked(s, d).select(*KEYS, "cat_state", "risk_used", "date_b", "baseline_ready", "early_ready", "cold_stage"), "state", doubles=("risk_used",), sql=f"SELECT * FROM {_CHECKED}")
+_register("risk_by_readiness", lambda s, d: reports.mean_by_flag(_checked(s, d), "baseline_ready", "risk_used"), "state", doubles=("mean",),
+          sql=f"SELECT baseline_ready, count(*) AS n, avg(risk_used) AS mean FROM {_CHECKED} GROUP BY baseline_ready")

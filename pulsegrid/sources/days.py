@@ -2,13 +2,19 @@
 
 Only the folders of the wanted days are listed, so a read costs the same however many
 days a table has.  Files that can't be read are skipped; columns that some days lack are null
-there.  Writing a day again replaces it.
+there.
+
+A day is written as a new version, a folder ``v=N`` of its own, and becomes visible all at once
+when the empty file ``_v=N`` is created after it; readers take the version with the largest such
+number.  A write that is lost half-way leaves the version before in place, and two writers
+can't publish one number.  The last ``KEPT`` versions stay, so earlier ones can be read too.  A
+folder that holds plain files, written by others, is read as it is.  Forests are kept the same way.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +36,59 @@ def day_folder(root: str, day: str | dt.date) -> str:
     return f"{root.rstrip('/')}/dt={as_day(day)}"
 
 
+#: Versions of a folder that stay after a newer one is published.
+KEPT = 2
+
+
+def _files(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path, path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _listed(spark: SparkSession, pattern: str) -> list[str]:
+    path, fs = _files(spark, pattern)
+    return [f.getPath().toString() for f in fs.globStatus(path(pattern)) or []]
+
+
+def versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the published versions of a folder, ascending."""
+    return sorted(int(f.rsplit("=", 1)[1]) for f in _listed(spark, f"{folder.rstrip('/')}/_v=*"))
+
+
+def current(spark: SparkSession, folder: str, version: int | None = None) -> str:
+    """Where the files of the folder's newest, or the given, version are."""
+    known = versions(spark, folder)
+    if version is not None and version not in known:
+        raise FileNotFoundError(f"no version {version} of {folder}")
+    return f"{folder.rstrip('/')}/v={version if version is not None else known[-1]}" if known else folder.rstrip("/")
+
+
+def publish(spark: SparkSession, folder: str, write: Callable[[str], None]) -> str:
+    """``write`` puts files into a fresh folder, which then becomes the current version; its path."""
+    folder = folder.rstrip("/")
+    path, fs = _files(spark, folder)
+    taken = [int(f.rsplit("=", 1)[1]) for f in (*_listed(spark, f"{folder}/v=*"), *_listed(spark, f"{folder}/_v=*"))]
+    number = max(taken, default=0) + 1
+    write(f"{folder}/v={number}")
+    fs.create(path(f"{folder}/_v={number}"), False).close()  # an error where another writer has published it
+    for old in versions(spark, folder)[: -KEPT - 1]:
+        fs.delete(path(f"{folder}/_v={old}"), False)
+        fs.delete(path(f"{folder}/v={old}"), True)
+    return f"{folder}/v={number}"
+
+
 def days_with_files(spark: SparkSession, root: str, days: Sequence[dt.date]) -> list[str]:
-    """The folders of those of the days that have a Parquet file."""
+    """The folders of those of the days that have a Parquet file: published versions, else plain ones."""
     if not days:
         return []
-    pattern = f"{root.rstrip('/')}/dt={{{','.join(map(str, days))}}}/*.parquet"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
-    return sorted({str(f.getPath().getParent()) for f in found})
+    base = f"{root.rstrip('/')}/dt={{{','.join(map(str, days))}}}"
+    newest: dict[str, int] = {}
+    for mark in _listed(spark, f"{base}/_v=*"):
+        day, number = mark.rsplit("/_v=", 1)
+        newest[day] = max(newest.get(day, 0), int(number))
+    found = {f.rsplit("/", 1)[0] for f in _listed(spark, f"{base}/*.parquet")} - newest.keys()
+    held = {f.rsplit("/", 1)[0] for f in _listed(spark, f"{base}/v=*/*.parquet")}
+    return sorted(found | {f for f in held if (day := f.rsplit("/v=", 1))[0] in newest and newest[day[0]] == int(day[1])})
 
 
 def read_range(spark: SparkSession, root: str, first: str | dt.date, last: str | dt.date) -> DataFrame | None:
@@ -74,7 +125,7 @@ def read_training(spark: SparkSession, root: str, as_of: str | dt.date | None =
 
 def write_day(rows: DataFrame, root: str, day: str | dt.date) -> None:
     """Replaces one day of a table."""
-    rows.write.mode("overwrite").parquet(day_folder(root, day))
+    publish(rows.sparkSession, day_folder(root, day), rows.write.parquet)
 
 
 def _of_day(rows: DataFrame, day: str | dt.date) -> DataFrame:
@@ -96,20 +147,61 @@ def write_state(states: DataFrame, root: str, day: str | dt.date) -> bool:
     found = _of_day(states, day)
     if found.isEmpty():
         return False
-    found.write.mode("overwrite").csv(day_folder(root, day), header=True)
+    publish(found.sparkSession, day_folder(root, day), lambda path: found.write.csv(path, header=True))
     return True
 
 
+def read_state(spark: SparkSession, root: str, day: str | dt.date) -> DataFrame:
+    """The day's states, every column as text."""
+    return spark.read.csv(current(spark, day_folder(root, day)), header=True)
+
+
 def model_path(uri: str) -> str:
     """Where a forest lies: the table itself, or below a prefix."""
     return uri if uri.rstrip("/").endswith(".parquet") else f"{uri.rstrip('/')}/isolation_forest.parquet"
 
 
 def save_model(forest: DataFrame, uri: str) -> str:
-    """Writes the node table of a forest, replacing the one before; its path."""
-    forest.write.mode("overwrite").parquet(model_path(uri))
-    return model_path(uri)
+    """Publishes the node table of a forest as the newest version; its path."""
+    return publish(forest.sparkSession, model_path(uri), forest.write.parquet)
+
+
+def load_model(spark: SparkSession, uri: str, version: int | None = None) -> DataFrame:
+    """The newest forest, or the given version."""
+    return spark.read.parquet(current(spark, model_path(uri), version))
+
+
+def public_features(spark: SparkSession, uri: str) -> DataFrame:
+    """A table of daily features: a Parquet file, or the first by name below a folder, as later ones are older exports.
+
+    A folder that Spark wrote as one table (its files begin with ``part-``) is read whole.
+    """
+    if uri.rstrip("/").endswith(".parquet"):
+        return spark.read.parquet(uri)
+    found = sorted(f for f in _listed(spark, f"{uri.rstrip('/')}/*.parquet"))
+    if not found:
+        raise FileNotFoundError(f"no Parquet file under {uri}")
+    return spark.read.parquet(uri if found[0].rsplit("/", 1)[1].startswith("part-") else found[0])
+
+
+# The order of columns in exported feature files, differences after them.
+EXPORT_ORDER = (
+    "uuid", "date", "Screen", "UserAct", "Notif", "unlock_cnt", "daily_event_cnt", "has_activity",
+    "qc_core_low_cov", "qc_core_very_low_activity", "qc_rhythm_low_cov", "qc_gap_low_cov", "qc_meta_low_heartbeat", "qc_meta_retry_warn", "qc_meta_queue_warn",
+    "partial_signal_raw", "travel_signal_raw", "tz_change_signal",
+    "rhythm_event_cnt", "rhythm_low_coverage", "night_ratio", "hour_entropy", "day_ratio", "evening_ratio", "peak_hour", "peak_ratio",
+    "gap_event_cnt", "gap_low_coverage", "gap_max", "gap_p95", "gap_cnt_2h", "gap_cnt_6h", "gap_long_ratio", "overnight_gap", "first_hour", "last_hour",
+    "session_cnt", "session_total_sec", "session_mean_sec", "long_session_cnt",
+    "cell_change_cnt", "wifi_change_cnt_est", "unique_wifi_cnt", "unique_cell_cnt", "step_sum",
+    "heartbeat_cnt", "retry_max", "queue_max", "tz_offset_min", "tz_offset_max", "tz_changed", "qc_last_ts_max",
+)
+
 
+def write_export(rows: DataFrame, path: str, order: Sequence[str] = EXPORT_ORDER) -> None:
+    """CSV files in UTF-8 with a byte order mark: columns in the given order, as far as the table has them, then the differences.
 
-def load_model(spark: SparkSession, uri: str) -> DataFrame:
-    return spark.read.parquet(model_path(uri))
+    Without an order, all columns as they are.  Every file has the header, so each can be opened alone.
+    """
+    columns = [c for c in order if c in rows.columns] + [c for c in rows.columns if c.endswith(("_d1", "_r1"))] if order else rows.columns
+    first, *rest = columns
+    rows.select(F.col(first).alias(f"\ufeff{first}"), *rest).write.csv(path, header=True)

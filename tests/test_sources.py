@@ -25,7 +25,7 @@ def test_day_tables_are_read_by_range_and_replaced_by_day(spark, tmp_path):
     for day, n in (("2024-01-01", 3), ("2024-01-02", 4), ("2024-01-04", 5)):
         days.write_day(spark.range(n).withColumn("date", F.lit(day)), root, day)
     days.write_day(spark.range(7).withColumn("date", F.lit("2024-01-02")).withColumn("more", F.lit(1)), root, "2024-01-02")
-    (tmp_path / "t" / "dt=2024-01-04" / "broken.parquet").write_bytes(b"not a table")
+    (tmp_path / "t" / "dt=2024-01-04" / "v=1" / "broken.parquet").write_bytes(b"not a table")
     assert days.read_day(spark, root, "2024-01-04").count() == 5
     assert days.read_lookback(spark, root, "2024-01-03", 2).count() == 7
     assert days.read_training(spark, root, "2024-01-03", 2).count() == 10
@@ -40,7 +40,7 @@ def test_sinks_of_a_day_without_rows_write_nothing(spark, tmp_path):
     assert not days.write_state(rows, str(tmp_path / "s"), "2024-01-02") and not (tmp_path / "s").exists()
     assert days.write_baseline(rows, str(tmp_path / "b"), "2024-01-01") and days.write_state(rows, str(tmp_path / "s"), "2024-01-01")
     assert days.read_day(spark, str(tmp_path / "b"), "2024-01-01").columns == ["uuid", "date", "baseline_ready", "x_mean_final"]
-    assert spark.read.csv(days.day_folder(str(tmp_path / "s"), "2024-01-01"), header=True).count() == 1
+    assert days.read_state(spark, str(tmp_path / "s"), "2024-01-01").count() == 1
 
 
 def test_csv_files_of_different_headers(spark, tmp_path):
@@ -137,8 +137,102 @@ def test_batch_and_training_runs(spark, tmp_path):
     assert days.load_model(spark, at["model"]).count() > 0
     run = lambda: cli.run_batch(spark, *[at[n] for n in ("events", "daily", "model", "baselines", "states")], "2026-01-03")
     assert run() and run()  # a day run again is replaced
-    states = spark.read.csv(days.day_folder(at["states"], "2026-01-03"), header=True)
+    states = days.read_state(spark, at["states"], "2026-01-03")
     assert states.count() == 4 == states.select("uuid").distinct().count()
     assert days.read_day(spark, at["baselines"], "2026-01-03").count() == 4
     with pytest.raises(FileNotFoundError):
         cli.run_batch(spark, *[at[n] for n in ("events", "daily", "model", "baselines", "states")], "2026-01-09")
+
+
+def test_a_lost_write_leaves_the_version_before(spark, tmp_path):
+    root = str(tmp_path / "t")
+    days.write_day(spark.range(3), root, "2024-01-01")
+    folder = days.day_folder(root, "2024-01-01")
+
+    def lost(path):
+        spark.range(9).write.parquet(path)
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        days.publish(spark, folder, lost)
+    assert days.read_day(spark, root, "2024-01-01").count() == 3 and days.versions(spark, folder) == [1]
+    for n in (4, 5, 6, 7):
+        days.write_day(spark.range(n), root, "2024-01-01")
+    assert days.read_day(spark, root, "2024-01-01").count() == 7 and len(days.versions(spark, folder)) == days.KEPT + 1
+    for n in (10, 20):
+        days.save_model(spark.range(n).withColumnRenamed("id", "node"), str(tmp_path / "m"))
+    assert days.load_model(spark, str(tmp_path / "m")).count() == 20 and days.load_model(spark, str(tmp_path / "m"), version=1).count() == 10
+    with pytest.raises(FileNotFoundError):
+        days.load_model(spark, str(tmp_path / "m"), version=7)
+    spark.range(5).write.parquet(str(tmp_path / "t" / "dt=2024-01-02"))  # plain files of others
+    assert days.read_range(spark, root, "2024-01-01", "2024-01-02").count() == 12
+
+
+def test_public_features_are_those_of_the_first_file(spark, tmp_path):
+    for name, n in (("b", 3), ("a", 2)):
+        spark.range(n).coalesce(1).write.parquet(str(tmp_path / f"w{name}"))
+        next((tmp_path / f"w{name}").glob("part-*.parquet")).rename(tmp_path / f"{name}.parquet")
+    assert days.public_features(spark, str(tmp_path)).count() == 2 and days.public_features(spark, str(tmp_path / "b.parquet")).count() == 3
+    spark.range(11).repartition(3).write.parquet(str(tmp_path / "table"))
+    assert days.public_features(spark, str(tmp_path / "table")).count() == 11
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        days.public_features(spark, str(tmp_path / "none"))
+
+
+def test_many_csv_files_take_a_constant_number_of_jobs(spark, tmp_path):
+    for i in range(300):
+        head, row = (("uuid,ts_raw,sensor_id", f"u{i},{1700000000 + i},screen") if i % 2 else ("sensor_id,uuid,ts_raw", f'"screen",u{i},{1700000000000 + i}'))
+        (tmp_path / f"f{i}.csv").write_text(f"{head}\n{row}\n" + ("only,two\n" if i == 7 else "") + ("a,b,c,d,e\n" if i == 8 else ""))
+    (tmp_path / "empty.csv").write_text("")
+    paths = [str(p) for p in sorted(tmp_path.glob("*.csv"))]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("csv", "csv")
+    rows = csv_files.read_csv_files(spark, paths)
+    jobs = len(tracker.getJobIdsForGroup("csv"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs <= 8 and rows.count() == 300 and rows.select("uuid").distinct().count() == 300
+    assert sorted(r["line"] for r in csv_files.broken_rows(spark, paths).collect()) == ["a,b,c,d,e", "only,two"]
+    events = standard_events(csv_files.read_public(spark, paths))  # seconds and milliseconds, by user
+    assert {r["date"] for r in events.select("date").collect()} == {dt.date(2023, 11, 14)} and events.count() == 300
+
+
+def test_units_of_numbers_in_texts_are_those_of_their_user(spark):
+    rows = [("s", "1704067199"), ("s", "1704067200"), ("m", "1704067199000"), ("m", "1704067200"), ("m", "1704067200000"), ("t", "2023-12-31 23:59:59"), ("t", "x"), ("d", "1704067199.5")]
+    raw = spark.createDataFrame([(u, "screen", t) for u, t in rows], "uuid string, event_name string, ts_raw string")
+    got = sorted((r["uuid"], r["ms"], str(r["date"])) for r in standard_events(raw).collect())
+    assert got == [
+        ("d", 1704067199000, "2023-12-31"), ("m", 1704067200, "1970-01-20"), ("m", 1704067199000, "2023-12-31"), ("m", 1704067200000, "2024-01-01"),
+        ("s", 1704067199000, "2023-12-31"), ("s", 1704067200000, "2024-01-01"), ("t", 1704067199000, "2023-12-31"),
+    ]
+
+
+def test_heartbeats_are_dated_by_their_own_column(spark):
+    day = 86_400_000
+    rows = [("u", "screen", None, 10 * day, 10 * day), ("u", "beat", "Heartbeat", 10 * day, 12 * day), ("u", "HEARTBEAT", None, 10 * day, 13 * day), ("v", " heartbeat", None, 11 * day, None), ("v", "heartbeat", None, 11 * day, 14 * day)]
+    raw = spark.createDataFrame(rows, "uuid string, event_name string, type string, ts_raw long, timestamp long")
+    daily = features.daily_blocks(standard_events(raw, PipelineConfig(epoch_unit="ms")), PipelineConfig())
+    got = {(r["uuid"], (r["date"] - dt.date(1970, 1, 1)).days): (r["has_activity"], r["heartbeat_cnt"]) for r in daily.collect()}
+    assert got == {("u", 10): (True, None), ("u", 12): (False, 1), ("v", 14): (False, 1)}  # by type where a user has any, else by name
+
+
+def test_late_events_are_merged_into_their_day(spark, tmp_path):
+    """Batches by UTC date of users abroad and at home, with events that come days late, give what all events at once give."""
+    at = {n: str(tmp_path / n) for n in ("events", "partials", "daily")}
+    made = synthetic_events(spark, "2026-01-01", 4, normal=1, silent=1, travel=0, chaos=1).drop("scenario", "dt")
+    made = made.withColumn("seq", F.row_number().over(cli.Window.partitionBy("uuid").orderBy("timestamp", "event_name", "queue_size", "retry_count", "step_count", "wifi_ssid", "cell_lac")))
+    batch = F.date_from_unix_date(F.floor(F.col("timestamp") / 86_400_000).cast("int"))
+    late = F.when(F.pmod(F.xxhash64("uuid", "seq"), F.lit(40)) == 0, F.least(F.date_add(batch, 2), F.lit("2026-01-04").cast("date"))).otherwise(batch)
+    made = made.withColumn("dt", late).persist()
+    made.write.partitionBy("dt").parquet(at["events"])
+    cfg = PipelineConfig(epoch_unit="ms", min_rhythm_events=20, min_gap_events=20)
+    batches = sorted(str(r["dt"]) for r in made.select("dt").distinct().collect())
+    for day in [*batches, batches[-2]]:  # one runs again
+        cli.merge_batch(spark, at["events"], at["partials"], at["daily"], day, 10, cfg)
+    got = {(r["uuid"], r["date"]): r for r in days.read_range(spark, at["daily"], "2025-12-25", "2026-01-10").collect()}
+    whole = features.daily_features(standard_events(made.drop("dt"), cfg), cfg).collect()
+    assert len(got) == len(whole) == days.read_range(spark, at["daily"], "2025-12-25", "2026-01-10").count()
+    for r in whole:
+        mine = got[(r["uuid"], r["date"])]
+        for c, x in r.asDict().items():
+            assert x == mine[c] or isinstance(x, float) and abs(x - mine[c]) < 1e-9, (r["uuid"], r["date"], c, x, mine[c])
