@@ -7,9 +7,10 @@ token distribution.  A text is rejected by its fertility if a measure lies outsi
 the band of its language (its script, where the language column has no code of two
 or three letters) and size class.  The bands are the quartiles over the whole
 corpus, widened by ``fence`` times their distance (at least ``slack`` of the
-median), so they follow a corpus without rejecting its ordinary texts.  A text in a class
-of fewer than ``least_class`` texts is held against the band of its language over all
-sizes; if that has too few as well, of its script, and else of the whole corpus.
+median), so they follow a corpus without rejecting its ordinary texts.  As the measures
+change with the size, a class of fewer than ``least_class`` texts takes in the size classes next to
+it on either side, one, two and then four; if these have too few as well, a text is held against
+its script at such sizes, then its language over all sizes, its script, and else the whole corpus.
 
 Cases: null and empty texts have no words, fail the base rules and have no measure
 (null); words of any length are measured whole; repeated rows count as often as they
@@ -182,26 +183,40 @@ def measured(docs: DataFrame, model_file: str, rules: FertilityRules) -> DataFra
     return rows.mapInPandas(work, f"doc_id bigint, lang string, {MEASURES}")
 
 
-#: What a text is held against, the narrowest class first.
-LEVELS = (["band", "size_class"], ["band"], ["script"], [])
+#: What a text is held against, the first that has enough texts: columns of its class, and how far its sizes reach (None: all).
+LEVELS: tuple[tuple[str | None, int | None], ...] = (
+    ("band", 0), ("band", 1), ("band", 2), ("band", 4), ("script", 2), ("band", None), ("script", None), (None, None),
+)
+FIGURES = ("chars_per_token", "byte_share", "token_entropy")
 
 
-def bands(rows: DataFrame, rules: FertilityRules, keys: list[str]) -> DataFrame:
-    """(``keys``, and a struct ``limits_<number of the level>`` of a low and high limit of each measure); a row a class.
+def histogram(rows: DataFrame) -> DataFrame:
+    """(band, script, size_class, measure, value, n): how often each value, rounded to hundredths, occurs in a class."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.round(m, 2).alias("value")) for m in FIGURES])
+    values = rows.where("n_tokens > 0").select("band", "script", "size_class", F.inline(pairs))
+    return values.groupBy("band", "script", "size_class", "measure", "value").agg(F.count("*").alias("n"))
 
-    Values are rounded to hundredths first, which bounds what the exact quartiles hold.
+
+def bands(values: DataFrame, rules: FertilityRules, level: int) -> DataFrame:
+    """(columns of the level's class, and a struct ``limits_<level>`` of a low and high limit of each measure); a row a class.
+
+    ``values`` is a :func:`histogram`, so a value counts in the classes around its own without a row of a text being copied.
     """
-    names = ("chars_per_token", "byte_share", "token_entropy")
-    q = F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)])
-    parts = rows.where("n_tokens > 0").groupBy(*keys).agg(F.count("*").alias("n"), *[F.percentile(F.round(m, 2), q).alias(m) for m in names])
+    column, reach = LEVELS[level]
+    keys = [c for c in (column, "size_class" if reach is not None else None) if c]
+    if reach:
+        values = values.withColumn("size_class", F.explode(F.sequence(F.col("size_class") - reach, F.col("size_class") + reach)))
+    quartiles = F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)])
+    parts = values.groupBy(*keys, "measure").agg(F.sum("n").alias("n"), F.percentile("value", quartiles, F.col("n")).alias("q"))
+    wide = parts.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("measure") == m, F.col("q"))).alias(m) for m in FIGURES])
     limits = []
-    for m in names:
+    for m in FIGURES:
         least = F.lit(0.05) if m == "byte_share" else F.col(m)[1] * rules.slack
         width = rules.fence * F.greatest(F.col(m)[2] - F.col(m)[0], least)
         limits += [(F.col(m)[0] - width).alias(f"{m}_low"), (F.col(m)[2] + width).alias(f"{m}_high")]
     if keys:
-        parts = parts.where(F.col("n") >= rules.least_class)
-    return parts.select(*keys, F.struct(*limits).alias(f"limits_{LEVELS.index(keys)}"))
+        wide = wide.where(F.col("n") >= rules.least_class)
+    return wide.select(*keys, F.struct(*limits).alias(f"limits_{level}"))
 
 
 def judge_quality(docs: DataFrame, model_file: str, rules: FertilityRules = FertilityRules()) -> DataFrame:
@@ -209,13 +224,14 @@ def judge_quality(docs: DataFrame, model_file: str, rules: FertilityRules = Fert
     size = F.least(F.greatest(F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))), F.lit(3)), F.lit(16))
     band = F.when(F.col("lang").rlike("^[a-z]{2,3}$"), F.col("lang")).otherwise(F.col("script"))
     rows = materialise(measured(docs, model_file, rules).withColumns({"size_class": size.cast("int"), "band": band}), "measures")
-    judged = rows
-    for keys in LEVELS:  # codes of two or three letters or a script, in 14 size classes: at most 260,000 rows
-        limits = F.broadcast(bands(rows, rules, keys))
+    judged, values = rows, materialise(histogram(rows), "histogram")
+    for level, (column, reach) in enumerate(LEVELS):  # codes of two or three letters or a script, in 14 size classes: at most 260,000 rows
+        keys = [c for c in (column, "size_class" if reach is not None else None) if c]
+        limits = F.broadcast(bands(values, rules, level))
         judged = judged.join(limits, keys, "left") if keys else judged.crossJoin(limits)
     judged = judged.withColumn("limits", F.coalesce(*[f"limits_{k}" for k in range(len(LEVELS))]))
     odd = F.lit(False)
-    for m in ("chars_per_token", "byte_share", "token_entropy"):
+    for m in FIGURES:
         odd = odd | F.coalesce((F.col(m) < F.col(f"limits.{m}_low")) | (F.col(m) > F.col(f"limits.{m}_high")), F.lit(False))
     base = (F.col("n_words") < rules.least_words) | (100 * F.col("n_repeat_words") > rules.most_repeat_percent * F.col("n_words"))
     return judged.select(
