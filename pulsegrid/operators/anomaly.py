@@ -1,7 +1,8 @@
 """Isolation forest over the z-scores, and scaling of its scores by user.
 
 A tree is grown from ``tree_rows`` rows drawn by hash (one group of that many rows
-a tree), so growing is one grouped pass however large the table is.  The forest is a
+a tree), so growing is one grouped pass however large the table is.  Draws and splits are hashes in
+whole numbers, so SQL can grow the same forest.  The forest is a
 table of nodes; scoring sends it to the tasks (``trees`` times at most
 2 * ``tree_rows`` nodes, a bound by configuration).
 """
@@ -10,10 +11,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.config import PipelineConfig
@@ -31,34 +33,67 @@ def path_length(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, 2 * (np.log(safe - 1) + np.euler_gamma) - 2 * (safe - 1) / safe, np.where(n == 2, 1.0, 0.0))
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple[int, int, float, int, int, int, int]]:
-    """Nodes (number, feature or -1, threshold, left, right, rows, depth) of one isolation tree."""
+#: Features are compared in units of a billionth, so that a tree doesn't hang on the last bits of a z-score.
+UNIT = 1_000_000_000
+#: Rows are drawn by a linear hash modulo this prime.
+PRIME = 2_147_483_647
+
+
+def hashed(*parts: object) -> int:
+    """A number of 60 bits from the md5 of the parts."""
+    return int(md5(":".join(map(str, parts)).encode()).hexdigest()[:15], 16)
+
+
+def grow_tree(x: np.ndarray, seed: int, tree: int) -> list[tuple[int, int, float, int, int, int, int]]:
+    """Nodes (number, feature or -1, threshold, left, right, rows, depth) of one isolation tree on whole-number features.
+
+    The root is 1 and the children of a node n are 2n and 2n + 1.  The feature of a split, among those that differ,
+    and its place come from hashes of the node's number, so a tree is a function of its rows.
+    """
     limit = math.ceil(math.log2(max(2, len(x))))
-    nodes: list[tuple] = [()]
-    stack = [(0, x, 0)]
+    nodes, stack = [], [(1, x, 0)]
     while stack:
         at, rows, depth = stack.pop()
-        low, high = (rows.min(0), rows.max(0)) if len(rows) else (np.zeros(x.shape[1]),) * 2
+        low, high = (rows.min(0), rows.max(0)) if len(rows) else (np.zeros(x.shape[1], np.int64),) * 2
         splits = np.flatnonzero(high > low)
-        if depth >= limit or len(rows) < 2 or not len(splits):
-            nodes[at] = (at, -1, 0.0, -1, -1, len(rows), depth)
+        if depth >= limit or not len(splits):
+            nodes.append((at, -1, 0.0, -1, -1, len(rows), depth))
             continue
-        f = int(rng.choice(splits))
-        cut = float(rng.uniform(low[f], high[f]))
-        left, right = len(nodes), len(nodes) + 1
-        nodes += [(), ()]
-        nodes[at] = (at, f, cut, left, right, len(rows), depth)
+        f = int(splits[hashed(seed, tree, at, "feature") % len(splits)])
+        cut = int(low[f]) + hashed(seed, tree, at, "place") % int(high[f] - low[f])
+        nodes.append((at, f, cut / UNIT, 2 * at, 2 * at + 1, len(rows), depth))
         goes = rows[:, f] <= cut
-        stack += [(left, rows[goes], depth + 1), (right, rows[~goes], depth + 1)]
+        stack += [(2 * at, rows[goes], depth + 1), (2 * at + 1, rows[~goes], depth + 1)]
     return nodes
 
 
+def in_units(x: np.ndarray) -> np.ndarray:
+    return np.floor(x * UNIT + 0.5)
+
+
 def usable_features(rows: DataFrame, z: list[str], cfg: PipelineConfig) -> list[str]:
     """Columns that are null in less than ``feature_null_share`` of the rows; all, if there are none."""
     share = rows.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in z]).first()
     return [c for c in z if share[c] is not None and share[c] < cfg.feature_null_share] or z
 
 
+def entries(chosen: DataFrame, n: int, cfg: PipelineConfig) -> DataFrame:
+    """(tree, h, row, and the columns of ``chosen``): the trees that each of the n rows may enter, about four times as many rows a tree as it takes.
+
+    A row names its few trees itself, so no more rows are made than enter one.
+    """
+    keep = min(1.0, 4 * cfg.tree_rows / max(1, n))
+    row = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(cfg.seed), "uuid", F.date_format("date", "yyyy-MM-dd"))), 1, 15), 16, 10).cast("long")
+
+    def draw(tree: Column) -> Column:
+        tree = tree.cast("long")
+        factor, shift = 1 + (tree * 2_654_435_761 + cfg.seed) % (PRIME - 1), (tree * 2_246_822_519 + cfg.seed) % PRIME
+        return (F.col("row") % PRIME * factor + shift) % PRIME
+
+    enters = F.filter(F.sequence(F.lit(0), F.lit(cfg.trees - 1)), lambda t: draw(t) < math.ceil(keep * PRIME))
+    return chosen.withColumn("row", row).select(F.explode(enters).alias("tree"), "*").withColumn("h", draw(F.col("tree")))
+
+
 def train_forest(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """The node table of a forest, grown on good days that baselines learn from, else on scored days, else on all."""
     z = [c for c in rows.columns if c.endswith("_z")]
@@ -67,17 +102,13 @@ def train_forest(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Dat
     chosen = rows.where("scored and baseline_fit") if counts["fit"] else rows.where("scored") if counts["scored"] else rows
     n = counts["fit"] or counts["scored"] or counts["all"]
     chosen = chosen.select("uuid", "date", F.array(*[F.coalesce(c, F.lit(0.0)) for c in use]).alias("x"))
-    keep = min(1.0, 4 * cfg.tree_rows / max(1, n))  # each row names the few trees that it may enter
-    draw = lambda tree: F.xxhash64(tree, "uuid", "date", F.lit(cfg.seed))
-    enters = F.filter(F.sequence(F.lit(0), F.lit(cfg.trees - 1)), lambda t: F.pmod(draw(t), F.lit(1 << 40)) < math.ceil(keep * (1 << 40)))
-    drawn = chosen.select(F.explode(enters).alias("tree"), "*").withColumn("h", draw(F.col("tree")))
-    drawn = drawn.withColumn("r", F.row_number().over(Window.partitionBy("tree").orderBy("h", "uuid", "date"))).where(F.col("r") <= cfg.tree_rows)
+    drawn = entries(chosen, n, cfg)
+    drawn = drawn.withColumn("r", F.row_number().over(Window.partitionBy("tree").orderBy("h", "row", "uuid", "date"))).where(F.col("r") <= cfg.tree_rows)
     seed, names = cfg.seed, use
 
     def grow(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(part.sort_values("r")["x"].to_numpy())
-        nodes = grow_tree(x, np.random.default_rng([seed, int(key[0])]))
-        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "right", "rows", "depth"])
+        x = in_units(np.stack(part["x"].to_numpy())).astype(np.int64)
+        out = pd.DataFrame(grow_tree(x, seed, int(key[0])), columns=["node", "feature", "threshold", "left", "right", "rows", "depth"])
         return out.assign(tree=int(key[0]), features=[names] * len(out))[["tree", "node", "feature", "threshold", "left", "right", "rows", "depth", "features"]]
 
     return drawn.groupBy("tree").applyInPandas(grow, FOREST_SCHEMA)
@@ -89,16 +120,21 @@ def forest_scores(rows: DataFrame, forest: DataFrame, cfg: PipelineConfig = Pipe
     if table.empty:
         return rows.withColumn("anomaly_score_raw", F.lit(None).cast("double"))
     names = list(table["features"].iloc[0])
-    trees = [t.sort_values("node")[["feature", "threshold", "left", "right", "rows", "depth"]].to_numpy() for _, t in table.groupby("tree")]
-    norm = float(path_length(max(t[0][4] for t in trees)))
+    trees = []
+    for _, t in table.groupby("tree"):
+        by_number = np.zeros((int(t["node"].max()) + 1, 6))
+        by_number[t["node"]] = t[["feature", "threshold", "left", "right", "rows", "depth"]].to_numpy()
+        by_number[:, 1] = in_units(by_number[:, 1])
+        trees.append(by_number)
+    norm = float(path_length(max(t[1][4] for t in trees)))
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            x = np.stack(part.to_numpy()) if len(part) else np.empty((0, len(names)))
+            x = in_units(np.stack(part.to_numpy())) if len(part) else np.empty((0, len(names)))
             depth = np.zeros(len(x))
             for t in trees:
-                at = np.zeros(len(x), np.int64)
+                at = np.ones(len(x), np.int64)
                 while True:
                     inner = np.flatnonzero(t[at, 0] >= 0)
                     if not len(inner):

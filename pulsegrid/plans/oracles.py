@@ -237,6 +237,53 @@ SELECT uuid, strftime(date, '%Y-%m-%d') AS date, cat_state,
     ]
 
 
+def forest_links(trees: int, tree_rows: int, seed: int, null_share: float, z: tuple[str, ...] = tuple(_Z)) -> list[tuple[str, str]]:
+    """The chain whose anomaly is the isolation forest: rows drawn, trees grown level by level, and every scored row sent down them."""
+    unit, prime, levels = 1_000_000_000, 2_147_483_647, max(1, (tree_rows - 1).bit_length())
+    factor, shift = f"(1 + (t * 2654435761 + {seed}) % {prime - 1})", f"((t * 2246822519 + {seed}) % {prime})"
+    md5 = lambda kind: f"CAST('0x' || substr(md5(concat_ws(':', {seed}, t, node, '{kind}')), 1, 15) AS BIGINT)"
+    units = ", ".join(f"CAST(floor(coalesce({c}, 0.0) * {unit} + 0.5) AS BIGINT)" for c in z)
+    shares = ", ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)" for c in z)
+    gamma = repr(0.5772156649015329)
+    path = f"CASE WHEN n > 2 THEN 2 * (ln(n - 1) + {gamma}) - 2.0 * (n - 1) / n WHEN n = 2 THEN 1 ELSE 0 END"
+    made = [
+        ("shares", f"SELECT list_filter(range(1, {len(z) + 1}), lambda i: [{shares}][i] < {null_share}) AS few FROM z"),
+        ("used", f"SELECT unnest(CASE WHEN len(few) > 0 THEN few ELSE range(1, {len(z) + 1}) END) AS f FROM shares"),
+        ("pool", """SELECT *, CAST('0x' || substr(md5(concat_ws(':', """ + str(seed) + f""", uuid, strftime(date, '%Y-%m-%d'))), 1, 15) AS BIGINT) AS row_, [{units}] AS v
+FROM z WHERE CASE WHEN (SELECT bool_or(scored AND fit) FROM z) THEN scored AND fit WHEN (SELECT bool_or(scored) FROM z) THEN scored ELSE true END"""),
+        ("drawn", f"""SELECT t, v FROM (SELECT t, v, row_number() OVER (PARTITION BY t ORDER BY (row_ % {prime} * {factor} + {shift}) % {prime}, row_, uuid, date) AS r
+FROM pool CROSS JOIN range({trees}) g(t)) WHERE r <= {tree_rows}"""),
+        ("deep", "SELECT ceil(log2(greatest(2, max(n)))) AS depth, max(n) AS n FROM (SELECT count(*) AS n FROM drawn GROUP BY t)"),
+        ("at0", "SELECT t, 1 AS node, v FROM drawn"),
+    ]
+    for d in range(levels):
+        made += [
+            (f"span{d}", f"SELECT t, node, f, min(v[f]) AS lo, max(v[f]) AS hi FROM at{d} CROSS JOIN used GROUP BY t, node, f"),
+            (f"split{d}", f"""SELECT t, node, s.f AS f, s.lo + {md5('place')} % (s.hi - s.lo) AS cut
+FROM (SELECT t, node, ss[CAST({md5('feature')} % len(ss) AS INTEGER) + 1] AS s FROM (SELECT t, node, list({{'f': f, 'lo': lo, 'hi': hi}} ORDER BY f) AS ss FROM span{d} WHERE hi > lo GROUP BY t, node))
+WHERE {d} < (SELECT depth FROM deep)"""),
+            (f"at{d + 1}", f"SELECT t, 2 * node + CASE WHEN v[f] <= cut THEN 0 ELSE 1 END AS node, v FROM at{d} JOIN split{d} USING (t, node)"),
+        ]
+    made += [
+        ("inner_", " UNION ALL ".join(f"SELECT * FROM split{d}" for d in range(levels))),
+        ("sizes", " UNION ALL ".join(f"SELECT t, node, {d} AS depth, count(*) AS n FROM at{d} GROUP BY t, node" for d in range(levels + 1))),
+        ("down0", f"SELECT uuid, date, t, 1 AS node, [{units}] AS v FROM z CROSS JOIN range({trees}) g(t) WHERE scored"),
+    ]
+    made += [
+        (f"down{d + 1}", f"SELECT uuid, date, t, CASE WHEN f IS NULL THEN node ELSE 2 * node + CASE WHEN v[f] <= cut THEN 0 ELSE 1 END END AS node, v FROM down{d} LEFT JOIN inner_ USING (t, node)")
+        for d in range(levels)
+    ]
+    made += [
+        ("ends", f"SELECT uuid, date, avg(depth + {path}) AS depth FROM down{levels} JOIN sizes USING (t, node) GROUP BY uuid, date"),
+        ("forest", f"SELECT uuid, date, pow(2, -depth / (SELECT greatest({path}, 1e-12) FROM deep)) AS raw FROM ends".replace("depth / ", "ends.depth / ")),
+        ("anom0", "SELECT z.*, raw AS anomaly_score_raw FROM z LEFT JOIN forest USING (uuid, date)"),
+    ]
+    chain = []
+    for name, sql in CTES:
+        chain += made if name == "anom0" else [(name, sql)]
+    return chain
+
+
 CTES = links()
 #: What a table without session and network events has.
 PUBLIC_BASE = tuple(c for c in BASE_COLUMNS if c not in ("session_total_sec", "session_cnt", "step_sum"))

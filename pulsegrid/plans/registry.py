@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pulsegrid.config import BASE_COLUMNS, DELTA_COLUMNS, RATIO_COLUMNS, Z_COLUMNS, Z_GROUPS, PipelineConfig
 from pulsegrid.functions.columns import rounded
 from pulsegrid.operators import anomaly, baseline, decoder, features, reports, risk
-from pulsegrid.plans.oracles import CTES, EVENTS_PER_USER, LEAST_EVENTS, LEAST_USERS, PUBLIC, upto
+from pulsegrid.plans.oracles import CTES, EVENTS_PER_USER, LEAST_EVENTS, LEAST_USERS, PUBLIC, forest_links, upto
 from pulsegrid.sources import days
 from pulsegrid.sources.events import from_activity_log, standard_events
 from pulsegrid.sources.tables import settle, shared_folder
@@ -202,8 +202,9 @@ _register("segmented_model_out", lambda s, d: _risk(s, d, SEGMENTED), "model", (
 _register("drift", _risk, "model", (*KEYS, "daily_event_cnt_drift", "night_ratio_drift", "gap_max_drift", "drift_flag", "drift_top_feature"))
 _register("model_out", _risk, "model", (*risk.MODEL_COLUMNS, *Z, *REPS))
 _register("state_out_surrogate", _states, "state", decoder.STATE_COLUMNS)
-_register("isolation_forest_scores", lambda s, d: _forest(s, d).select(*KEYS, "anomaly_score_raw", "anomaly_score", "anomaly_flag"))
-_register("state_out", lambda s, d: decoder.decode(risk.model_output(risk.risk_table(_forest(s, d), CFG)), CFG))
+FOREST = forest_links(CFG.trees, CFG.tree_rows, CFG.seed, CFG.feature_null_share)
+_register("isolation_forest_scores", _forest, "anom", (*KEYS, "anomaly_score_raw", "anomaly_score", "anomaly_flag"), chain=FOREST)
+_register("state_out", lambda s, d: decoder.decode(risk.model_output(risk.risk_table(_forest(s, d), CFG)), CFG), "state", decoder.STATE_COLUMNS, chain=FOREST)
 
 _register("state_distribution", lambda s, d: reports.distribution(_states(s, d), "cat_state"), "state",
           doubles=("share",),

@@ -18,11 +18,11 @@ pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test tables"
 
 WALK = """
 WITH RECURSIVE x AS (SELECT uuid, date, [{values}] AS v FROM scored WHERE scored),
-names AS (SELECT tree, any_value(rows) FILTER (node = 0) AS n FROM nodes GROUP BY tree),
+names AS (SELECT tree, any_value(rows) FILTER (node = 1) AS n FROM nodes GROUP BY tree),
 walk AS (
-  SELECT uuid, date, v, tree, 0 AS node FROM x CROSS JOIN (SELECT DISTINCT tree FROM nodes)
+  SELECT uuid, date, v, tree, 1 AS node FROM x CROSS JOIN (SELECT DISTINCT tree FROM nodes)
   UNION ALL
-  SELECT uuid, date, v, w.tree, CASE WHEN v[f.feature + 1] <= f.threshold THEN f."left" ELSE f."right" END
+  SELECT uuid, date, v, w.tree, CASE WHEN floor(v[f.feature + 1] * 1e9 + 0.5) <= floor(f.threshold * 1e9 + 0.5) THEN f."left" ELSE f."right" END
   FROM walk w JOIN nodes f ON f.tree = w.tree AND f.node = w.node WHERE f.feature >= 0),
 ends AS (SELECT uuid, date, avg(f.depth + CASE WHEN f.rows > 2 THEN 2 * (ln(f.rows - 1) + {gamma}) - 2 * (f.rows - 1) / f.rows WHEN f.rows = 2 THEN 1 ELSE 0 END) AS depth
   FROM walk w JOIN nodes f ON f.tree = w.tree AND f.node = w.node WHERE f.feature < 0 GROUP BY uuid, date),

@@ -44,22 +44,16 @@ def test_a_table_without_sessions_is_scored(spark, tmp_path):
     assert forest.where("feature >= 0").select("threshold").distinct().count() > 20  # grown from z-scores, not from blanks
 
 
-def test_forest_sampling_makes_few_rows(spark, monkeypatch):
+def test_forest_sampling_makes_few_rows(spark):
     from pulsegrid.operators import anomaly
 
-    rows = spark.range(40_000).select(F.col("id").cast("string").alias("uuid"), F.lit(dt.date(2024, 1, 1)).alias("date"), F.randn(1).alias("a_z"), F.randn(2).alias("b_z"), F.lit(True).alias("scored"), F.lit(True).alias("baseline_fit"))
     cfg = PipelineConfig(trees=20, tree_rows=64)
-    made: list = []
-    grouped = type(rows).groupBy
-    monkeypatch.setattr(type(rows), "groupBy", lambda self, *c: (made.append(self) if c == ("tree",) else None, grouped(self, *c))[1])
-    forest = anomaly.train_forest(rows, cfg)
-    drawn = made[0]
-    assert drawn.count() == 20 * 64 and forest.select("tree").distinct().count() == 20
-    plan = drawn._jdf.queryExecution().executedPlan()
-    drawn.collect()
-    assert "Generate explode" in plan.toString()
-    entering = rows.select(F.explode(F.filter(F.sequence(F.lit(0), F.lit(19)), lambda t: F.pmod(F.xxhash64(t, "uuid", "date", F.lit(cfg.seed)), F.lit(1 << 40)) < int(4 * 64 / 40_000 * (1 << 40)))))
-    assert entering.count() <= 5 * 20 * 64
+    for n in (40, 3000, 40_000):
+        rows = spark.range(n).select(F.col("id").cast("string").alias("uuid"), F.lit(dt.date(2024, 1, 1)).alias("date"), F.randn(1).alias("a_z"), F.randn(2).alias("b_z"), F.lit(True).alias("scored"), F.lit(True).alias("baseline_fit"))
+        made = anomaly.entries(rows, n, cfg).groupBy("tree").count().collect()
+        assert len(made) == 20 and sum(r["count"] for r in made) <= 5 * 20 * 64 and min(r["count"] for r in made) >= min(n, 64)
+        roots = anomaly.train_forest(rows, cfg).where("node = 1").collect()
+        assert [r["rows"] for r in roots] == [min(n, 64)] * 20
 
 
 def test_bucketed_tables_are_joined_where_they_lie(spark):
