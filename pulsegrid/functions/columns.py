@@ -14,11 +14,6 @@ def clip(x: Column, low: Column | float, high: Column | float) -> Column:
     return F.when(x.isNotNull(), F.least(F.greatest(x, low), high))
 
 
-def at_least(x: Column, limit: float, default: float) -> Column:
-    """Not below a limit; null becomes ``default``."""
-    return F.greatest(F.coalesce(x, F.lit(default)), F.lit(limit))
-
-
 def present(values: Column) -> Column:
     return F.filter(values, lambda x: x.isNotNull())
 

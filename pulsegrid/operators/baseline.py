@@ -102,17 +102,10 @@ def winsorised(prepared: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> D
     return rows.select(*[f"`{c}`" for c in prepared.columns], *out)
 
 
-def _rolling(c: str, window, n: int, least: int, floor: float) -> tuple[Column, Column]:
-    """Mean of the n rows before, from ``least`` values on, and their deviation, the floor where it is less or missing."""
-    x, w = F.col(f"{c}_w"), window.rowsBetween(-n, -1)
-    enough = F.count(x).over(w) >= least
-    deviation = F.when(enough, F.stddev_pop(x).over(w))
-    return F.when(enough, F.avg(x).over(w)), F.greatest(F.coalesce(deviation, F.lit(floor)), F.lit(floor))
-
-
 def rolling_baselines(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Long, short (all days; by kind of day) and early baselines, with the fallbacks between their means.
 
+    The mean of the rows before needs a least number of values; without it, or where it is less, a deviation is its floor.
     A deviation never falls back: its floor stands in first.  All windows share one
     exchange by user, or get the rows that they look back on as the halo of a segment.
     """
@@ -121,12 +114,16 @@ def rolling_baselines(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -
     for keys, kinds in ((["uuid"], (("lt_g", lt), ("st_g", st), ("early_g", early))), (["uuid", "is_weekend"], (("st_own", split), ("early_own", early)))):
 
         def add(df: DataFrame, part: list[str], kinds=kinds) -> DataFrame:
-            made, window = [], Window.partitionBy(*part).orderBy("date")
+            window, raw, made = Window.partitionBy(*part).orderBy("date"), [], []
             for c in cfg.base_columns:
                 for kind, (n, least) in kinds:
-                    mean, std = _rolling(c, window, n, least, cfg.floor(c))
-                    made += [mean.alias(f"{c}_mean_{kind}"), std.alias(f"{c}_std_{kind}")]
-            return df.select("*", *made)
+                    before = window.rowsBetween(-n, -1)
+                    count, mean, std = (f"_{c}_{x}_{kind}" for x in ("count", "mean", "std"))
+                    raw += [f(f"{c}_w").over(before).alias(x) for f, x in ((F.count, count), (F.avg, mean), (F.stddev_pop, std))]
+                    enough, floor = F.col(count) >= least, F.lit(cfg.floor(c))
+                    made.append(F.when(enough, F.col(mean)).alias(f"{c}_mean_{kind}"))
+                    made.append(F.when(enough, F.greatest(F.coalesce(std, floor), floor)).otherwise(floor).alias(f"{c}_std_{kind}"))
+            return df.select("*", *raw).select(*[f"`{c}`" for c in df.columns], *made)
 
         rows = windowed(rows, keys, "date", max(n for _, (n, _) in kinds), add, cfg.segment_rows)
     out = []

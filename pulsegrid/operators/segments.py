@@ -28,9 +28,10 @@ def cut_days(events: DataFrame, limit: int, slot_ms: int) -> tuple[DataFrame, bo
     A segment has about ``limit`` events, and all events of a slot of ``slot_ms``.  One count a
     day decides which days are cut at all; the answer comes as the second value.
     """
-    full = settle(events.groupBy("uuid", "date").agg(F.count("*").alias("n")).where(F.col("n") > limit).drop("n"), "full-days")
+    full = events.groupBy("uuid", "date").agg(F.count("*").alias("n")).where(F.col("n") > limit).drop("n")
     if full.isEmpty():
         return events, False
+    full = settle(full, "full-days")
     slot = F.floor(F.col("ms") / slot_ms)
     counts = events.join(full, ["uuid", "date"], "left_semi").groupBy("uuid", "date", slot.alias("slot")).agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("uuid", "date").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
