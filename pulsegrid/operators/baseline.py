@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,30 +105,65 @@ def winsorised(prepared: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> D
     return rows.select(*[f"`{c}`" for c in prepared.columns], *out)
 
 
+def frame_stats(frames: Sequence[tuple[int, int]], floors: Sequence[float]) -> Callable[[Column], Column]:
+    """A function of the rows before a day, oldest first, each an array of values: means and deviations over the last rows.
+
+    For each frame (rows, least number of values) the result has the means of all columns, then their deviations. A mean of fewer
+    values is null, and a deviation of fewer, or one below it, is the column's floor.
+    """
+    least_std = np.array(floors)
+
+    @F.arrow_udf("array<double>")
+    def stats(before: pa.Array) -> pa.Array:
+        flat, width, reach = before.flatten().flatten(), len(floors), max(n for n, _ in frames)
+        lengths = before.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        place = reach - np.cumsum(lengths)[row] + np.arange(len(row))  # the row before comes last
+        x, there = np.zeros((len(lengths), reach, width)), np.zeros((len(lengths), reach, width), bool)
+        there[row, place] = flat.is_valid().to_numpy(zero_copy_only=False).reshape(-1, width)
+        x[row, place] = flat.to_numpy(zero_copy_only=False).reshape(-1, width)
+        x[~there] = 0.0
+        made = []
+        for n, least in frames:
+            counted, last = there[:, reach - n :], x[:, reach - n :]
+            with np.errstate(all="ignore"):
+                count = counted.sum(1)
+                mean = last.sum(1) / count
+                off = np.where(counted, last - mean[:, None], 0.0)
+                std = np.sqrt(np.einsum("ijk,ijk->ik", off, off) / count)
+            known = (count >= least) & (count > 0)
+            made += [np.ma.array(mean, mask=~known), np.ma.array(np.where(known, np.maximum(std, least_std), least_std))]
+        out = np.ma.concatenate(made, axis=1)
+        offsets = np.arange(len(lengths) + 1, dtype=np.int32) * out.shape[1]
+        return pa.ListArray.from_arrays(offsets, pa.array(out.data.ravel(), mask=np.ma.getmaskarray(out).ravel()))
+
+    return stats
+
+
 def rolling_baselines(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Long, short (all days; by kind of day) and early baselines, with the fallbacks between their means.
 
     The mean of the rows before needs a least number of values; without it, or where it is less, a deviation is its floor.
-    A deviation never falls back: its floor stands in first.  All windows share one
+    A deviation never falls back: its floor stands in first.  A window gathers the values of the rows before, once for
+    all its frames, and a batch of days is measured at once. All windows share one
     exchange by user, or get the rows that they look back on as the halo of a segment.
     """
     lt, st, split = (cfg.lt_window, cfg.lt_least), (cfg.st_window, cfg.st_least), (cfg.st_window, cfg.st_split_least)
     early = (cfg.early_window, cfg.early_least)
+    values = F.array(*[F.col(f"{c}_w") for c in cfg.base_columns])
+    floors = [cfg.floor(c) for c in cfg.base_columns]
     for keys, kinds in ((["uuid"], (("lt_g", lt), ("st_g", st), ("early_g", early))), (["uuid", "is_weekend"], (("st_own", split), ("early_own", early)))):
+        reach = max(n for _, (n, _) in kinds)
+        stats = frame_stats([frame for _, frame in kinds], floors)
+
+        def add(df: DataFrame, part: list[str], stats=stats, reach=reach) -> DataFrame:
+            before = Window.partitionBy(*part).orderBy("date").rowsBetween(-reach, -1)
+            return df.withColumn("_before", F.collect_list(values).over(before)).select("*", stats("_before").alias("_stats")).drop("_before")
 
-        def add(df: DataFrame, part: list[str], kinds=kinds) -> DataFrame:
-            window, raw, made = Window.partitionBy(*part).orderBy("date"), [], []
-            for c in cfg.base_columns:
-                for kind, (n, least) in kinds:
-                    before = window.rowsBetween(-n, -1)
-                    count, mean, std = (f"_{c}_{x}_{kind}" for x in ("count", "mean", "std"))
-                    raw += [f(f"{c}_w").over(before).alias(x) for f, x in ((F.count, count), (F.avg, mean), (F.stddev_pop, std))]
-                    enough, floor = F.col(count) >= least, F.lit(cfg.floor(c))
-                    made.append(F.when(enough, F.col(mean)).alias(f"{c}_mean_{kind}"))
-                    made.append(F.when(enough, F.greatest(F.coalesce(std, floor), floor)).otherwise(floor).alias(f"{c}_std_{kind}"))
-            return df.select("*", *raw).select(*[f"`{c}`" for c in df.columns], *made)
-
-        rows = windowed(rows, keys, "date", max(n for _, (n, _) in kinds), add, cfg.segment_rows)
+        names = [f"{c}_{x}_{kind}" for kind, _ in kinds for x in ("mean", "std") for c in cfg.base_columns]
+        columns = rows.columns
+        rows = windowed(rows, keys, "date", reach, add, cfg.segment_rows)
+        rows = rows.select(*[f"`{c}`" for c in columns], *[F.get("_stats", F.lit(i)).alias(n) for i, n in enumerate(names)])
     out = []
     for c in cfg.base_columns:
         st_s = F.coalesce(f"{c}_mean_st_own", f"{c}_mean_st_g", f"{c}_mean_lt_g")

@@ -110,9 +110,16 @@ def drift(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     return rows.withColumns({"drift_flag": flag, "drift_top_feature": F.when(flag, F.col("_top.name")).otherwise("")}).drop("_top", *anchors)
 
 
+def risk_inputs(scaled: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """The columns that risks are computed from or exported with; the other baselines aren't written again at every step."""
+    used = {*MODEL_COLUMNS, "scored", "baseline_fit", *cfg.base_columns, *DRIFT_COLUMNS}
+    used |= {f"{c}_{x}_early_s" for c in cfg.base_columns for x in ("mean", "std")} | {f"{c}_mean_final" for c in DRIFT_COLUMNS}
+    return scaled.select(*[f"`{c}`" for c in scaled.columns if c in used or c.endswith("_z")])
+
+
 def risk_table(scaled: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """All risk columns from rows with z-scores and a scaled anomaly."""
-    steps = (group_representatives, daily_risk, smoothed_risk, early_risk, recovery, drift)
+    steps = (risk_inputs, group_representatives, daily_risk, smoothed_risk, early_risk, recovery, drift)
     return reduce(lambda df, step: step(df, cfg), steps, scaled)
 
 
