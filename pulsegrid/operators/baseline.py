@@ -15,7 +15,7 @@ from pulsegrid.config import Z_COLUMNS, PipelineConfig
 from pulsegrid.functions.columns import clip
 from pulsegrid.functions.quantiles import exact_quantiles
 from pulsegrid.operators.features import BLOCKS
-from pulsegrid.operators.segments import of_key, windowed
+from pulsegrid.operators.segments import numbered, of_key, windowed
 from pulsegrid.sources.tables import settle
 
 
@@ -152,7 +152,9 @@ def rolling_baselines(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -
     early = (cfg.early_window, cfg.early_least)
     values = F.array(*[F.col(f"{c}_w") for c in cfg.base_columns])
     floors = [cfg.floor(c) for c in cfg.base_columns]
-    for keys, kinds in ((["uuid"], (("lt_g", lt), ("st_g", st), ("early_g", early))), (["uuid", "is_weekend"], (("st_own", split), ("early_own", early)))):
+    if cfg.segment_rows is not None:  # both numbers from one dealing
+        rows = numbered(rows, ["uuid"], "date", "_of_user", [("_of_kind", ["is_weekend"])])
+    for keys, rank, kinds in ((["uuid"], "_of_user", (("lt_g", lt), ("st_g", st), ("early_g", early))), (["uuid", "is_weekend"], "_of_kind", (("st_own", split), ("early_own", early)))):
         reach = max(n for _, (n, _) in kinds)
         stats = frame_stats([frame for _, frame in kinds], floors)
 
@@ -161,8 +163,8 @@ def rolling_baselines(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -
             return df.withColumn("_before", F.collect_list(values).over(before)).select("*", stats("_before").alias("_stats")).drop("_before")
 
         names = [f"{c}_{x}_{kind}" for kind, _ in kinds for x in ("mean", "std") for c in cfg.base_columns]
-        columns = rows.columns
-        rows = windowed(rows, keys, "date", reach, add, cfg.segment_rows)
+        columns = [c for c in rows.columns if c != rank]
+        rows = windowed(rows, keys, "date", reach, add, cfg.segment_rows, rank)
         rows = rows.select(*[f"`{c}`" for c in columns], *[F.get("_stats", F.lit(i)).alias(n) for i, n in enumerate(names)])
     out = []
     for c in cfg.base_columns:

@@ -42,25 +42,32 @@ def cut_days(events: DataFrame, limit: int, slot_ms: int) -> tuple[DataFrame, bo
     return cut.drop("starts"), True
 
 
-def numbered(rows: DataFrame, keys: Sequence[str], order: str, name: str = "_rank") -> DataFrame:
-    """Adds the number of each row within its key, from 0 in the given order."""
-    dealt = settle(rows.repartitionByRange(*keys, order).withColumn("_range", F.spark_partition_id()), "ranges")
-    counts = dealt.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))  # a row a key and range
-    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
-    counts = counts.select(*keys, "_range", before.alias("_before"))
-    joined = dealt.alias("l").join(counts.alias("r"), [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in (*keys, "_range")])
-    within = F.row_number().over(Window.partitionBy(*[f"l.{k}" for k in keys], "l._range").orderBy(f"l.{order}"))
-    return joined.select("l.*", (F.col("r._before") + within - 1).alias(name)).drop("_range")
-
+def numbered(rows: DataFrame, keys: Sequence[str], order: str, name: str = "_rank", finer: Sequence[tuple[str, Sequence[str]]] = ()) -> DataFrame:
+    """Adds the number of each row within its key, from 0 in the given order.
 
-def windowed(rows: DataFrame, keys: Sequence[str], order: str, reach: int, compute: Callable[[DataFrame, list[str]], DataFrame], size: int | None) -> DataFrame:
+    ``finer`` are further names, each with columns that divide the keys: ranges of (keys, order) are in order within these too,
+    so rows are dealt and written once for all numbers.
+    """
+    dealt = settle(rows.repartitionByRange(*keys, order).withColumn("_range", F.spark_partition_id()), "ranges")
+    out = dealt
+    for name, own in ((name, [*keys]), *[(n, [*keys, *more]) for n, more in finer]):
+        counts = dealt.groupBy(*own, "_range").agg(F.count("*").alias("_n"))  # a row a key and range
+        before = F.sum("_n").over(Window.partitionBy(*own).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+        counts = counts.select(*own, "_range", before.alias("_before"))
+        joined = out.alias("l").join(counts.alias("r"), [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in (*own, "_range")])
+        within = F.row_number().over(Window.partitionBy(*[f"l.{k}" for k in own], "l._range").orderBy(f"l.{order}"))
+        out = joined.select("l.*", (F.col("r._before") + within - 1).alias(name))
+    return out.drop("_range")
+
+
+def windowed(rows: DataFrame, keys: Sequence[str], order: str, reach: int, compute: Callable[[DataFrame, list[str]], DataFrame], size: int | None, rank: str | None = None) -> DataFrame:
     """``compute(rows, partition columns)``, whose windows look back ``reach`` rows at most, over segments of ``size`` rows.
 
-    Without a size the windows are over whole keys.
+    Without a size the windows are over whole keys. ``rank`` is the column of :func:`numbered`, where the rows have it already; it goes.
     """
     if size is None:
         return compute(rows, [*keys])
-    ranked = numbered(rows, keys, order)
+    ranked = numbered(rows, keys, order) if rank is None else rows.withColumnRenamed(rank, "_rank")
     copies = F.sequence(F.floor(F.col("_rank") / size), F.floor((F.col("_rank") + reach) / size))
     done = compute(ranked.withColumn("_seg", F.explode(copies)), [*keys, "_seg"])
     return done.where(F.col("_seg") == F.floor(F.col("_rank") / size)).drop("_seg", "_rank")
