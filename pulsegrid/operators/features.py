@@ -191,11 +191,9 @@ def _distinct_in_day(states: DataFrame, column: str, name: str) -> DataFrame:
 def merged_days(states: DataFrame, several: bool, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """One row a (uuid, date) of all its states, in the order of their times.
 
-    ``several`` says whether a day may have more than one.  Lists of a lone state
+    ``several`` says whether a day may have more than one; then the states are read more than once, so they should be a table. Lists of a lone state
     are taken as they are; of several, different values and quantiles are counted over rows, not lists.
     """
-    if several:
-        states = settle(states, "states")
     rows = _carried(states, cfg)
     alone = F.count("*") == 1
 
@@ -366,56 +364,54 @@ def with_presence(daily: DataFrame) -> DataFrame:
     return daily.crossJoin(F.broadcast(daily.agg(F.coalesce(F.max("has_meta"), F.lit(False)).alias("meta_known"))))
 
 
-def add_context_signals(daily: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+def context_signals(rows: DataFrame, part: list[str]) -> DataFrame:
     """Time zone, partial collection and travel signals; the row before is the user's previous one, of any date."""
 
     def flag(x: Column) -> Column:
         return F.coalesce(x.cast("int"), F.lit(0)).cast("double")
 
-    def signals(rows: DataFrame, part: list[str]) -> DataFrame:
-        user = Window.partitionBy(*part).orderBy("date")
+    user = Window.partitionBy(*part).orderBy("date")
 
-        def surge(c: str) -> Column:
-            return flag(F.col(c) >= F.lag(c).over(user) * 2 + 10)
-
-        cells = F.coalesce("unique_cell_cnt", F.lit(0.0))
-        tz = F.when(F.col("meta_known"), F.col("tz_changed").cast("double")).otherwise(F.lit(0.0))
-        partial = 1.0 + flag(F.col("qc_meta_retry_warn")) + flag(F.col("qc_meta_queue_warn"))
-        travel = 2 * F.coalesce(tz, F.lit(0.0)) + surge("cell_change_cnt") + surge("wifi_change_cnt_est") + flag(cells >= F.lag(cells).over(user) + 3)
-        return rows.select(
-            "*",
-            tz.alias("tz_change_signal"),
-            F.when(F.col("qc_core_very_low_activity"), partial).otherwise(F.lit(0.0)).alias("partial_signal_raw"),
-            travel.alias("travel_signal_raw"),
-        )
+    def surge(c: str) -> Column:
+        return flag(F.col(c) >= F.lag(c).over(user) * 2 + 10)
 
-    return windowed(daily, ["uuid"], "date", 1, signals, cfg.segment_rows)
+    cells = F.coalesce("unique_cell_cnt", F.lit(0.0))
+    tz = F.when(F.col("meta_known"), F.col("tz_changed").cast("double")).otherwise(F.lit(0.0))
+    partial = 1.0 + flag(F.col("qc_meta_retry_warn")) + flag(F.col("qc_meta_queue_warn"))
+    travel = 2 * F.coalesce(tz, F.lit(0.0)) + surge("cell_change_cnt") + surge("wifi_change_cnt_est") + flag(cells >= F.lag(cells).over(user) + 3)
+    return rows.select(
+        "*",
+        tz.alias("tz_change_signal"),
+        F.when(F.col("qc_core_very_low_activity"), partial).otherwise(F.lit(0.0)).alias("partial_signal_raw"),
+        travel.alias("travel_signal_raw"),
+    )
 
 
-def add_deltas(daily: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+def deltas(rows: DataFrame, part: list[str]) -> DataFrame:
     """Differences and relative differences to the user's previous row."""
+    user = Window.partitionBy(*part).orderBy("date")
 
-    def deltas(rows: DataFrame, part: list[str]) -> DataFrame:
-        user = Window.partitionBy(*part).orderBy("date")
+    def previous(c: str) -> Column:
+        return F.lag(F.col(c).cast("double")).over(user)
 
-        def previous(c: str) -> Column:
-            return F.lag(F.col(c).cast("double")).over(user)
+    def diff(c: str) -> Column:
+        return F.col(c).cast("double") - previous(c)
 
-        def diff(c: str) -> Column:
-            return F.col(c).cast("double") - previous(c)
+    return rows.select(
+        "*",
+        *[diff(c).alias(f"{c}_d1") for c in DELTA_COLUMNS],
+        *[(diff(c) / (F.abs(previous(c)) + 1e-6)).alias(f"{c}_r1") for c in RATIO_COLUMNS],
+    )
 
-        return rows.select(
-            "*",
-            *[diff(c).alias(f"{c}_d1") for c in DELTA_COLUMNS],
-            *[(diff(c) / (F.abs(previous(c)) + 1e-6)).alias(f"{c}_r1") for c in RATIO_COLUMNS],
-        )
 
-    return windowed(daily, ["uuid"], "date", 1, deltas, cfg.segment_rows)
+def add_signals_and_deltas(daily: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """Context signals and then the differences, of these too: a row looks back on two rows, so one numbering serves both."""
+    return windowed(daily, ["uuid"], "date", 2, lambda rows, part: deltas(context_signals(rows, part), part), cfg.segment_rows)
 
 
 def features_of_blocks(blocks: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """The daily feature table of :func:`daily_blocks`."""
-    return add_deltas(add_context_signals(add_quality_flags(with_presence(blocks), cfg), cfg), cfg)
+    return add_signals_and_deltas(add_quality_flags(with_presence(blocks), cfg), cfg)
 
 
 def daily_features(events: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
