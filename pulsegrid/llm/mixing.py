@@ -27,12 +27,13 @@ input come along, and where one of them is called ``mix`` the new column is ``mi
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import free_name
+from ._shared import free_name, materialise
 
 #: About 16 MB of bits and as much of slots.
 BROADCAST_BITS = 1 << 27
@@ -117,25 +118,50 @@ def _had(p, bits, weights, total):
     return F.transform(weights, lambda a, i: F.floor(p * a / total) + bit(i))
 
 
-def schedule(docs: DataFrame, cfg: MixConfig, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``mix``: source, row, block, release, deadline, slot, position."""
+def _text_ranks(rows: DataFrame) -> DataFrame:
+    """(source, digest, text_md5, text_rank): the order of the different texts that share a source and a digest; other rows have no rank.
+
+    Digests shared by different texts are few in most tables; they, and their ranks, are written first, so that Spark knows
+    the sizes and texts travel only if they are many.
+    """
+    shared = rows.groupBy("source", "digest").agg((F.min("text_md5") != F.max("text_md5")).alias("differ")).where("differ").drop("differ")
+    shared = materialise(shared, "shared-digests")
+    texts = rows.select("source", "digest", "text_md5", "text").join(shared, ["source", "digest"], "left_semi").distinct()
+    rank = F.row_number().over(Window.partitionBy("source", "digest").orderBy("text")).alias("text_rank")
+    return materialise(texts.select("source", "digest", "text_md5", rank), "text-ranks")
+
+
+def schedule(
+    docs: DataFrame, cfg: MixConfig, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", carried: Sequence[str] | None = None
+) -> DataFrame:
+    """``docs`` with a struct column ``mix``: source, row, block, release, deadline, slot, position.
+
+    ``carried`` are the columns that come along, all by default; without the text among them, texts don't travel.
+    """
+    carried = list(docs.columns if carried is None else carried)
     doc_id, text = F.col(id_col).cast("string"), F.col(text_col)
+    source, digest = F.coalesce(F.col(source_col), F.lit("")), F.md5(F.coalesce(doc_id, text, F.lit("")).cast("binary"))
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-        F.coalesce(F.col(source_col), F.lit("")).alias("source"),
-        F.md5(F.coalesce(doc_id, text, F.lit("")).cast("binary")).alias("digest"),
+        F.struct(*[F.col(f"`{c}`") for c in carried]).alias("doc"),
+        source.alias("source"),
+        digest.alias("digest"),
+        F.substring(digest, 1, 3).alias("bucket"),
         F.coalesce(text, F.lit("")).alias("text"),
-    ).withColumn("bucket", F.substring("digest", 1, 3))
-    # rows of a source are numbered bucket by bucket, so that no task holds a whole source
-    counts = docs.select(
-        F.coalesce(F.col(source_col), F.lit("")).alias("source"),
-        F.substring(F.md5(F.coalesce(doc_id, text, F.lit("")).cast("binary")), 1, 3).alias("bucket"),
     )
+    if text_col in carried:  # the text goes once, in its row
+        rows = rows.drop("text")
+        order = F.coalesce(F.col("doc").getField(text_col), F.lit(""))
+    else:
+        rows = rows.withColumn("text_md5", F.md5(F.col("text").cast("binary")))
+        rows = rows.drop("text").join(_text_ranks(rows), ["source", "digest", "text_md5"], "left")
+        order = F.col("text_rank")
+    # rows of a source are numbered bucket by bucket, so that no task holds a whole source
+    counts = docs.select(source.alias("source"), F.substring(digest, 1, 3).alias("bucket"))
     counts = counts.groupBy("source", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("source", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     numbered = (
-        rows.withColumn("place", F.row_number().over(Window.partitionBy("source", "bucket").orderBy("digest", "text")))
+        rows.withColumn("place", F.row_number().over(Window.partitionBy("source", "bucket").orderBy("digest", order)))
         .join(offsets, ["source", "bucket"])
         .select("doc", "source", (F.col("offset") + F.col("place") - 1).alias("row"))
     )
@@ -170,7 +196,7 @@ def schedule(docs: DataFrame, cfg: MixConfig, id_col: str = "doc_id", source_col
             F.ceil((F.col("block") + 1) * F.col("total") / F.col("weight")).alias("deadline"),
             (F.col("round") * F.col("total") + F.col("p")).alias("slot"),
             (earlier + F.pmod("row", F.lit(cfg.block_rows))).cast("long").alias("position"),
-        ).alias(free_name("mix", docs.columns)),
+        ).alias(free_name("mix", carried)),
     )
 
 

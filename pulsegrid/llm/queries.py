@@ -47,7 +47,7 @@ MIX = mixing.MixConfig(weights={"src0": 6, "src1": 4, "src2": 3, "src3": 2}, blo
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pfair slot and mixture position of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.schedule(docs, MIX).select(
+    return mixing.schedule(docs, MIX, carried=["doc_id"]).select(
         "doc_id",
         F.col("mix.source").alias("mix_source"),
         F.col("mix.row").alias("source_row"),
