@@ -17,6 +17,8 @@ from itertools import compress, repeat
 from operator import is_
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _CHUNK = re.compile(r"\s*\S+|\s+")
 _RARE_SPACE = re.compile(r"[^\S \n]")
@@ -65,9 +67,10 @@ class CachedByteBpe:
                 size += len(chunks[fit[at]])
                 at += 1
             text = "".join([chunks[k] for k in part])
+            sizes = map(len, [chunks[k] for k in part] if text.isascii() else [chunks[k].encode("utf-8", "surrogatepass") for k in part])
             ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             byte_ends = np.cumsum(self._byte_lengths[ids])
-            want = np.cumsum([len(chunks[k].encode("utf-8", "surrogatepass")) for k in part])
+            want = np.cumsum(np.fromiter(sizes, np.int64, len(part)))
             ends = np.searchsorted(byte_ends, want) + 1
             if len(ids) and ends[-1] == len(ids) and (byte_ends[ends - 1] == want).all():
                 data, start = ids.astype("<u4").tobytes(), 0
@@ -82,19 +85,28 @@ class CachedByteBpe:
         return out
 
     @staticmethod
-    def pieces(text: str) -> list[str]:
+    def _odd_pieces(text: str) -> list[str] | None:
+        """Chunk keys of a text in which other white space leads chunks than a space or a newline, or more than one; None for other texts."""
+        odd = "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n"
+        plain = text.isascii() and not any(c in text for c in _RARE_ASCII)
+        if odd or (not plain and _RARE_SPACE.search(text) and _ODD_SPACE.search(text)):
+            return ["\0" + c for c in _CHUNK.findall(text)]
+        return None
+
+    @staticmethod
+    def _keys(text: str) -> str:
+        """The chunk keys of any other text, with spaces between."""
+        return "\0" + text.replace("\n", " \n")
+
+    @classmethod
+    def pieces(cls, text: str) -> list[str]:
         """Chunks of a text, each led by a space except where the chunk says otherwise.
 
         A chunk key starting with a newline, or with NUL for "as it stands", is
         encoded without a leading space.
         """
-        odd = "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n"
-        plain = text.isascii() and not any(c in text for c in _RARE_ASCII)
-        if odd or (not plain and _RARE_SPACE.search(text) and _ODD_SPACE.search(text)):
-            return ["\0" + c for c in _CHUNK.findall(text)]
-        out = text.replace("\n", " \n").split(" ")
-        out[0] = "\0" + out[0]
-        return out
+        found = cls._odd_pieces(text)
+        return cls._keys(text).split(" ") if found is None else found
 
     @staticmethod
     def _surface(key: str) -> str:
@@ -105,36 +117,44 @@ class CachedByteBpe:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; chunks that are new to the memo are encoded together."""
+        """Ids of each text; equal chunks are looked up once, and those that are new to the memo are encoded together."""
         whole = {k for k, t in enumerate(texts) if "\0" in t or any(a in t for a in self._added) or any(c in t for c in _CONTROL)}
-        keys = [[] if k in whole or not t else self.pieces(t) for k, t in enumerate(texts)]
-        memo = self._memo
-        found = [list(map(memo.get, each)) for each in keys]
-        new: dict[str, bytes | None] = {}
-        for each, got in zip(keys, found):
-            if None in got:
-                new.update(dict.fromkeys(compress(each, map(is_, got, repeat(None)))))
-        same = True  # whether the memo still has what was found in it
+        cut = [k for k, t in enumerate(texts) if t and k not in whole]
+        odd = {k: self._odd_pieces(texts[k]) for k in cut}
+        plain = [k for k in cut if odd[k] is None]
+        rest = [k for k in cut if odd[k] is not None]
+        by_space = pc.split_pattern(pa.array([self._keys(texts[k]) for k in plain], pa.large_string()), " ")
+        keys = pa.concat_arrays([by_space.flatten(), pa.array([c for k in rest for c in odd[k]], pa.large_string())]).dictionary_encode()
+        ids, ends = self._ids_of_keys(keys.dictionary.to_numpy(zero_copy_only=False).tolist(), keys.indices.to_numpy())
+        data, at = ids.tobytes(), 0
+        out: list[bytes] = [b""] * len(texts)
+        counts = [*by_space.value_lengths().to_pylist(), *[len(odd[k]) for k in rest]]
+        for k, end in zip([*plain, *rest], (4 * ends[np.cumsum(counts, dtype=np.int64) - 1]).tolist() if counts else ()):
+            out[k], at = data[at:end], end
+        for k in whole:
+            out[k] = self._ids([texts[k]])[0]
+        return out
+
+    def _ids_of_keys(self, keys: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks ``keys[c]`` for c in ``codes``, one after another, and where each of them ends."""
+        found = list(map(self._memo.get, keys))
+        new: dict[str, bytes | None] = dict.fromkeys(compress(keys, map(is_, found, repeat(None))))
         if new:
-            if len(memo) > self._max:
-                self._old, self._memo = memo, {}
-                memo, same = self._memo, False
-            old = self._old
-            new = {k: old.get(k) for k in new}
+            if len(self._memo) > self._max:
+                self._old, self._memo = self._memo, {}
+            new = {k: self._old.get(k) for k in new}
             missing = [k for k, v in new.items() if v is None]
             new.update(zip(missing, self._ids_of_chunks([self._surface(k) for k in missing])))
-            memo.update(new)
-        out = []
-        for k, (each, got) in enumerate(zip(keys, found)):
-            if k in whole:
-                out.append(self._ids([texts[k]])[0])
-            elif same and new and None in got:
-                out.append(b"".join(map(memo.__getitem__, each)))
-            elif new and None in got:
-                out.append(b"".join([new[key] if v is None else v for key, v in zip(each, got)]))
-            else:
-                out.append(b"".join(got))
-        return out
+            self._memo.update(new)
+            found = [new[k] if v is None else v for k, v in zip(keys, found)]
+        pool = np.frombuffer(b"".join(found), "<u4")
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(lengths) - lengths
+        mine = lengths[codes]
+        ends = np.cumsum(mine)
+        places = np.repeat(starts[codes] - (ends - mine), mine)
+        places += np.arange(len(places))
+        return pool[places], ends
 
 
 @lru_cache(maxsize=2)

@@ -31,3 +31,21 @@ def test_ids_equal_the_library_over_generations():
         for k in range(0, len(texts), 7):
             for text, ids in zip(texts[k : k + 7], memo.encode_all(texts[k : k + 7])):
                 assert ids == array("I", library.encode(text, add_special_tokens=False).ids).tobytes(), repr(text)
+
+
+def test_equal_chunks_of_a_batch_are_looked_up_once():
+    from tokenizers import Tokenizer
+
+    class Counted(dict):
+        looked_up = 0
+
+        def get(self, key, default=None):
+            Counted.looked_up += 1
+            return super().get(key, default)
+
+    library, memo = Tokenizer.from_file(path("byte_bpe_50k.json")), _wordcache.CachedByteBpe(path("byte_bpe_50k.json"))
+    memo._memo = Counted()
+    texts = ["", "one two\nthree " + "two one " * 300 + "end", "a  b\t\n c", "x\0y", "  ", "é two ü", "\ntwo", "one"] * 2
+    assert memo.encode_all(texts) == [array("I", library.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+    assert 5 < Counted.looked_up < 40
+    assert memo.encode_all([]) == [] and memo.encode_all(["", ""]) == [b"", b""]
