@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import mixing, near_dedup, sentence_pieces, suffix_dedup, toxicity
-from pulsegrid.llm._shared import materialise, read_table, shuffle_partitions
+from pulsegrid.llm._shared import materialise, read_table, release_shuffles, shuffle_partitions
 from pulsegrid.llm.queries import MIX, PIECES
 
 TOXIC_FROM = float(os.environ.get("PULSEGRID_TOXIC_FROM", "0.7"))
@@ -62,12 +63,23 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return sentence_pieces.decode(coded, PIECES, out_col="decoded")
 
 
+def _from_clean(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, begun when the driver has given up what the jobs of the one before held: shuffles, broadcasts, compiled plans."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release_shuffles(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", drop_toxic),
-    ("near_dedup", drop_near_duplicates),
-    ("suffix_dedup", cut_copies),
-    ("mixing", mix_sources),
-    ("sentence_pieces", encode_pieces),
+    ("toxicity", _from_clean(drop_toxic)),
+    ("near_dedup", _from_clean(drop_near_duplicates)),
+    ("suffix_dedup", _from_clean(cut_copies)),
+    ("mixing", _from_clean(mix_sources)),
+    ("sentence_pieces", _from_clean(encode_pieces)),
 ]
 
 #: The classifier can't be expressed in SQL; tests hold the stages against brute force.

@@ -2,7 +2,8 @@
 
 Every step is a join and an aggregation; no component, link list or label table
 is ever gathered in one task or on the driver.  Lineage is cut by
-``checkpoint()`` in the shared folder after each round.
+``checkpoint()`` in the shared folder after each round, and what the round before
+held in the driver is given up then.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import scratch_path
+from ._shared import release_shuffles, scratch_path
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -51,4 +52,5 @@ def component_labels(edges: DataFrame, known: DataFrame | None = None) -> DataFr
         if now == seen:
             break
         seen = now
+        release_shuffles(spark)
     return current.select(F.col("u").alias("node"), F.col("v").alias("label"))

@@ -47,3 +47,16 @@ def test_rows_that_share_a_digest_are_ordered_by_text_without_carrying_it(spark)
         assert [d for x, _, d in mine if x == s] == want[s]
     tied = mixing._text_ranks(docs.select(F.coalesce("source", F.lit("")).alias("source"), F.md5(F.coalesce(F.col("doc_id").cast("string"), "text", F.lit("")).cast("binary")).alias("digest"), F.coalesce("text", F.lit("")).alias("text")).withColumn("text_md5", F.md5(F.col("text").cast("binary"))))
     assert tied.count() > 20
+
+
+def test_stages_and_rounds_begin_when_the_driver_has_given_up_the_jobs_before(spark, monkeypatch):
+    import corpus_pipeline
+    from pulsegrid.llm import components
+
+    released = []
+    monkeypatch.setattr(corpus_pipeline, "release_shuffles", lambda s: released.append("stage"))
+    monkeypatch.setattr(components, "release_shuffles", lambda s: released.append("round"))
+    docs = spark.createDataFrame([(1, "en", "src0", "one two")], "doc_id long, lang string, source string, text string")
+    assert dict(corpus_pipeline.STAGES)["mixing"](spark, docs, "").count() == 1 and released == ["stage"]
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "u long, v long")
+    assert {r["label"] for r in components.component_labels(chain).collect()} == {0} and released.count("round") > 1
