@@ -32,24 +32,42 @@ def _count(cond: Column) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0))
 
 
-def _event_windows(events: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds the gap to the previous activity event, network changes and session turns, all within a segment."""
-    segment = Window.partitionBy(*keys)
-    before = segment.orderBy("ms", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    moves = F.col("event_cat").isin(*RHYTHM_CATEGORIES)
-    name = F.col("event_std")
-    ssid = F.when(name == "WIFI_SSID", F.coalesce("wifi_ssid", F.lit("None")))
-    rows = events.select(
+def _facts(events: DataFrame, keys: list[str]) -> DataFrame:
+    """What states are made of, in place of names, categories and types: narrow rows, as each is shuffled, sorted and copied by windows."""
+    event, beat, category = F.col("as_event"), F.col("as_beat"), F.col("event_cat")
+    name = F.coalesce("event_std", F.lit(""))
+    cell, wifi = name == "CELL_CHANGE", name == "WIFI_SSID"
+    kind = F.coalesce(*[F.when(category == c, i) for i, c in enumerate(BLOCKS["activity"])])
+    return events.select(
+        *keys, "ms", "seq", "hour", "as_event",
+        F.when(event, kind).alias("kind"),
+        F.coalesce(category.isin(*RHYTHM_CATEGORIES), F.lit(False)).alias("moves"),
+        (name == SESSION_START).alias("starts"),
+        (name == SESSION_END).alias("ends"),
+        (event & cell).alias("is_cell"),
+        (event & wifi).alias("is_wifi"),
+        F.when(wifi, F.coalesce("wifi_ssid", F.lit("None"))).alias("ssid"),
+        F.when(event & cell, F.col("cell_lac")).alias("lac"),
+        (event & (name.isin(*STEP_NAMES) | F.coalesce(F.col("sensor_id").isin(*STEP_NAMES), F.lit(False)))).alias("walks"),
+        "steps",
+        (F.coalesce(F.col("type_std") == "heartbeat", F.lit(False)) & beat).alias("beat_type"),
+        ((F.lower(name) == "heartbeat") & beat).alias("beat_name"),
+        "retry_count", "queue_size", "tz_offset", "last_event_ts",
+    )
+
+
+def _event_windows(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds the gap to the previous activity event, network changes and session turns, all within a segment and in one order."""
+    before = Window.partitionBy(*keys).orderBy("ms", "seq").rowsBetween(Window.unboundedPreceding, -1)
+    rows = facts.select(
         "*",
-        F.coalesce(moves, F.lit(False)).alias("moves"),
-        ssid.alias("ssid"),
-        F.last(F.when(moves, F.col("ms")), ignorenulls=True).over(before).alias("prev_ms"),
-        F.last(ssid, ignorenulls=True).over(before).alias("prev_ssid"),
-        F.coalesce(_count(name == SESSION_END).over(before), F.lit(0)).alias("turn"),
-        F.coalesce(_count(name == SESSION_END).over(segment), F.lit(0)).alias("turns"),
+        F.last(F.when(F.col("moves"), F.col("ms")), ignorenulls=True).over(before).alias("prev_ms"),
+        F.last("ssid", ignorenulls=True).over(before).alias("prev_ssid"),
+        F.coalesce(_count(F.col("ends")).over(before), F.lit(0)).alias("turn"),
+        F.coalesce(F.last(F.when(F.col("starts") | F.col("ends"), F.col("starts")), ignorenulls=True).over(before), F.lit(False)).alias("is_open"),
     )
-    opened = F.min(F.when(name == SESSION_START, F.col("ms"))).over(Window.partitionBy(*keys, "turn"))
-    return rows.withColumn("session_sec", F.when((name == SESSION_END) & (F.col("turn") > 0), (F.col("ms") - opened) / 1000.0))
+    opened = F.last(F.when(F.col("starts") & ~F.col("is_open"), F.col("ms")), ignorenulls=True).over(before)  # the first start of the turn
+    return rows.withColumn("session_sec", F.when(F.col("ends") & (F.col("turn") > 0) & F.col("is_open"), (F.col("ms") - opened) / 1000.0))
 
 
 #: Heartbeat columns of a state, each kept by type and by name.
@@ -98,32 +116,29 @@ def day_states(events: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> tup
     """
     rows, cut = cut_days(_with_own_beat_dates(events), cfg.segment_events, cfg.segment_slot_ms)
     keys = ["uuid", "date", "seg"] if cut else ["uuid", "date"]
-    rows = _event_windows(rows, keys)
-    event, moves = F.col("as_event"), F.col("moves") & F.col("as_event")
-    name = F.coalesce("event_std", F.lit(""))
-    by_type = F.coalesce(F.col("type_std") == "heartbeat", F.lit(False)) & F.col("as_beat")
-    by_name = (F.lower(name) == "heartbeat") & F.col("as_beat")
-    steps = event & (name.isin(*STEP_NAMES) | F.coalesce(F.col("sensor_id").isin(*STEP_NAMES), F.lit(False)))
-    is_cell, is_wifi = event & (name == "CELL_CHANGE"), event & (name == "WIFI_SSID")
-    starts, ends = name == SESSION_START, name == SESSION_END
+    rows = _event_windows(_facts(rows, keys), keys)
+    event, starts, ends = F.col("as_event"), F.col("starts"), F.col("ends")
+    moves, is_cell, is_wifi = F.col("moves") & event, F.col("is_cell"), F.col("is_wifi")
     gap = F.when(moves & (F.col("ms") > F.col("prev_ms")), (F.col("ms") - F.col("prev_ms")) / 3.6e6)
     at = F.when(is_wifi, F.struct("ms", "seq"))
     beats = [
         x
-        for kind, cond in (("type", by_type), ("name", by_name))
+        for kind in ("type", "name")
         for x in (
-            _count(cond).alias(f"hb_{kind}"),
-            F.max(F.when(cond, F.col("retry_count"))).alias(f"retry_{kind}"),
-            F.max(F.when(cond, F.col("queue_size"))).alias(f"queue_{kind}"),
-            F.min(F.when(cond, F.col("tz_offset"))).alias(f"tz_min_{kind}"),
-            F.max(F.when(cond, F.col("tz_offset"))).alias(f"tz_max_{kind}"),
-            F.max(F.when(cond, F.col("last_event_ts"))).alias(f"last_{kind}"),
+            _count(F.col(f"beat_{kind}")).alias(f"hb_{kind}"),
+            F.max(F.when(F.col(f"beat_{kind}"), F.col("retry_count"))).alias(f"retry_{kind}"),
+            F.max(F.when(F.col(f"beat_{kind}"), F.col("queue_size"))).alias(f"queue_{kind}"),
+            F.min(F.when(F.col(f"beat_{kind}"), F.col("tz_offset"))).alias(f"tz_min_{kind}"),
+            F.max(F.when(F.col(f"beat_{kind}"), F.col("tz_offset"))).alias(f"tz_max_{kind}"),
+            F.max(F.when(F.col(f"beat_{kind}"), F.col("last_event_ts"))).alias(f"last_{kind}"),
         )
     ]
+    turns = F.coalesce(_count(ends), F.lit(0))
+    last_start = F.min(F.when(event & starts, F.struct((-F.col("turn")).alias("turn"), "ms")))  # the first of the last turn that has any
     states = rows.groupBy(*keys).agg(
         F.min("ms").alias("from_ms"),
         F.max("ms").alias("to_ms"),
-        *[_count(event & (F.col("event_cat") == c)).alias(c) for c in BLOCKS["activity"]],
+        *[_count(F.col("kind") == i).alias(c) for i, c in enumerate(BLOCKS["activity"])],
         F.array(*[_count(moves & (F.col("hour") == h)) for h in range(24)]).alias("hours"),
         _count(moves).alias("n_moves"),
         F.min(F.when(moves, F.col("ms"))).alias("first_ms"),
@@ -132,18 +147,18 @@ def day_states(events: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> tup
         *_gap_sums(gap, cfg),
         _count(event & (starts | ends)).alias("n_session_events"),
         *_session_sums(F.when(event, F.col("session_sec")), cfg),
-        F.min(F.when(event & starts & (F.col("turn") == 0) & (F.col("turns") > 0), F.col("ms"))).alias("head_start"),
+        F.when(turns > 0, F.min(F.when(event & starts & (F.col("turn") == 0), F.col("ms")))).alias("head_start"),
         F.min(F.when(event & ends & (F.col("turn") == 0), F.col("ms"))).alias("head_ms"),
-        F.min(F.when(event & starts & (F.col("turn") == F.col("turns")), F.col("ms"))).alias("tail_start"),
+        F.when(last_start["turn"] == -turns, last_start["ms"]).alias("tail_start"),
         _count(is_cell | is_wifi).alias("n_mobile"),
         _count(is_cell).alias("n_cell"),
         _count(is_wifi & (F.col("ssid") != F.col("prev_ssid"))).alias("n_wifi_changes"),
         F.min_by("ssid", at).alias("first_ssid"),
         F.max_by("ssid", at).alias("last_ssid"),
         F.collect_set(F.when(is_wifi, F.col("ssid"))).alias("ssids"),
-        F.collect_set(F.when(is_cell, F.col("cell_lac"))).alias("lacs"),
-        _count(steps).alias("n_steps"),
-        F.sum(F.when(steps, F.col("steps"))).alias("steps"),
+        F.collect_set("lac").alias("lacs"),
+        _count(F.col("walks")).alias("n_steps"),
+        F.sum(F.when(F.col("walks"), F.col("steps"))).alias("steps"),
         *beats,
     )
     return states.drop("seg"), cut

@@ -26,8 +26,11 @@ def cut_days(events: DataFrame, limit: int, slot_ms: int) -> tuple[DataFrame, bo
     """Adds ``seg`` to events of (uuid, date) with more than ``limit`` rows: its number within the day, in the order of time.
 
     A segment has about ``limit`` events, and all events of a slot of ``slot_ms``.  One count a
-    day decides which days are cut at all; the answer comes as the second value.
+    day decides which days are cut at all; the answer comes as the second value.  Where no user has
+    so many events in all, which takes no dates, no day has.
     """
+    if events.groupBy("uuid").agg(F.count("*").alias("n")).where(F.col("n") > limit).isEmpty():
+        return events, False
     full = events.groupBy("uuid", "date").agg(F.count("*").alias("n")).where(F.col("n") > limit).drop("n")
     if full.isEmpty():
         return events, False

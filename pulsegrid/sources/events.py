@@ -79,7 +79,11 @@ def standard_events(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> D
         local = local + shift
     else:
         local = ms
-    name = F.upper(F.regexp_replace(F.col(name_col).cast("string"), r"^\s+|\s+$", "")) if name_col else F.lit(None).cast("string")
+    name = F.lit(None).cast("string")
+    if name_col:
+        name = F.col(name_col).cast("string")
+        bare = F.btrim(name, F.lit(" \t\n\x0b\f\r\x85\u2028\u2029")) == name  # nothing that the pattern could match
+        name = F.upper(F.when(bare, name).otherwise(F.regexp_replace(name, r"^\s+|\s+$", "")))
     category = F.create_map(*[F.lit(x) for pair in EVENT_CATEGORY.items() for x in pair])
     return (
         raw.select(
@@ -110,8 +114,8 @@ def from_activity_log(events: DataFrame, users: int | None = None) -> DataFrame:
 
     ``users`` folds user ids into so many users, for logs with few events a user.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind = F.col("event_type")
+    parsed = F.get_json_object("props", "$.k").cast("int")  # once a row, in a step of its own
+    k, kind = F.col("k"), F.col("event_type")
     name = (
         F.when(kind == "view", "SCREEN_INTERACTIVE")
         .when(kind == "purchase", "SCREEN_NON_INTERACTIVE")
@@ -124,7 +128,7 @@ def from_activity_log(events: DataFrame, users: int | None = None) -> DataFrame:
         .otherwise("STEP_COUNT")
     )
     user = F.pmod("user_id", F.lit(users)) if users else F.col("user_id")
-    named = events.withColumns({"event_name": name, "k": k, "user": user})
+    named = events.withColumn("k", parsed).withColumns({"event_name": name, "user": user})
     beat, wifi, cell = (F.col("event_name") == x for x in ("HEARTBEAT", "WIFI_SSID", "CELL_CHANGE"))
     typed = beat & (F.col("user") % 4 != 0) & (F.col("k") % 5 != 0)  # other heartbeats are known by name alone
     return named.select(
