@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import replace
 from functools import reduce
 
@@ -105,6 +105,37 @@ def winsorised(prepared: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> D
     return rows.select(*[f"`{c}`" for c in prepared.columns], *out)
 
 
+def _measured(x: np.ndarray, there: np.ndarray, at: np.ndarray, before: np.ndarray, frames: Sequence[tuple[int, int]], least_std: np.ndarray) -> pa.Array:
+    """For each place ``at`` in the rows ``x``: means and deviations over its last rows, of the ``before`` rows that are its own."""
+    steps = [np.flatnonzero(before >= j) for j in range(1, max(n for n, _ in frames) + 1)]
+    total, count, sums = np.zeros((len(at), x.shape[1])), np.zeros((len(at), x.shape[1])), {}
+    made: list[np.ma.MaskedArray] = []
+    with np.errstate(all="ignore"):
+        for j, has in enumerate(steps, 1):
+            total[has] += x[at[has] - j]
+            count[has] += there[at[has] - j]
+            if any(n == j for n, _ in frames):
+                sums[j] = (total / count, count.copy())
+        for n, least in frames:
+            mean, values = sums[n]
+            squares = np.zeros_like(mean)
+            for j, has in enumerate(steps[:n], 1):
+                off = np.where(there[at[has] - j], x[at[has] - j] - mean[has], 0.0)
+                squares[has] += off * off
+            std = np.maximum(np.sqrt(squares / values), least_std)
+            known = (values >= least) & (values > 0)
+            made += [np.ma.array(mean, mask=~known), np.ma.array(np.where(known, std, least_std))]
+    out = np.ma.concatenate(made, axis=1)
+    offsets = np.arange(len(at) + 1, dtype=np.int32) * out.shape[1]
+    return pa.ListArray.from_arrays(offsets, pa.array(out.data.ravel(), mask=np.ma.getmaskarray(out).ravel()))
+
+
+def _matrix(flat: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values by row, a missing one as zero, and which are there."""
+    there = flat.is_valid().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return np.where(there, flat.to_numpy(zero_copy_only=False).reshape(-1, width), 0.0), there
+
+
 def frame_stats(frames: Sequence[tuple[int, int]], floors: Sequence[float]) -> Callable[[Column], Column]:
     """A function of the rows before a day, oldest first, each an array of values: means and deviations over the last rows.
 
@@ -115,37 +146,41 @@ def frame_stats(frames: Sequence[tuple[int, int]], floors: Sequence[float]) -> C
 
     @F.arrow_udf("array<double>")
     def stats(before: pa.Array) -> pa.Array:
-        flat, width, reach = before.flatten().flatten(), len(floors), max(n for n, _ in frames)
         lengths = before.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        row = np.repeat(np.arange(len(lengths)), lengths)
-        place = reach - np.cumsum(lengths)[row] + np.arange(len(row))  # the row before comes last
-        x, there = np.zeros((len(lengths), reach, width)), np.zeros((len(lengths), reach, width), bool)
-        there[row, place] = flat.is_valid().to_numpy(zero_copy_only=False).reshape(-1, width)
-        x[row, place] = flat.to_numpy(zero_copy_only=False).reshape(-1, width)
-        x[~there] = 0.0
-        made = []
-        for n, least in frames:
-            counted, last = there[:, reach - n :], x[:, reach - n :]
-            with np.errstate(all="ignore"):
-                count = counted.sum(1)
-                mean = last.sum(1) / count
-                off = np.where(counted, last - mean[:, None], 0.0)
-                std = np.sqrt(np.einsum("ijk,ijk->ik", off, off) / count)
-            known = (count >= least) & (count > 0)
-            made += [np.ma.array(mean, mask=~known), np.ma.array(np.where(known, np.maximum(std, least_std), least_std))]
-        out = np.ma.concatenate(made, axis=1)
-        offsets = np.arange(len(lengths) + 1, dtype=np.int32) * out.shape[1]
-        return pa.ListArray.from_arrays(offsets, pa.array(out.data.ravel(), mask=np.ma.getmaskarray(out).ravel()))
+        return _measured(*_matrix(before.flatten().flatten(), len(least_std)), np.cumsum(lengths), lengths, frames, least_std)
 
     return stats
 
 
+def running_stats(frames: Sequence[tuple[int, int]], floors: Sequence[float]) -> Callable[[Column, Column], Column]:
+    """The same of (number of a row in its key, from 0; array of its values), where rows come in the order of key and number.
+
+    A row is sent once, however many look back on it; the last rows of a batch stay for the next one. As a value hangs on the rows
+    before, the function is no deterministic one: rows must not be dropped before it.
+    """
+    least_std, reach = np.array(floors), max(n for n, _ in frames)
+
+    @F.arrow_udf("array<double>")
+    def stats(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        x, there, last = np.zeros((0, len(least_std))), np.zeros((0, len(least_std)), bool), -1
+        for number, values in batches:
+            before = number.to_numpy(zero_copy_only=False).astype(np.int64)
+            if np.any((before != 0) & (before != np.append(last, before[:-1]) + 1)):
+                raise ValueError("rows aren't in the order of their numbers")
+            kept, (mine, known) = len(x), _matrix(values.flatten(), len(least_std))
+            x, there = np.concatenate([x, mine]), np.concatenate([there, known])
+            yield _measured(x, there, kept + np.arange(len(before)), before, frames, least_std)
+            x, there, last = x[-reach:], there[-reach:], before[-1] if len(before) else last
+
+    return stats.asNondeterministic()
+
+
 def rolling_baselines(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Long, short (all days; by kind of day) and early baselines, with the fallbacks between their means.
 
     The mean of the rows before needs a least number of values; without it, or where it is less, a deviation is its floor.
-    A deviation never falls back: its floor stands in first.  A window gathers the values of the rows before, once for
-    all its frames, and a batch of days is measured at once. All windows share one
+    A deviation never falls back: its floor stands in first.  Rows are numbered within their window's key and measured in that
+    order, a batch of days at once and a row sent once for all frames. All windows share one
     exchange by user, or get the rows that they look back on as the halo of a segment.
     """
     lt, st, split = (cfg.lt_window, cfg.lt_least), (cfg.st_window, cfg.st_least), (cfg.st_window, cfg.st_split_least)
@@ -156,11 +191,11 @@ def rolling_baselines(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -
         rows = numbered(rows, ["uuid"], "date", "_of_user", [("_of_kind", ["is_weekend"])])
     for keys, rank, kinds in ((["uuid"], "_of_user", (("lt_g", lt), ("st_g", st), ("early_g", early))), (["uuid", "is_weekend"], "_of_kind", (("st_own", split), ("early_own", early)))):
         reach = max(n for _, (n, _) in kinds)
-        stats = frame_stats([frame for _, frame in kinds], floors)
+        stats = running_stats([frame for _, frame in kinds], floors)
 
-        def add(df: DataFrame, part: list[str], stats=stats, reach=reach) -> DataFrame:
-            before = Window.partitionBy(*part).orderBy("date").rowsBetween(-reach, -1)
-            return df.withColumn("_before", F.collect_list(values).over(before)).select("*", stats("_before").alias("_stats")).drop("_before")
+        def add(df: DataFrame, part: list[str], stats=stats) -> DataFrame:
+            number = F.row_number().over(Window.partitionBy(*part).orderBy("date")) - 1
+            return df.withColumn("_before", number).select("*", stats("_before", values).alias("_stats")).drop("_before")
 
         names = [f"{c}_{x}_{kind}" for kind, _ in kinds for x in ("mean", "std") for c in cfg.base_columns]
         columns = [c for c in rows.columns if c != rank]

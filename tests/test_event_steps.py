@@ -2,13 +2,44 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.config import PipelineConfig
-from pulsegrid.operators import features, segments
+from pulsegrid.operators import baseline, features, segments
 from pulsegrid.sources.events import from_activity_log, standard_events
 
 
+def test_rows_are_measured_in_their_order_over_batches(spark):
+    """Batches of three rows give what gathered windows give; a row that is out of order is told."""
+    rng = np.random.default_rng(4)
+    rows = [(u, i, [None if rng.random() < 0.3 else float(v) for v in rng.normal(50, 9, 2)]) for u in range(4) for i in range(3 * u + 1)]
+    rows[5] = (*rows[5][:2], [float("nan"), 1.0])
+    table = spark.createDataFrame(rows, "u int, i long, x array<double>")
+    frames, floors = ((6, 2), (3, 1)), (0.25, 0.75)
+    gathered = [(u, i, [x for v, j, x in rows if v == u and j < i]) for u, i, _ in rows]
+    want = spark.createDataFrame(gathered, "u int, i long, before array<array<double>>").select("u", "i", baseline.frame_stats(frames, floors)("before").alias("s"))
+    key, most = lambda r: (r["u"], r["i"]), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        stats = baseline.running_stats(frames, floors)
+        got = table.repartition(2, "u").sortWithinPartitions("u", "i").select("u", "i", stats("i", "x").alias("s")).collect()
+        with pytest.raises(Exception, match="aren't in the order"):
+            table.where("u = 3 and i <> 4").coalesce(1).select(stats("i", "x")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+    for a, b in zip(sorted(got, key=key), sorted(want.collect(), key=key), strict=True):
+        assert key(a) == key(b) and np.allclose(np.array(a["s"], float), np.array(b["s"], float), rtol=1e-12, equal_nan=True)
+
+
+def test_baselines_send_a_row_once(spark):
+    """Rows go to the workers with their own values, not with those of all rows before them."""
+    table = spark.range(3).select(F.lit("u").alias("uuid"), F.col("id").cast("int").alias("date"), F.lit(False).alias("is_weekend"), F.lit(1.0).alias("Screen_w"))
+    plan = baseline.rolling_baselines(table, PipelineConfig(base_columns=("Screen",)))._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "row_number" in plan
+
+
 def test_events_are_parsed_and_sorted_once(spark):
     """Properties are parsed in one place, and windows over a day's events share one order."""
     log = spark.createDataFrame([(1, "2024-01-01 00:00:00", 7, "view", 1.0, '{"k": 3}')], "event_id long, ts string, user_id long, event_type string, value double, props string")
