@@ -100,7 +100,7 @@ def _states(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> DataFrame:
 
 @_shared
 def _forest(spark: SparkSession, sf_dir: str, cfg: PipelineConfig) -> DataFrame:
-    rows = _scored(spark, sf_dir, cfg)
+    rows = risk.risk_inputs(_scored(spark, sf_dir, cfg), cfg)  # no risk takes the other baselines
     return settle(anomaly.scale_by_user(anomaly.forest_scores(rows, anomaly.train_forest(rows, cfg), cfg), cfg), "forest")
 
 

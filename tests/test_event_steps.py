@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.config import PipelineConfig
 from pulsegrid.operators import baseline, features, segments
+from pulsegrid.plans import registry
 from pulsegrid.sources.events import from_activity_log, standard_events
 
 
@@ -64,3 +65,15 @@ def test_names_are_stripped_as_by_the_pattern(spark):
     want = log.select(F.upper(F.regexp_replace("event_name", r"^\s+|\s+$", "")).alias("n"), "timestamp").orderBy("timestamp").collect()
     got = standard_events(log, PipelineConfig(epoch_unit="ms")).orderBy("ms").collect()
     assert [r["event_std"] for r in got] == [r["n"] for r in want]
+
+
+def test_the_forest_is_kept_with_what_risks_take(spark, monkeypatch):
+    """The table of anomaly scores doesn't write the rolling baselines again."""
+    rows = spark.createDataFrame([("u", 1, 0.5, True, True, 1.0, 1.0)], "uuid string, date int, Screen_z double, scored boolean, baseline_fit boolean, Screen_mean_lt_g double, Screen_std_st_s double")
+    monkeypatch.setattr(registry, "_scored", lambda *a: rows)
+    monkeypatch.setattr(registry, "settle", lambda df, name: df)
+    monkeypatch.setattr(registry, "_kept", {})
+    monkeypatch.setattr(registry.anomaly, "train_forest", lambda *a: None)
+    monkeypatch.setattr(registry.anomaly, "forest_scores", lambda df, *a: df.withColumn("anomaly_score_raw", F.lit(0.5)))
+    made = registry._forest(spark, "/root/testdata/sf0.001").columns
+    assert set(made) == {"uuid", "date", "Screen_z", "scored", "baseline_fit", "anomaly_score_raw", "anomaly_score", "anomaly_flag"}
