@@ -125,8 +125,38 @@ def _measured(x: np.ndarray, there: np.ndarray, at: np.ndarray, before: np.ndarr
             std = np.maximum(np.sqrt(squares / values), least_std)
             known = (values >= least) & (values > 0)
             made += [np.ma.array(mean, mask=~known), np.ma.array(np.where(known, std, least_std))]
+    return _listed(made)
+
+
+def _in_order(x: np.ndarray, there: np.ndarray, at: np.ndarray, before: np.ndarray, frames: Sequence[tuple[int, int]], least_std: np.ndarray) -> pa.Array:
+    """The same, with each frame's values taken oldest first and their squares about the mean so far (Welford).
+
+    SQL takes its averages and deviations so. Columns whose z-scores are equal but for rounding are told apart by the last bits
+    of their deviations, so the top feature of such a day hangs on the order too.
+    """
+    made: list[np.ma.MaskedArray] = []
+    with np.errstate(all="ignore"):
+        for n, least in frames:
+            total, values, so_far, squares = (np.zeros((len(at), x.shape[1])) for _ in range(4))
+            for j in range(n, 0, -1):
+                has = np.flatnonzero(before >= j)
+                new, known, mean = x[at[has] - j], there[at[has] - j], so_far[has]
+                total[has] += new
+                values[has] += known
+                off = np.where(known, new - mean, 0.0)
+                moved = mean + off / np.maximum(values[has], 1)
+                squares[has] += np.where(known, (new - moved) * off, 0.0)
+                so_far[has] = moved
+            std = np.maximum(np.sqrt(squares / values), least_std)
+            known = (values >= least) & (values > 0)
+            made += [np.ma.array(total / values, mask=~known), np.ma.array(np.where(known, std, least_std))]
+    return _listed(made)
+
+
+def _listed(made: Sequence[np.ma.MaskedArray]) -> pa.Array:
+    """One array of all columns' values for each row."""
     out = np.ma.concatenate(made, axis=1)
-    offsets = np.arange(len(at) + 1, dtype=np.int32) * out.shape[1]
+    offsets = np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]
     return pa.ListArray.from_arrays(offsets, pa.array(out.data.ravel(), mask=np.ma.getmaskarray(out).ravel()))
 
 
@@ -155,7 +185,7 @@ def frame_stats(frames: Sequence[tuple[int, int]], floors: Sequence[float]) -> C
 def running_stats(frames: Sequence[tuple[int, int]], floors: Sequence[float]) -> Callable[[Column, Column], Column]:
     """The same of (number of a row in its key, from 0; array of its values), where rows come in the order of key and number.
 
-    A row is sent once, however many look back on it; the last rows of a batch stay for the next one. As a value hangs on the rows
+    Values are taken in that order, to the last bit as SQL takes them. A row is sent once, however many look back on it; the last rows of a batch stay for the next one. As a value hangs on the rows
     before, the function is no deterministic one: rows must not be dropped before it.
     """
     least_std, reach = np.array(floors), max(n for n, _ in frames)
@@ -169,7 +199,7 @@ def running_stats(frames: Sequence[tuple[int, int]], floors: Sequence[float]) ->
                 raise ValueError("rows aren't in the order of their numbers")
             kept, (mine, known) = len(x), _matrix(values.flatten(), len(least_std))
             x, there = np.concatenate([x, mine]), np.concatenate([there, known])
-            yield _measured(x, there, kept + np.arange(len(before)), before, frames, least_std)
+            yield _in_order(x, there, kept + np.arange(len(before)), before, frames, least_std)
             x, there, last = x[-reach:], there[-reach:], before[-1] if len(before) else last
 
     return stats.asNondeterministic()
