@@ -53,7 +53,7 @@ def test_deviations_have_the_bits_of_sql(spark):
     assert [(r["u"], r["i"]) for r in got if r["s"] != want[r["u"], r["i"]]] == []
 
 
-@pytest.mark.parametrize("name", ["state_out", "state_out_surrogate"])
+@pytest.mark.parametrize("name", ["state_out", "state_out_surrogate", "top_z_by_state"])
 def test_top_feature_of_tied_days_is_that_of_sql(spark, folder, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet'")
