@@ -36,9 +36,9 @@ def trim_mean(values: Column, share: float = 0.8) -> Column:
 
 
 def entropy(counts: Column, total: Column) -> Column:
-    """Natural entropy of an array of counts."""
-    terms = F.transform(counts, lambda c: F.when(c > 0, -(c / total) * F.log(c / total)).otherwise(F.lit(0.0)))
-    return F.when(total > 0, F.aggregate(terms, F.lit(0.0), lambda t, x: t + x))
+    """Natural entropy of an array of counts, summed over the counts and not over their shares, as SQL has it: equal counts give its bits."""
+    terms = F.transform(counts, lambda c: F.when(c > 0, c * F.log(c)).otherwise(F.lit(0.0)))
+    return F.when(total > 0, F.log(total) - F.aggregate(terms, F.lit(0.0), lambda t, x: t + x) / total)
 
 
 def top_by_abs(names_values: Iterable[tuple[str, Column]]) -> Column:

@@ -11,7 +11,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
+from pulsegrid.functions.columns import entropy
 from pulsegrid.operators import baseline
 from pulsegrid.plans import registry
 
@@ -53,6 +55,16 @@ def test_deviations_have_the_bits_of_sql(spark):
     assert [(r["u"], r["i"]) for r in got if r["s"] != want[r["u"], r["i"]]] == []
 
 
+def test_entropy_of_equal_counts_has_the_bits_of_sql(spark):
+    """Days of few hours with as many events each, whose z-scores tie with those of counts."""
+    days = [[c] * hours + [0] * (24 - hours) for c in (10, 20, 21, 30) for hours in (1, 2, 3, 4)]
+    table = spark.createDataFrame([(d, sum(d)) for d in days], "counts array<long>, total long")
+    got = [r[0] for r in table.select(entropy(F.col("counts"), F.col("total"))).collect()]
+    hist = "(SELECT unnest(?::BIGINT[]) AS c)"  # as in the chain's rhythm0
+    want = [duckdb.execute(f"SELECT ln(sum(c)) - sum(c * ln(c)) / sum(c) FROM {hist} WHERE c > 0", [d]).fetchone()[0] for d in days]
+    assert got == want and np.allclose(want, [np.log(h) for _ in range(4) for h in (1, 2, 3, 4)])
+
+
 @pytest.mark.parametrize("name", ["state_out", "state_out_surrogate", "top_z_by_state"])
 def test_top_feature_of_tied_days_is_that_of_sql(spark, folder, name):
     con = duckdb.connect()
